@@ -1,0 +1,28 @@
+"""Join with a side that is expected, but not assumed, to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_SMALL_ROWS = 10_000
+
+
+def measured(df: DataFrame, limit: int = MAX_SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """``(rows held as literals, True)`` when ``df`` has at most ``limit`` rows, else ``(df, False)``.
+
+    At most ``limit + 1`` aggregated rows reach the driver.
+    """
+    head = df.limit(limit + 1).toArrow()
+    if head.num_rows > limit:
+        return df, False
+    return df.sparkSession.createDataFrame(head, schema=df.schema), True
+
+
+def join_small(
+    big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner", limit: int = MAX_SMALL_ROWS
+) -> DataFrame:
+    """Broadcast ``small`` once its row count is known to be bounded; otherwise a
+    shuffled join, which adaptive execution splits where a key is hot."""
+    side, fits = measured(small, limit)
+    return big.join(F.broadcast(side) if fits else side, on, how)
