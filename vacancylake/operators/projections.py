@@ -52,12 +52,12 @@ def _common(as_of: str | dt.datetime) -> dict[str, Column]:
     return out | {name: flag("metadata", name) for name in _FLAGS}
 
 
-def flatten_listing(listings: DataFrame, as_of: str | dt.datetime) -> DataFrame:
-    """Nested listing -> the 31 stored columns; the seen time is the moment of saving."""
+def flatten_listing(listings: DataFrame, as_of: str | dt.datetime, keep: list[str] | None = None) -> DataFrame:
+    """Nested listing -> the 31 stored columns (and ``keep``); the seen time is the moment of saving."""
     common = {name: c.alias(name) for name, c in _common(as_of).items()}
     special = {name: _text(name) for name in ("id", "platform", "title")}
     wanted = [c for c in schemas.columns("job_listings") if c not in ("created_at", "updated_at")]
-    return listings.select(*[special.get(c, common.get(c, F.col(c))) for c in wanted])
+    return listings.select(*[special.get(c, common.get(c, F.col(c))) for c in wanted], *(keep or []))
 
 
 def flatten_detail(details: DataFrame, as_of: str | dt.datetime) -> DataFrame:

@@ -1 +1,267 @@
-QUERIES = {}
+"""Queries over markup. Spark renders orders as pages; the SQL states the fields that must come back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vacancylake import fixed_values as fixed
+from vacancylake.operators import extract, sets
+from vacancylake.plans import ingest
+from vacancylake.plans.queries import Registered
+from vacancylake.sources.driver_tables import AS_OF, postings, table
+
+# two entries per page; the second lacks what the layout needs to identify it
+_TABLE_PAGE = (
+    "<html><body><table id='job_list_table'><tr><th>x</th></tr>"
+    "<tr><td></td><td><a class=v href=\"/ge/?view=jobs&amp;id=%s\"> R&amp;D %s </a><i>%s</i>"
+    "<img src='/i/new.gif'><img src=\"/i/%s.gif\"></td><td><a href='/c'><img src='/l.png'></a></td>"
+    "<td><a href='/c/%s'>%s</a></td><td>%s %s</td><td>%s %s</td></tr>"
+    "<tr><td></td><td><a href='/ge/?view=jobs'>no number</a></td><td></td><td></td><td></td><td></td></tr>"
+    "<tr><td>short</td></tr></table></body></html>"
+)
+_CARD_PAGE = (
+    "<div class='menu'><div class=\"list-item\">outside</div></div><div class='item-listing wide'>"
+    "<div class='list-item first'><p class='list-item-title'><a class='announcement-list-item' "
+    "href='/announcement/%s/x'>%s</a></p><span class='list-item-tag item-badge'>%s</span>"
+    "<a class='list-item-company' href='/company/%s'>%s</a><span class='list-item-time'><b>%s %s</b> - %s %s</span>%s</div>"
+    "<div class='list-item'><div>advert</div></div></div>"
+)
+_GENERATED_PAGE = (
+    "<a href='%s'><div class='sc-28f268a4-2 udaGZ'><h2 class='sc-64e43013-0 jkUKFK title'>%s</h2>"
+    "<span class='sc-64e43013-0 hdwvnh price'><span>%s</span> თვეში</span><div class='sc-28f268a4-1 d'>%s</div>"
+    "<span class='sc-64e43013-0 jMGSUP'>3 წლამდე</span><span class='sc-64e43013-0 jMGSUP'>%s %s - %s %s</span>"
+    "<div class='sc-28f268a4-5 j'>%s</div></div></a><div class='sc-28f268a4-2 udaGZ'>advert</div>"
+)
+
+
+def listing_pages(spark, sf):
+    """One page per order, in the layout of one of three sources."""
+    rows = postings(spark, sf, ["id", "title", "company_name", "city", "is_remote", "published_date", "salary_min",
+                                "category"])
+    rows = rows.withColumn("key", F.col("id").cast("bigint"))
+    key = F.col("key")
+    ends = F.col("published_date") + F.make_dt_interval((key % 20).cast("int"))
+
+    def spelled(stamp, names):
+        return [F.dayofmonth(stamp), F.element_at(F.lit(names), F.month(stamp))]
+
+    full = fixed.GEORGIAN_MONTHS
+    short = fixed.GEORGIAN_SHORT_MONTHS
+    city = F.coalesce("city", F.lit(""))
+    as_table = F.format_string(
+        _TABLE_PAGE, "id", "title", F.when(F.col("is_remote"), "Remote").otherwise(city),
+        F.when(key % 2 == 0, "salary").otherwise("upd"), "id", "company_name",
+        *spelled(F.col("published_date"), full), *spelled(ends, fixed.ENGLISH_MONTHS),
+    )
+    as_card = F.format_string(
+        _CARD_PAGE, "id", "title", city, "id", "company_name", *spelled(F.col("published_date"), short),
+        *spelled(ends, short),
+        F.when(key % 4 == 0, "<p class='list-item-location'>ვიპ</p>")
+        .when(key % 4 == 1, "<p class='list-item-location'>-</p>").otherwise(""),
+    )
+    low = F.floor(F.coalesce("salary_min", F.lit(0))).cast("bigint")
+    as_generated = F.format_string(
+        _GENERATED_PAGE, F.when(key % 5 == 0, "/ka/l").otherwise(F.concat(F.lit("/ka/l/vacancies/"), "id")), "title",
+        F.when(low > 0, F.concat(F.format_number(low, 0), F.lit(" - "), F.format_number(low + 200, 0), F.lit(" ₾")))
+        .otherwise("შეთანხმებით"),
+        F.repeat("category", F.lit(30)), *spelled(F.col("published_date"), full), *spelled(ends, full),
+        F.when(key % 2 == 0, "სასწრაფოდ").otherwise("-"),
+    )
+    return rows.select(
+        key.alias("page_id"),
+        F.when(key % 3 == 0, "jobs_ge").when(key % 3 == 1, "cv_ge").otherwise("ss_ge").alias("platform"),
+        F.when(key % 3 == 0, as_table).when(key % 3 == 1, as_card).otherwise(as_generated).alias("html"),
+    )
+
+
+def _flat(found):
+    return found.select(
+        "page_id", "row_no", "id", "platform", "title", F.col("location.city").alias("city"),
+        F.col("location.is_remote").alias("is_remote"), F.col("company.name").alias("company"),
+        F.col("company.jobs_url").alias("company_url"), F.col("dates.published").alias("published"),
+        F.col("dates.deadline").alias("deadline"), F.col("salary.min_amount").alias("salary_min"),
+        F.col("salary.max_amount").alias("salary_max"), F.col("metadata.has_salary_info").alias("has_salary"),
+        F.col("metadata.is_new").alias("is_new"), F.col("metadata.is_vip").alias("is_vip"),
+        F.col("metadata.is_urgent").alias("is_urgent"), "url", F.length("short_description").alias("description_size"),
+    )
+
+
+_IN_AS_OF_YEAR = """CASE WHEN month({0}) = 2 AND day({0}) = 29 THEN NULL
+ ELSE CAST({0} - to_years(CAST(year({0}) - 2001 AS INTEGER)) AS TIMESTAMP) END"""
+
+_LISTINGS_SQL = f"""WITH p AS (SELECT o_orderkey AS k, o_orderkey % 3 AS s, c_mktsegment || ' role ' || o_orderkey AS title,
+    c_name, c_mktsegment, CASE WHEN o_orderkey % 17 <> 0 THEN n_name ELSE '' END AS city,
+    o_orderpriority = '1-URGENT' AS urgent,
+    CASE WHEN o_orderkey % 3 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) ELSE 0 END AS low,
+    o_orderdate AS a, o_orderdate + to_days(CAST(o_orderkey % 20 AS INTEGER)) AS b
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT k AS page_id, 0 AS row_no,
+  CASE WHEN s = 2 AND k % 5 = 0 THEN CAST(CAST('0x' || substr(md5(title), 1, 8) AS BIGINT) % 1000000 AS VARCHAR)
+       ELSE CAST(k AS VARCHAR) END AS id,
+  (['jobs_ge', 'cv_ge', 'ss_ge'])[CAST(s + 1 AS INTEGER)] AS platform,
+  CASE WHEN s = 0 THEN 'R&D ' || title ELSE title END AS title,
+  CASE s WHEN 0 THEN CASE WHEN urgent THEN 'Remote' ELSE city END WHEN 1 THEN city ELSE 'თბილისი' END AS city,
+  s = 0 AND urgent AS is_remote,
+  CASE WHEN s = 2 THEN 'Unknown Company' ELSE c_name END AS company,
+  CASE s WHEN 0 THEN '/c/' || k WHEN 1 THEN 'https://www.cv.ge/company/' || k ELSE '' END AS company_url,
+  {_IN_AS_OF_YEAR.format('a')} AS published, {_IN_AS_OF_YEAR.format('b')} AS deadline,
+  CASE WHEN s = 2 AND low > 0 THEN CAST(low AS DOUBLE) END AS salary_min,
+  CASE WHEN s = 2 AND low > 0 THEN CAST(low + 200 AS DOUBLE) END AS salary_max,
+  CASE s WHEN 0 THEN k % 2 = 0 WHEN 1 THEN FALSE ELSE low > 0 END AS has_salary,
+  s = 0 AS is_new,
+  CASE WHEN s <> 1 THEN FALSE WHEN k % 4 = 0 THEN TRUE WHEN k % 4 = 1 THEN FALSE END AS is_vip,
+  s = 2 AND k % 2 = 0 AS is_urgent,
+  CASE s WHEN 0 THEN '/ge/?view=jobs&id=' || k WHEN 1 THEN 'https://www.cv.ge/announcement/' || k || '/x'
+         ELSE 'https://jobs.ss.ge/ka/l' || CASE WHEN k % 5 = 0 THEN '' ELSE '/vacancies/' || k END END AS url,
+  CASE WHEN s = 2 THEN CAST(CASE WHEN length(c_mktsegment) * 30 > 200 THEN 203 ELSE length(c_mktsegment) * 30 END AS INTEGER)
+       END AS description_size
+FROM p"""
+
+_CONTENT_PAGE = (
+    "<html><head><script>var t='<div class=\"entry-content\">';</script></head><body>"
+    "<div class='entry-content'><h2>%s</h2><p>მოთხოვნები:</p><ul><li>%s</li><li>line %s</li></ul>"
+    "<p>მოვალეობები:</p><p>%s</p><p>ხელფასი: %s-%s ლარი</p></div>"
+    "<a href='/x'>x</a><a href='mailto:hr%s@example.org'>write</a>"
+    "<aside class='widget widget_ci-company-info-widget'><p class='card-info-title'> %s </p></aside></body></html>"
+)
+_PLAIN_PAGE = (
+    "<html><body><h1> %s </h1><div class='company-info'><a href='/c'>%s</a></div>"
+    "<div id='job_description'><p>%s</p> <p>%s</p></div>%s</body></html>"
+)
+
+
+def detail_pages(spark, sf):
+    """One detail page per order; one in seven has no content."""
+    rows = postings(spark, sf, ["id", "title", "company_name", "category", "job_type", "salary_min"])
+    key = F.col("id").cast("bigint")
+    low = F.floor(F.coalesce("salary_min", F.lit(100))).cast("bigint")
+    content = F.format_string(_CONTENT_PAGE, "title", "category", "id", "job_type", low, low + 50, "id", "company_name")
+    plain = F.format_string(
+        _PLAIN_PAGE, "title", "company_name", "category", "job_type",
+        F.when(key % 4 == 0, "<div class='salary'></div>").when(key % 4 == 2, "<b>100 ₾</b>").otherwise(""))
+    return rows.select(
+        key.alias("page_id"), "id", F.when(key % 2 == 0, "cv_ge").otherwise("jobs_ge").alias("platform"), "title",
+        F.when(key % 2 == 1, plain).when(key % 7 == 0, "<p>gone</p>").otherwise(content).alias("html"),
+    )
+
+
+_DETAILS_SQL = """WITH p AS (SELECT o_orderkey AS k, c_mktsegment || ' role ' || o_orderkey AS title, c_name AS company,
+    c_mktsegment AS category, lower(substr(o_orderpriority, 3, 20)) AS job_type,
+    CASE WHEN o_orderkey % 3 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) ELSE 100 END AS low
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def _stored_details(spark, sf):
+    pages = detail_pages(spark, sf)
+    listings = pages.select("platform", "id", "title", F.concat(F.lit("/p/"), "id").alias("url"))
+    return ingest.ingest_details(listings, pages, ingest.empty_table(spark, "job_details"), AS_OF)
+
+
+def _first_run(spark, sf):
+    pages = listing_pages(spark, sf).withColumn("status", F.when(F.col("page_id") % 19 == 0, 500).otherwise(200))
+    return ingest.ingest_listings(pages, ingest.empty_table(spark, "job_listings"), AS_OF, query="BUILD")
+
+
+QUERIES: Registered = {
+    "extract_listings": (
+        lambda spark, sf: _flat(extract.accepted(extract.extract_listings(listing_pages(spark, sf), AS_OF))),
+        _LISTINGS_SQL,
+    ),
+    "extract_rejects": (
+        lambda spark, sf: extract.rejects(extract.extract_listings(listing_pages(spark, sf), AS_OF)),
+        """SELECT o_orderkey AS page_id, 'jobs_ge' AS platform, 1 AS row_no, 'no id' AS problem FROM orders
+           WHERE o_orderkey % 3 = 0
+        UNION ALL SELECT o_orderkey, 'jobs_ge', 2, 'fewer than 6 cells' FROM orders WHERE o_orderkey % 3 = 0
+        UNION ALL SELECT o_orderkey, 'cv_ge', 1, 'no title' FROM orders WHERE o_orderkey % 3 = 1
+        UNION ALL SELECT o_orderkey, 'ss_ge', 1, 'no title' FROM orders WHERE o_orderkey % 3 = 2""",
+    ),
+    "extract_details": (
+        lambda spark, sf: extract.extract_details(detail_pages(spark, sf), AS_OF).select(
+            "page_id", "platform", "problem", "title", "company_name", "contact_email", "has_salary_mark",
+            F.col("salary_text.amount").alias("amount"), "requirements", "responsibilities",
+            F.md5("description").alias("description")),
+        f"""{_DETAILS_SQL} SELECT k AS page_id, CASE WHEN k % 2 = 0 THEN 'cv_ge' ELSE 'jobs_ge' END AS platform,
+        CASE WHEN k % 14 = 0 THEN 'no content' END AS problem, CASE WHEN k % 2 = 1 THEN title ELSE '' END AS title,
+        CASE WHEN k % 14 = 0 THEN '' ELSE company END AS company_name,
+        CASE WHEN k % 14 = 0 THEN '' WHEN k % 2 = 0 THEN 'hr' || k || '@example.org' END AS contact_email,
+        FALSE AS has_salary_mark,
+        CASE WHEN k % 2 = 0 AND k % 14 <> 0 THEN low || '-' || (low + 50) END AS amount,
+        CASE WHEN k % 2 = 0 AND k % 14 <> 0 THEN category || chr(10) || 'line ' || k ELSE '' END AS requirements,
+        CASE WHEN k % 2 = 0 AND k % 14 <> 0
+             THEN job_type || chr(10) || 'ხელფასი: ' || low || '-' || (low + 50) || ' ლარი' ELSE '' END AS responsibilities,
+        md5(CASE WHEN k % 2 = 1 THEN category || job_type WHEN k % 14 = 0 THEN ''
+            ELSE concat_ws(chr(10), title, 'მოთხოვნები:', category, 'line ' || k, 'მოვალეობები:', job_type,
+                           'ხელფასი: ' || low || '-' || (low + 50) || ' ლარი') END) AS description FROM p""",
+    ),
+    "ingest_listings": (
+        lambda spark, sf: _first_run(spark, sf).table.select(
+            "platform", "id", "title", "company_name", F.col("salary_min").cast("double").alias("salary_min"),
+            "scraped_date", "created_at", "updated_at"),
+        f"""WITH l AS ({_LISTINGS_SQL})
+        SELECT platform, id, arg_min(title, page_id) AS title, arg_min(company, page_id) AS company_name,
+        arg_min_null(salary_min, page_id) AS salary_min, TIMESTAMP '{AS_OF}' AS scraped_date,
+        TIMESTAMP '{AS_OF}' AS created_at, TIMESTAMP '{AS_OF}' AS updated_at
+        FROM l WHERE page_id % 19 <> 0 AND contains(lower(title), 'build') GROUP BY platform, id""",
+    ),
+    "ingest_rejects": (
+        lambda spark, sf: _first_run(spark, sf).rejects.groupBy("platform", "problem").agg(F.count("*").alias("n")),
+        """WITH o AS (SELECT o_orderkey % 3 AS s, o_orderkey % 19 = 0 AS failed,
+            (['jobs_ge', 'cv_ge', 'ss_ge'])[CAST(o_orderkey % 3 + 1 AS INTEGER)] AS platform FROM orders)
+        SELECT platform, 'HTTP 500' AS problem, count(*) AS n FROM o WHERE failed GROUP BY 1
+        UNION ALL SELECT platform, CASE WHEN s = 0 THEN 'no id' ELSE 'no title' END, count(*) FROM o WHERE NOT failed GROUP BY 1, 2
+        UNION ALL SELECT platform, 'fewer than 6 cells', count(*) FROM o WHERE NOT failed AND s = 0 GROUP BY 1""",
+    ),
+    "ingest_details": (
+        lambda spark, sf: _stored_details(spark, sf).table.select(
+            "platform", "id", "title", "company_name", F.col("salary_min").cast("double").alias("salary_min"),
+            F.col("salary_max").cast("double").alias("salary_max"), "has_salary_info", "url"),
+        f"""{_DETAILS_SQL} SELECT CASE WHEN k % 2 = 0 THEN 'cv_ge' ELSE 'jobs_ge' END AS platform, CAST(k AS VARCHAR) AS id,
+        title, company AS company_name, CASE WHEN k % 2 = 0 THEN CAST(low AS DOUBLE) END AS salary_min,
+        CASE WHEN k % 2 = 0 THEN CAST(low + 50 AS DOUBLE) END AS salary_max, k % 2 = 0 AS has_salary_info, '/p/' || k AS url
+        FROM p WHERE k % 14 <> 0""",
+    ),
+    "ingest_children": (
+        lambda spark, sf: sets.union_sources([
+            df.select(F.lit(name).alias("table_name"), "platform", "job_id", F.col(value).alias("value"))
+            for name, value in (("job_requirements", "requirement"), ("job_responsibilities", "responsibility"),
+                                ("job_contacts", "contact_value"))
+            for df in [_stored_details(spark, sf).children[name]]
+        ]),
+        f"""{_DETAILS_SQL}, g AS (SELECT * FROM p WHERE k % 2 = 0 AND k % 14 <> 0)
+        SELECT 'job_requirements' AS table_name, 'cv_ge' AS platform, CAST(k AS VARCHAR) AS job_id, category AS value FROM g
+        UNION ALL SELECT 'job_requirements', 'cv_ge', CAST(k AS VARCHAR), 'line ' || k FROM g
+        UNION ALL SELECT 'job_responsibilities', 'cv_ge', CAST(k AS VARCHAR), job_type FROM g
+        UNION ALL SELECT 'job_responsibilities', 'cv_ge', CAST(k AS VARCHAR),
+            'ხელფასი: ' || low || '-' || (low + 50) || ' ლარი' FROM g
+        UNION ALL SELECT 'job_contacts', 'cv_ge', CAST(k AS VARCHAR), 'hr' || k || '@example.org' FROM g""",
+    ),
+    "detail_rejects": (
+        lambda spark, sf: _stored_details(spark, sf).rejects,
+        """SELECT 'cv_ge' AS platform, CAST(o_orderkey AS VARCHAR) AS id, '/p/' || o_orderkey AS url, 'no content' AS error
+        FROM orders WHERE o_orderkey % 14 = 0""",
+    ),
+    "crawl_feed": (
+        lambda spark, sf: ingest.crawl_feed(listing_pages(spark, sf).withColumn("status", F.lit(200)), AS_OF).table.select(
+            "id", "platform", "title", "url", "company_name", "location_city", "published_date", "scraped_date", "is_vip"),
+        f"""WITH l AS ({_LISTINGS_SQL}) SELECT id, platform, title, url, company AS company_name, city AS location_city,
+        published AS published_date, TIMESTAMP '{AS_OF}' AS scraped_date, is_vip FROM l""",
+    ),
+    "page_texts": (
+        # the given pages through the same extraction job, with a layout of their own
+        lambda spark, sf: _page_texts(spark, sf),
+        r"""SELECT page_id, nullif(trim(replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1', 1), '&amp;', '&')), '') AS title,
+        CAST(len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=')) AS INTEGER) AS links FROM pages""",
+    ),
+}
+
+
+def _page_texts(spark, sf):
+    from vacancylake.functions.markup import Step
+    from vacancylake.operators.layouts import Field, Layout
+
+    layout = Layout(root=(), fields={
+        "title": Field(((Step("h1"),),)), "links": Field(((Step("a"),),), "href", True),
+    })
+    pages = table(spark, sf, "pages").withColumn("platform", F.lit("given"))
+    return extract.raw_detail_rows(pages, {"given": layout}).select(
+        "page_id", F.nullif("title", F.lit("")).alias("title"), F.size("links").alias("links"))

@@ -1 +1,57 @@
-QUERIES = {}
+"""Queries over time windows and over a stream that ends when its files are read."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vacancylake.plans.queries import Registered
+from vacancylake.plans.queries.storage import SIGHTINGS, sightings
+from vacancylake.session import new_shared_path
+from vacancylake.sources.driver_tables import table
+from vacancylake.streaming import ingest, windows
+from vacancylake.streaming.log import PostingLog
+
+_DAY = "2024-02-01 00:00:00"
+
+
+def _streamed_upsert(spark, sf):
+    """The events file as a stream of writes into a posting log, then the log's table."""
+    writes = sightings(spark, sf)
+    kinds = {f.name: f.dataType.simpleString() for f in writes.schema}
+    home = new_shared_path(spark, "streamed-upsert")
+    log = PostingLog(spark, f"{home}/log", kinds)
+    stream = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
+    ingest.write_batches(
+        stream, log, f"{home}/checkpoint", _DAY, ["event_id"],
+        lambda batch: batch.select(
+            F.concat(F.lit("site_"), F.col("user_id") % 3).alias("platform"),
+            F.concat(F.col("user_id") % 50, F.lit("-"), F.lower("event_type")).alias("id"),
+            F.col("props").alias("title"),
+            F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("text "), F.col("event_id"))).alias("description"),
+            F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("experience_level"),
+            F.lit(None).cast("string").alias("education_level"), F.col("ts").alias("scraped_date"), "event_id"),
+    ).awaitTermination()
+    return log.current()
+
+
+QUERIES: Registered = {
+    "activity_windows": (
+        lambda spark, sf: windows.activity_windows(table(spark, sf, "events"), "ts", "event_type"),
+        """WITH w AS (SELECT event_type, ts, unnest(generate_series(date_trunc('hour', ts) - INTERVAL 23 HOUR,
+                             date_trunc('hour', ts), INTERVAL 1 HOUR)) AS s FROM events)
+        SELECT s AS window_start, s + INTERVAL 24 HOUR AS window_end, event_type, count(*) AS n, max(ts) AS last_seen
+        FROM w GROUP BY s, event_type""",
+    ),
+    "daily_windows": (
+        lambda spark, sf: windows.daily_windows(table(spark, sf, "events"), "ts"),
+        "SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1",
+    ),
+    "streamed_upsert": (
+        _streamed_upsert,
+        f"""{SIGHTINGS} SELECT platform, id, arg_min(title, event_id) AS title,
+        arg_min_null(description, event_id) AS description, arg_min_null(experience_level, event_id) AS experience_level,
+        CAST(NULL AS VARCHAR) AS education_level, arg_max(scraped_date, event_id) AS scraped_date,
+        min(event_id) AS event_id, TIMESTAMP '{_DAY}' AS created_at, TIMESTAMP '{_DAY}' AS updated_at
+        FROM writes GROUP BY platform, id""",
+    ),
+}
