@@ -6,13 +6,23 @@ running number, so everything inside an element is a range of numbers.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
 
-# Elements that have no content.
+# Elements without content, and elements whose content is not shown.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_NOT_VISIBLE = {"script", "style", "template"}
+_NOT_SHOWN = {"script", "style"}
+
+_TOKEN = re.compile(
+    r"""<!--(?P<comment>.*?)(?:-->|\Z)|<[!?][^>]*>"""
+    r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>""",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_REFERENCE = re.compile(r"&[#A-Za-z0-9]+(?:;|(?![=A-Za-z0-9;]))")
+_END_OF = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _NOT_SHOWN}
 
 
 @dataclass(frozen=True)
@@ -27,83 +37,110 @@ class Step:
     around: bool = False
 
     def fits(self, element: Element) -> bool:
-        if self.tag != "*" and element.tag != self.tag:
+        wanted = self.cls or self.part or self.id
+        if wanted is None:
+            return True
+        if wanted.split()[0] not in element.source:
             return False
         if self.id is not None and element.attrs.get("id") != self.id:
             return False
         if self.cls is None and self.part is None:
             return True
-        classes = (element.attrs.get("class") or "").split()
-        candidates = [*classes, " ".join(classes)]
+        classes = element.attrs.get("class", "").split()
+        whole = " ".join(classes)
         if self.cls is not None:
-            return self.cls in candidates
-        return any(self.part in c for c in candidates)
+            return self.cls == whole or self.cls in classes
+        return self.part in whole
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "start", "end", "parent")
-
-    def __init__(self, tag: str, attrs: dict, start: int, parent: Element | None):
-        self.tag, self.attrs, self.start, self.end, self.parent = tag, attrs, start, start, parent
-
-
-class Page(HTMLParser):
+    __slots__ = ("tag", "source", "start", "end", "parent", "_attrs")
+
+    def __init__(self, tag: str, source: str, start: int, parent: Element | None):
+        self.tag, self.source, self.start, self.end, self.parent = tag, source, start, start, parent
+        self._attrs = None
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        """Parsed on first use: most elements are never asked."""
+        if self._attrs is None:
+            self._attrs = {}
+            for name, *values in _ATTRIBUTE.findall(self.source):
+                value = next((v for v in values if v), "")
+                if "&" in value:
+                    value = _REFERENCE.sub(lambda m: unescape(m.group()), value)
+                self._attrs.setdefault(name.lower(), value)
+        return self._attrs
+
+
+class Page:
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self._clock = 0
-        self.elements: list[Element] = []
-        self._starts: list[int] = []
+        self.root = Element("", "", 0, None)
+        self.hidden: list[str] = []
+        self._by_tag: dict[str, tuple[list[int], list[Element]]] = {"*": ([], [])}
         self._texts: list[str] = []
         self._text_at: list[int] = []
-        self.hidden: list[str] = []
-        self.root = Element("", {}, 0, None)
-        self._open = [self.root]
-        self.feed(html)
-        self.close()
-        self._close_down_to(0)
-
-    def handle_starttag(self, tag, attrs):
-        self._clock += 1
-        element = Element(tag, {k: v or "" for k, v in attrs}, self._clock, self._open[-1])
-        self.elements.append(element)
-        self._starts.append(self._clock)
-        if tag not in _VOID:
-            self._open.append(element)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self._open) - 1, 0, -1):
-            if self._open[depth].tag == tag:
-                self._close_down_to(depth)
-                return
-
-    def handle_data(self, data):
-        if self._open[-1].tag in _NOT_VISIBLE:
-            self.hidden.append(data)
-            return
-        self._clock += 1
-        self._texts.append(data)
-        self._text_at.append(self._clock)
-
-    def handle_comment(self, data):
-        self.hidden.append(data)
-
-    def _close_down_to(self, depth: int) -> None:
-        for element in self._open[depth:]:
+        self._clock = 0
+        self._read(html)
+
+    def _read(self, html: str) -> None:
+        open_elements, at = [self.root], 0
+        while True:
+            token = _TOKEN.search(html, at)
+            if token is None:
+                break
+            self._add_text(html[at:token.start()])
+            at = token.end()
+            tag = token["tag"]
+            if tag is None:
+                if token["comment"]:
+                    self.hidden.append(token["comment"])
+                continue
+            tag = tag.lower()
+            if token["close"]:
+                for depth in range(len(open_elements) - 1, 0, -1):
+                    if open_elements[depth].tag == tag:
+                        self._end(open_elements, depth)
+                        break
+                continue
+            self._clock += 1
+            element = Element(tag, token["attrs"], self._clock, open_elements[-1])
+            for key in (tag, "*"):
+                starts, elements = self._by_tag.setdefault(key, ([], []))
+                starts.append(self._clock)
+                elements.append(element)
+            if tag in _NOT_SHOWN:
+                end = _END_OF[tag].search(html, at)
+                self.hidden.append(html[at:end.start() if end else len(html)])
+                at = end.end() if end else len(html)
+            elif tag not in _VOID and not token["attrs"].endswith("/"):
+                open_elements.append(element)
+        self._add_text(html[at:])
+        self._end(open_elements, 0)
+
+    def _add_text(self, text: str) -> None:
+        if text:
+            self._clock += 1
+            self._texts.append(unescape(text) if "&" in text else text)
+            self._text_at.append(self._clock)
+
+    def _end(self, open_elements: list[Element], depth: int) -> None:
+        for element in open_elements[depth:]:
             element.end = self._clock
-        del self._open[max(depth, 1):]
+        del open_elements[depth:]
 
     def select(self, step: Step, inside: Element | None = None) -> list[Element]:
         inside = inside or self.root
         if step.around:
             found, element = [], inside.parent
             while element is not None:
-                if step.fits(element):
+                if element.tag == step.tag and step.fits(element):
                     found.append(element)
                 element = element.parent
             return found
-        first = bisect_left(self._starts, inside.start + 1)
-        last = bisect_left(self._starts, inside.end + 1)
-        return [e for e in self.elements[first:last] if step.fits(e)]
+        starts, elements = self._by_tag.get(step.tag, ([], []))
+        first, last = bisect_left(starts, inside.start + 1), bisect_left(starts, inside.end + 1)
+        return [e for e in elements[first:last] if step.fits(e)]
 
     def follow(self, steps: tuple[Step, ...], inside: Element | None = None) -> Element | None:
         inside = inside or self.root

@@ -105,20 +105,30 @@ def _extractor(layouts: dict[str, Layout], schema: pa.Schema) -> Callable:
     return run
 
 
-def raw_listing_rows(pages: DataFrame, layouts: dict[str, Layout] = LISTING_LAYOUTS) -> DataFrame:
+def raw_listing_rows(
+    pages: DataFrame, layouts: dict[str, Layout] = LISTING_LAYOUTS, tasks: int | None = None
+) -> DataFrame:
     """One row per listing entry found on each page; ``problem`` says why a row is unusable.
 
     One pass for all sources: the layout is chosen by each page's ``platform``.
+    Pages stay where they are read unless ``tasks`` is given, which helps when
+    they come in a few unsplittable files.
     """
-    ship_package(pages.sparkSession)
-    schema = _raw_schema(_LISTING_TEXTS, _LISTING_LISTS)
-    return pages.select("page_id", "platform", "html").mapInArrow(_extractor(layouts, schema), _ddl(schema))
+    return _raw_rows(pages, layouts, _raw_schema(_LISTING_TEXTS, _LISTING_LISTS), tasks)
+
+
+def raw_detail_rows(
+    pages: DataFrame, layouts: dict[str, Layout] = DETAIL_LAYOUTS, tasks: int | None = None
+) -> DataFrame:
+    return _raw_rows(pages, layouts, _raw_schema(_DETAIL_TEXTS, _DETAIL_LISTS), tasks)
 
 
-def raw_detail_rows(pages: DataFrame, layouts: dict[str, Layout] = DETAIL_LAYOUTS) -> DataFrame:
+def _raw_rows(pages: DataFrame, layouts: dict[str, Layout], schema: pa.Schema, tasks: int | None) -> DataFrame:
     ship_package(pages.sparkSession)
-    schema = _raw_schema(_DETAIL_TEXTS, _DETAIL_LISTS)
-    return pages.select("page_id", "platform", "html").mapInArrow(_extractor(layouts, schema), _ddl(schema))
+    pages = pages.select("page_id", "platform", "html")
+    if tasks is not None:
+        pages = pages.repartition(tasks, "page_id")
+    return pages.mapInArrow(_extractor(layouts, schema), _ddl(schema))
 
 
 def _nested(fields: str, **values: Column) -> Column:

@@ -34,11 +34,16 @@ _GENERATED_PAGE = (
 )
 
 
+def _spread(rows):
+    """Narrow rows over all tasks before pages are made of them: a small file is one task otherwise."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+
+
 def listing_pages(spark, sf):
     """One page per order, in the layout of one of three sources."""
     rows = postings(spark, sf, ["id", "title", "company_name", "city", "is_remote", "published_date", "salary_min",
                                 "category"])
-    rows = rows.withColumn("key", F.col("id").cast("bigint"))
+    rows = _spread(rows).withColumn("key", F.col("id").cast("bigint"))
     key = F.col("key")
     ends = F.col("published_date") + F.make_dt_interval((key % 20).cast("int"))
 
@@ -132,7 +137,7 @@ _PLAIN_PAGE = (
 
 def detail_pages(spark, sf):
     """One detail page per order; one in seven has no content."""
-    rows = postings(spark, sf, ["id", "title", "company_name", "category", "job_type", "salary_min"])
+    rows = _spread(postings(spark, sf, ["id", "title", "company_name", "category", "job_type", "salary_min"]))
     key = F.col("id").cast("bigint")
     low = F.floor(F.coalesce("salary_min", F.lit(100))).cast("bigint")
     content = F.format_string(_CONTENT_PAGE, "title", "category", "id", "job_type", low, low + 50, "id", "company_name")
@@ -263,5 +268,6 @@ def _page_texts(spark, sf):
         "title": Field(((Step("h1"),),)), "links": Field(((Step("a"),),), "href", True),
     })
     pages = table(spark, sf, "pages").withColumn("platform", F.lit("given"))
-    return extract.raw_detail_rows(pages, {"given": layout}).select(
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return extract.raw_detail_rows(pages, {"given": layout}, tasks).select(
         "page_id", F.nullif("title", F.lit("")).alias("title"), F.size("links").alias("links"))

@@ -62,8 +62,15 @@ def page_frontier(
 
 
 def parse_bodies(bodies: DataFrame, column: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
-    """JSON bodies to columns; bodies that are not JSON objects go to the rejects."""
-    parsed = bodies.withColumn("_body", F.try_parse_json(F.col(column)))
-    good = parsed.where(F.col("_body").isNotNull()).drop("_body").withColumn("body", F.from_json(column, schema))
-    bad = parsed.where(F.col("_body").isNull()).drop("_body").withColumn("error", F.lit("not JSON"))
+    """JSON bodies to columns; bodies that are not one JSON value go to the rejects.
+
+    The body is read as the only element of an array, so text after the value
+    counts as an error instead of being ignored.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]")))
+    one = F.try_variant_get(wrapped, "$[0]", "variant").isNotNull()
+    more = F.try_variant_get(wrapped, "$[1]", "variant").isNotNull()
+    parsed = bodies.withColumn("_ok", F.coalesce(one & ~more, F.lit(False)))
+    good = parsed.where("_ok").drop("_ok").withColumn("body", F.from_json(column, schema))
+    bad = parsed.where(~F.col("_ok")).drop("_ok").withColumn("error", F.lit("not JSON"))
     return good, bad
