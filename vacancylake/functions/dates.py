@@ -31,14 +31,13 @@ def moment(value: str | dt.datetime | Column) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def month_number(name: Column, names: list[list[str]] | None = None) -> Column:
-    pairs = [F.lit(x) for group in (names or ALL_MONTH_NAMES) for i, n in enumerate(group, 1) for x in (n, i)]
-    # one literal map, folded once by the optimizer
-    return F.try_element_at(F.create_map(*pairs), name)
+def month_map(names: list[list[str]] = ALL_MONTH_NAMES) -> Column:
+    """Month name -> number, as one literal the optimizer folds."""
+    return F.create_map(*[F.lit(x) for group in names for i, n in enumerate(group, 1) for x in (n, i)])
 
 
 def day_month(
-    text: Column, as_of: str | dt.datetime | Column, names: list[list[str]] | None = None, roll_year: bool = False
+    text: Column, as_of: str | dt.datetime | Column, months: Column | None = None, roll_year: bool = False
 ) -> Column:
     """``25 ივნისი`` -> timestamp in the year of ``as_of``; anything else -> NULL.
 
@@ -48,7 +47,7 @@ def day_month(
     now = moment(as_of)
     parts = F.split(strip(text), _BLANKS)
     day = F.get(parts, F.lit(0)).try_cast("int")
-    month = month_number(F.get(parts, F.lit(1)), names)
+    month = F.try_element_at(month_map() if months is None else months, F.get(parts, F.lit(1)))
 
     def in_year(year: Column) -> Column:
         zero = F.lit(0)

@@ -34,10 +34,11 @@ def _salary(low: Column, high: Column) -> Column:
 def salary_from_label(text: Column) -> Column:
     """``2,800 - 3,000 ₾ თვეში`` -> min, max, currency, period; NULL when no number is there."""
     clean = F.replace(F.replace(text, F.lit(fixed.LARI_SIGN), F.lit("")), F.lit(fixed.PER_MONTH_WORD), F.lit(""))
-    is_range = clean.rlike(_RANGE)
-    low = F.when(is_range, F.regexp_extract(clean, _RANGE, 1)).otherwise(F.regexp_extract(clean, _SINGLE, 1))
-    high = F.when(is_range, F.regexp_extract(clean, _RANGE, 2)).otherwise(low)
-    return _salary(_amount(low), _amount(high))
+    pair = F.array(F.regexp_extract(clean, _RANGE, 1), F.regexp_extract(clean, _RANGE, 2))
+    single = F.regexp_extract(clean, _SINGLE, 1)
+    bounds = F.when(clean.rlike(_RANGE), pair).otherwise(F.array(single, single))
+    amounts = F.transform(bounds, _amount)
+    return F.get(F.transform(F.array(amounts), lambda a: _salary(F.get(a, F.lit(0)), F.get(a, F.lit(1)))), F.lit(0))
 
 
 def salary_from_prose(text: Column, grouped_digits: bool = True) -> Column:

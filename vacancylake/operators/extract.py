@@ -168,9 +168,10 @@ def listings_from_rows(rows: DataFrame, as_of: str | dt.datetime, roll_year: boo
         F.col("period"))
     start, end = dates.split_range(period, normalise_dashes=True)
 
+    months = _by_source(**{p: dates.month_map(names) for p, names in dates.MONTH_NAMES.items()})
+
     def day(text: Column) -> Column:
-        names = {p: dates.day_month(text, now, n, roll_year) for p, n in dates.MONTH_NAMES.items()}
-        return _by_source(**names)
+        return dates.day_month(text, now, months, roll_year)
 
     published = F.when(F.col("platform") == "jobs_ge", F.col("published")).otherwise(start)
     deadline = F.when(F.col("platform") == "jobs_ge", F.col("deadline")).otherwise(end)

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from vacancylake import schemas
 from vacancylake.functions import dates
 from vacancylake.operators import children, extract, filters, joins, projections, quality, ranking, upsert
+from vacancylake.session import stored
 from vacancylake.sources.raw_pages import split_by_status
 
 
 @dataclass
 class IngestResult:
-    """All frames are lazy; nothing is read until one of them is written."""
+    """Frames over one stored extraction: pages are parsed once, however many frames are written."""
 
     table: DataFrame
     rejects: DataFrame
@@ -39,7 +40,7 @@ def ingest_listings(
     counts; against the stored table the upsert rule applies.
     """
     good, failed = split_by_status(pages)
-    rows = extract.extract_listings(good, as_of)
+    rows = stored(extract.extract_listings(good, as_of), "listing-rows")
     order = ["page_id", "row_no"]
     flat = projections.flatten_listing(extract.accepted(rows), as_of, keep=order)
     wanted = filters.filtered(flat, location=location, query=query, has_salary=has_salary)
@@ -66,7 +67,7 @@ def ingest_details(
     listing whose page is missing or unreadable goes to the rejects, not to the
     table.
     """
-    fields = extract.extract_details(detail_pages, as_of, mode)
+    fields = stored(extract.extract_details(detail_pages, as_of, mode), "detail-fields")
     located = fields.drop("platform").join(detail_pages.select("page_id", "platform", "id"), "page_id")
     both = joins.with_details(
         listings.select("platform", "id", "title", "url"), located, ["platform", "id"], shared=["title"]

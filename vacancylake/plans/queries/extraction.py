@@ -162,6 +162,15 @@ def _stored_details(spark, sf):
     return ingest.ingest_details(listings, pages, ingest.empty_table(spark, "job_details"), AS_OF)
 
 
+def _child_values(child_tables):
+    values = {"job_requirements": "requirement", "job_responsibilities": "responsibility",
+              "job_contacts": "contact_value"}
+    return sets.union_sources([
+        child_tables[name].select(F.lit(name).alias("table_name"), "platform", "job_id", F.col(value).alias("value"))
+        for name, value in values.items()
+    ])
+
+
 def _first_run(spark, sf):
     pages = listing_pages(spark, sf).withColumn("status", F.when(F.col("page_id") % 19 == 0, 500).otherwise(200))
     return ingest.ingest_listings(pages, ingest.empty_table(spark, "job_listings"), AS_OF, query="BUILD")
@@ -226,12 +235,7 @@ QUERIES: Registered = {
         FROM p WHERE k % 14 <> 0""",
     ),
     "ingest_children": (
-        lambda spark, sf: sets.union_sources([
-            df.select(F.lit(name).alias("table_name"), "platform", "job_id", F.col(value).alias("value"))
-            for name, value in (("job_requirements", "requirement"), ("job_responsibilities", "responsibility"),
-                                ("job_contacts", "contact_value"))
-            for df in [_stored_details(spark, sf).children[name]]
-        ]),
+        lambda spark, sf: _child_values(_stored_details(spark, sf).children),
         f"""{_DETAILS_SQL}, g AS (SELECT * FROM p WHERE k % 2 = 0 AND k % 14 <> 0)
         SELECT 'job_requirements' AS table_name, 'cv_ge' AS platform, CAST(k AS VARCHAR) AS job_id, category AS value FROM g
         UNION ALL SELECT 'job_requirements', 'cv_ge', CAST(k AS VARCHAR), 'line ' || k FROM g

@@ -65,6 +65,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For results with several readers: the work above is not repeated per reader,
+    and a lost executor costs a re-read, not a re-computation.
+    """
+    path = new_shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python tasks of this application the package's own modules, once."""
     context = spark.sparkContext
