@@ -10,19 +10,20 @@ import re
 from bisect import bisect_left
 from dataclasses import dataclass
 from html import unescape
+from operator import attrgetter
 
-# Elements without content, and elements whose content is not shown.
+# Elements without content.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_NOT_SHOWN = {"script", "style"}
 
 _TOKEN = re.compile(
-    r"""<!--(?P<comment>.*?)(?:-->|\Z)|<[!?][^>]*>"""
-    r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>""",
-    re.S,
+    r"""<!--(.*?)(?:-->|\Z)|<[!?][^>]*>"""
+    r"""|<(script|style)\b[^>]*>(.*?)(?:</\2\s*>|\Z)"""
+    r"""|<(/?)([a-z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>""",
+    re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _REFERENCE = re.compile(r"&[#A-Za-z0-9]+(?:;|(?![=A-Za-z0-9;]))")
-_END_OF = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _NOT_SHOWN}
+_start_of = attrgetter("start")
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,10 @@ class Step:
     at: int = 0
     around: bool = False
 
+    @property
+    def plain(self) -> bool:
+        return self.cls is None and self.part is None and self.id is None
+
     def fits(self, element: Element) -> bool:
         wanted = self.cls or self.part or self.id
         if wanted is None:
@@ -76,58 +81,53 @@ class Element:
 class Page:
     def __init__(self, html: str):
         self.root = Element("", "", 0, None)
-        self.hidden: list[str] = []
-        self._by_tag: dict[str, tuple[list[int], list[Element]]] = {"*": ([], [])}
+        self.hidden: list[str] = []  # comments, scripts, styles
+        self._all: list[Element] = []
+        self._by_tag: dict[str, list[Element]] = {"*": self._all}
         self._texts: list[str] = []
         self._text_at: list[int] = []
-        self._clock = 0
         self._read(html)
 
     def _read(self, html: str) -> None:
-        open_elements, at = [self.root], 0
-        while True:
-            token = _TOKEN.search(html, at)
-            if token is None:
-                break
-            self._add_text(html[at:token.start()])
+        texts, text_at, everything, by_tag = self._texts, self._text_at, self._all, self._by_tag
+        open_elements, at, clock = [self.root], 0, 0
+        for token in _TOKEN.finditer(html):
+            start = token.start()
+            if start > at:
+                clock += 1
+                texts.append(html[at:start])
+                text_at.append(clock)
             at = token.end()
-            tag = token["tag"]
+            comment, raw, hidden, close, tag, source = token.groups()
             if tag is None:
-                if token["comment"]:
-                    self.hidden.append(token["comment"])
+                if comment or hidden:
+                    self.hidden.append(comment or hidden)
                 continue
             tag = tag.lower()
-            if token["close"]:
+            if close:
                 for depth in range(len(open_elements) - 1, 0, -1):
                     if open_elements[depth].tag == tag:
-                        self._end(open_elements, depth)
+                        for element in open_elements[depth:]:
+                            element.end = clock
+                        del open_elements[depth:]
                         break
                 continue
-            self._clock += 1
-            element = Element(tag, token["attrs"], self._clock, open_elements[-1])
-            for key in (tag, "*"):
-                starts, elements = self._by_tag.setdefault(key, ([], []))
-                starts.append(self._clock)
-                elements.append(element)
-            if tag in _NOT_SHOWN:
-                end = _END_OF[tag].search(html, at)
-                self.hidden.append(html[at:end.start() if end else len(html)])
-                at = end.end() if end else len(html)
-            elif tag not in _VOID and not token["attrs"].endswith("/"):
+            clock += 1
+            element = Element(tag, source, clock, open_elements[-1])
+            everything.append(element)
+            same = by_tag.get(tag)
+            if same is None:
+                by_tag[tag] = [element]
+            else:
+                same.append(element)
+            if tag not in _VOID and not source.endswith("/"):
                 open_elements.append(element)
-        self._add_text(html[at:])
-        self._end(open_elements, 0)
-
-    def _add_text(self, text: str) -> None:
-        if text:
-            self._clock += 1
-            self._texts.append(unescape(text) if "&" in text else text)
-            self._text_at.append(self._clock)
-
-    def _end(self, open_elements: list[Element], depth: int) -> None:
-        for element in open_elements[depth:]:
-            element.end = self._clock
-        del open_elements[depth:]
+        if at < len(html):
+            clock += 1
+            texts.append(html[at:])
+            text_at.append(clock)
+        for element in open_elements:
+            element.end = clock
 
     def select(self, step: Step, inside: Element | None = None) -> list[Element]:
         inside = inside or self.root
@@ -138,21 +138,42 @@ class Page:
                     found.append(element)
                 element = element.parent
             return found
-        starts, elements = self._by_tag.get(step.tag, ([], []))
-        first, last = bisect_left(starts, inside.start + 1), bisect_left(starts, inside.end + 1)
+        elements = self._by_tag.get(step.tag, ())
+        first = bisect_left(elements, inside.start + 1, key=_start_of)
+        last = bisect_left(elements, inside.end + 1, first, key=_start_of)
         return [e for e in elements[first:last] if step.fits(e)]
 
     def follow(self, steps: tuple[Step, ...], inside: Element | None = None) -> Element | None:
         inside = inside or self.root
         for step in steps:
-            found = self.select(step, inside)
-            if len(found) <= step.at:
+            inside = self._nth(step, inside)
+            if inside is None:
                 return None
-            inside = found[step.at]
         return inside
 
+    def _nth(self, step: Step, inside: Element) -> Element | None:
+        if step.around:
+            found = self.select(step, inside)
+            return found[step.at] if len(found) > step.at else None
+        elements = self._by_tag.get(step.tag, ())
+        at = bisect_left(elements, inside.start + 1, key=_start_of)
+        left, any_fits = step.at, step.plain
+        if any_fits:
+            at, left = at + left, 0
+        while at < len(elements):
+            element = elements[at]
+            if element.start > inside.end:
+                return None
+            if any_fits or step.fits(element):
+                if left == 0:
+                    return element
+                left -= 1
+            at += 1
+        return None
+
     def runs(self, element: Element) -> list[str]:
-        return self._texts[bisect_left(self._text_at, element.start):bisect_left(self._text_at, element.end + 1)]
+        first, last = bisect_left(self._text_at, element.start), bisect_left(self._text_at, element.end + 1)
+        return [unescape(t) if "&" in t else t for t in self._texts[first:last]]
 
     def text(self, element: Element) -> str:
         return "".join(self.runs(element)).strip()
