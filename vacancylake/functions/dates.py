@@ -101,3 +101,16 @@ def days_before(as_of: str | dt.datetime | Column, days: int) -> Column:
 
 def hours_before(as_of: str | dt.datetime | Column, hours: int) -> Column:
     return moment(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours))
+
+
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def as_instant(stamp: Column) -> Column:
+    """A zone-less timestamp read as UTC, whatever the session zone; watermarks need an instant."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", moment(_EPOCH), stamp))
+
+
+def from_instant(instant: Column) -> Column:
+    """The UTC reading of an instant, without a zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), moment(_EPOCH))

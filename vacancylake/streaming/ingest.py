@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vacancylake import schemas
+from vacancylake.functions import dates
 from vacancylake.operators import extract
 from vacancylake.operators.projections import flatten_listing
 from vacancylake.operators.quality import row_rules, split_by_rules
@@ -25,7 +26,9 @@ def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
 
 def seen_once(stream: DataFrame, key: list[str], moment: str, delay: str) -> DataFrame:
     """Drop repeats of a key that arrive within ``delay``; state older than that is forgotten."""
-    return stream.withWatermark(moment, delay).dropDuplicatesWithinWatermark(key)
+    timed = stream.withColumn(moment, dates.as_instant(F.col(moment)))
+    once = timed.withWatermark(moment, delay).dropDuplicatesWithinWatermark(key)
+    return once.withColumn(moment, dates.from_instant(F.col(moment)))
 
 
 def write_batches(

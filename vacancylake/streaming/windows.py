@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacancylake.functions import dates
+
 
-def _late_by(df: DataFrame, moment: str, delay: str | None) -> DataFrame:
-    return df.withWatermark(moment, delay) if delay and df.isStreaming else df
+def _timed(df: DataFrame, moment: str, delay: str | None) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """The frame ready for windows over ``moment``, and how to show its times.
+
+    A stream gets a watermark, which Spark keeps on instants only; a batch stays zone-less.
+    """
+    if not df.isStreaming:
+        return df, lambda column: column
+    df = df.withColumn(moment, dates.as_instant(F.col(moment)))
+    return (df.withWatermark(moment, delay) if delay else df), dates.from_instant
 
 
 def activity_windows(
     df: DataFrame, moment: str, by: str, length: str = "24 hours", step: str = "1 hour", delay: str | None = "1 hour"
 ) -> DataFrame:
     """Count and latest moment per source in sliding windows."""
-    return (
-        _late_by(df, moment, delay)
-        .groupBy(F.window(moment, length, step).alias("w"), by)
-        .agg(F.count("*").alias("n"), F.max(moment).alias("last_seen"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), by, "n", "last_seen")
+    df, shown = _timed(df, moment, delay)
+    counted = df.groupBy(F.window(moment, length, step).alias("w"), by).agg(
+        F.count("*").alias("n"), F.max(moment).alias("last_seen"))
+    return counted.select(
+        shown(F.col("w.start")).alias("window_start"), shown(F.col("w.end")).alias("window_end"), by, "n",
+        shown(F.col("last_seen")).alias("last_seen"),
     )
 
 
 def daily_windows(df: DataFrame, moment: str, delay: str | None = "1 day") -> DataFrame:
     """Count per day."""
-    return (
-        _late_by(df, moment, delay)
-        .groupBy(F.window(moment, "1 day").alias("w"))
-        .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias("day"), "n")
-    )
+    df, shown = _timed(df, moment, delay)
+    counted = df.groupBy(F.window(moment, "1 day").alias("w")).agg(F.count("*").alias("n"))
+    return counted.select(shown(F.col("w.start")).alias("day"), "n")
