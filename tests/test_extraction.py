@@ -80,7 +80,7 @@ def test_details(spark):
     plain = """<h1> T </h1><div class="company-info"><a>Q</a></div><div id="job_description"> a <b> b </b></div>
     <script>"$"</script>"""
     entries = pages(spark, ("cv_ge", 200, content), ("jobs_ge", 200, plain), ("cv_ge", 200, "<p>"))
-    fields = {r.page_id: r for r in extract.extract_details(entries, NOW).collect()}
+    fields = {r.page_id: r for r in extract.extract_details(entries).collect()}
     assert fields[0].requirements == "ა\nx\nხელფასი: 1,200 ლარი" and fields[0].contact_email == "a@b.c"
     assert fields[0].company_name == "Co" and fields[0].salary_text.amount == "1200"
     assert (fields[1].title, fields[1].description, fields[1].company_name, fields[1].has_salary_mark) == ("T", "ab", "Q", True)

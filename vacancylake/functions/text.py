@@ -11,7 +11,8 @@ WHITESPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+# starts only where a run of address characters starts, and never gives characters back: one pass over the text
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 _NAMED_ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'",
                    "&copy;": "©", "&middot;": "·", "&amp;": "&"}
 
@@ -39,7 +40,7 @@ def matched(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def first_email(text: Column) -> Column:
-    return matched(text, EMAIL, 0)
+    return F.when(F.contains(text, F.lit("@")), matched(text, EMAIL, 0))
 
 
 def mailto_address(html: Column) -> Column:

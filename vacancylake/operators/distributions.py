@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancylake.operators.quantiles import exact_quantiles
-from vacancylake.operators.small_side import join_small
+from vacancylake.operators.small_side import measured
 from vacancylake.session import ship_package
 
 GRID_POINTS = 200
@@ -135,5 +135,7 @@ def _fenced(df: DataFrame, value: str, by: str) -> tuple[DataFrame, DataFrame]:
         (q[0] - 1.5 * (q[2] - q[0])).alias("low_fence"),
         (q[2] + 1.5 * (q[2] - q[0])).alias("high_fence"),
     )
+    fenced, few = measured(fenced)  # read three times below; one row per source
+    fences = fenced.select(by, "low_fence", "high_fence")
     values = df.where(F.col(value).isNotNull()).select(by, F.col(value).cast("double").alias("x"))
-    return join_small(values, fenced.select(by, "low_fence", "high_fence"), by), fenced
+    return values.join(F.broadcast(fences) if few else fences, by), fenced

@@ -32,9 +32,13 @@ _DETAIL_TEXTS = ["title", "body", "company", "salary_box"]
 _DETAIL_LISTS = ["links"]
 
 
-def _raw_schema(texts: list[str], lists: list[str]) -> pa.Schema:
+_ROWS_PER_BATCH = 5000
+
+
+def _raw_schema(texts: list[str], lists: list[str], keep: list[str]) -> pa.Schema:
     return pa.schema(
         [("page_id", pa.int64()), ("platform", pa.string()), ("row_no", pa.int32())]
+        + [(k, pa.string()) for k in keep]
         + [(t, pa.string()) for t in texts]
         + [(t, pa.list_(pa.string())) for t in lists]
         + [("mentions_money", pa.bool_()), ("problem", pa.string())]
@@ -87,20 +91,28 @@ def _records(html: str, layout: Layout) -> Iterator[dict]:
         yield record
 
 
-def _extractor(layouts: dict[str, Layout], schema: pa.Schema) -> Callable:
+def _extractor(layouts: dict[str, Layout], schema: pa.Schema, keep: list[str]) -> Callable:
+    def rows_of(head: dict, html: str | None) -> Iterator[dict]:
+        layout = layouts.get(head["platform"])
+        if layout is None:
+            yield head | {"problem": "no layout for this source"}
+            return
+        try:
+            yield from [head | record for record in _records(html or "", layout)]
+        except Exception as error:  # noqa: BLE001 - one bad page must not end the job
+            yield head | {"problem": f"{type(error).__name__}: {error}"}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads = ["page_id", "platform", *keep]
+        out = []
         for batch in batches:
-            out = []
-            for page_id, platform, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "platform", "html"))):
-                head = {"page_id": page_id, "platform": platform}
-                if platform not in layouts:
-                    out.append(head | {"problem": "no layout for this source"})
-                    continue
-                try:
-                    out.extend(head | record for record in _records(html or "", layouts[platform]))
-                except Exception as error:  # noqa: BLE001 - one bad page must not end the job
-                    out.append(head | {"problem": f"{type(error).__name__}: {error}"})
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+            columns = [batch.column(name).to_pylist() for name in [*heads, "html"]]
+            for *values, html in zip(*columns):
+                out.extend(rows_of(dict(zip(heads, values)), html))
+                if len(out) >= _ROWS_PER_BATCH:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out = []
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
@@ -114,21 +126,26 @@ def raw_listing_rows(
     Pages stay where they are read unless ``tasks`` is given, which helps when
     they come in a few unsplittable files.
     """
-    return _raw_rows(pages, layouts, _raw_schema(_LISTING_TEXTS, _LISTING_LISTS), tasks)
+    return _raw_rows(pages, layouts, _LISTING_TEXTS, _LISTING_LISTS, tasks, [])
 
 
 def raw_detail_rows(
-    pages: DataFrame, layouts: dict[str, Layout] = DETAIL_LAYOUTS, tasks: int | None = None
+    pages: DataFrame, layouts: dict[str, Layout] = DETAIL_LAYOUTS, tasks: int | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    return _raw_rows(pages, layouts, _raw_schema(_DETAIL_TEXTS, _DETAIL_LISTS), tasks)
+    """One row per detail page. ``keep`` names text columns that travel along, such as the id."""
+    return _raw_rows(pages, layouts, _DETAIL_TEXTS, _DETAIL_LISTS, tasks, keep or [])
 
 
-def _raw_rows(pages: DataFrame, layouts: dict[str, Layout], schema: pa.Schema, tasks: int | None) -> DataFrame:
+def _raw_rows(
+    pages: DataFrame, layouts: dict[str, Layout], texts: list[str], lists: list[str], tasks: int | None, keep: list[str]
+) -> DataFrame:
     ship_package(pages.sparkSession)
-    pages = pages.select("page_id", "platform", "html")
+    schema = _raw_schema(texts, lists, keep)
+    pages = pages.select("page_id", "platform", *keep, "html")
     if tasks is not None:
         pages = pages.repartition(tasks, "page_id")
-    return pages.mapInArrow(_extractor(layouts, schema), _ddl(schema))
+    return pages.mapInArrow(_extractor(layouts, schema, keep), _ddl(schema))
 
 
 def _nested(fields: str, **values: Column) -> Column:
@@ -239,14 +256,14 @@ def rejects(rows: DataFrame) -> DataFrame:
 
 
 def extract_details(
-    pages: DataFrame, as_of: str | dt.datetime, mode: str = "last", layouts: dict[str, Layout] = DETAIL_LAYOUTS
+    pages: DataFrame, mode: str = "last", layouts: dict[str, Layout] = DETAIL_LAYOUTS, keep: list[str] | None = None
 ) -> DataFrame:
-    """Detail pages to fields and sections, with ``page_id`` and ``problem``.
+    """Detail pages to fields and sections, with ``page_id``, ``problem`` and the ``keep`` columns.
 
     Salary, e-mail and sections are looked for in the sources that print them in
     the running text.
     """
-    rows = raw_detail_rows(pages, layouts)
+    rows = raw_detail_rows(pages, layouts, keep=keep)
     body = F.coalesce(F.col("body"), F.lit(""))
     mail = F.get(F.filter("links", lambda href: F.startswith(href, F.lit("mailto:"))), F.lit(0))
     prose = F.col("platform") == "cv_ge"
@@ -259,7 +276,7 @@ def extract_details(
     })
     parts = split_sections(rows, "_sections", mode)
     return parts.select(
-        "page_id", "platform", "problem", F.coalesce("title", F.lit("")).alias("title"), "description",
+        "page_id", "platform", *(keep or []), "problem", F.coalesce("title", F.lit("")).alias("title"), "description",
         F.coalesce("company", F.lit("")).alias("company_name"), "contact_email", "salary_text", "has_salary_mark",
         *fixed.SECTION_KEYWORDS,
     )

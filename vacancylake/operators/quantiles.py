@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacancylake.operators.small_side import join_small, measured
+from vacancylake.operators.small_side import measured
 
 _LOW_BITS = 17
 _OFFSET = 10**10  # makes negative amounts positive
@@ -42,20 +42,23 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: s
         "_g", "_hi", "n", before.alias("before"),
         F.explode(F.filter(ranks, lambda r: (r >= before) & (r < F.col("upto")))).alias("rank"),
     )
-    wanted, _ = measured(wanted)
+    wanted, few = measured(wanted)
+    with_hint = F.broadcast if few else (lambda side: side)
 
     buckets = wanted.select(F.col("_g").alias("g"), F.col("_hi").alias("hi")).distinct()
     same_bucket = (F.col("_g").eqNullSafe(F.col("g"))) & (F.col("_hi") == F.col("hi"))
     inside = Window.partitionBy("g", "hi").orderBy("_lo").rowsBetween(Window.unboundedPreceding, 0)
     lower = (
-        join_small(coded, buckets, same_bucket)
+        coded.join(with_hint(buckets), same_bucket)
         .groupBy("g", "hi", "_lo")
         .agg(F.count("*").alias("c2"))
         .withColumn("upto2", F.sum("c2").over(inside))
     )
     rest = F.col("rank") - F.col("before")
     found = lower.join(
-        wanted, same_bucket & (rest >= F.col("upto2") - F.col("c2")) & (rest < F.col("upto2"))
+        with_hint(wanted.withColumnsRenamed({"_g": "wg", "_hi": "whi"})),
+        F.col("g").eqNullSafe(F.col("wg")) & (F.col("hi") == F.col("whi"))
+        & (rest >= F.col("upto2") - F.col("c2")) & (rest < F.col("upto2")),
     ).select(
         "g", "n", "rank",
         ((F.shiftleft(F.col("hi"), _LOW_BITS) + F.col("_lo") - _OFFSET) / F.lit(100.0)).alias("value"),

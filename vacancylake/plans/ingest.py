@@ -67,10 +67,9 @@ def ingest_details(
     listing whose page is missing or unreadable goes to the rejects, not to the
     table.
     """
-    fields = stored(extract.extract_details(detail_pages, as_of, mode), "detail-fields")
-    located = fields.drop("platform").join(detail_pages.select("page_id", "platform", "id"), "page_id")
+    fields = stored(extract.extract_details(detail_pages, mode, keep=["id"]), "detail-fields")
     both = joins.with_details(
-        listings.select("platform", "id", "title", "url"), located, ["platform", "id"], shared=["title"]
+        listings.select("platform", "id", "title", "url"), fields, ["platform", "id"], shared=["title"]
     )
     both = both.withColumn("error", F.coalesce("error", "problem"))
     good, bad = filters.split_rejects(both)

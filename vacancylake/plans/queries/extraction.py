@@ -190,7 +190,7 @@ QUERIES: Registered = {
         UNION ALL SELECT o_orderkey, 'ss_ge', 1, 'no title' FROM orders WHERE o_orderkey % 3 = 2""",
     ),
     "extract_details": (
-        lambda spark, sf: extract.extract_details(detail_pages(spark, sf), AS_OF).select(
+        lambda spark, sf: extract.extract_details(detail_pages(spark, sf)).select(
             "page_id", "platform", "problem", "title", "company_name", "contact_email", "has_salary_mark",
             F.col("salary_text.amount").alias("amount"), "requirements", "responsibilities",
             F.md5("description").alias("description")),
@@ -258,7 +258,10 @@ QUERIES: Registered = {
     "page_texts": (
         # the given pages through the same extraction job, with a layout of their own
         lambda spark, sf: _page_texts(spark, sf),
-        r"""SELECT page_id, nullif(trim(replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1', 1), '&amp;', '&')), '') AS title,
+        # in texts a reference counts even without its semicolon
+        r"""SELECT page_id, nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1', 1), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'),
+            '&amp;?', '&', 'g')), '') AS title,
         CAST(len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=')) AS INTEGER) AS links FROM pages""",
     ),
 }
