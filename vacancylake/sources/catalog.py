@@ -19,9 +19,12 @@ def sql_type(kind: T.DataType) -> str:
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Names of the registered tables and views, in order."""
-    where = f" IN {database}" if database else ""
-    return spark.sql(f"SHOW TABLES{where}").select(F.col("tableName").alias("table_name")).orderBy("table_name")
+    """Names in order: the stored tables of ``database``, or all tables and views in reach."""
+    if database:
+        found = spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary")
+    else:
+        found = spark.sql("SHOW TABLES")
+    return found.select(F.col("tableName").alias("table_name")).orderBy("table_name")
 
 
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
