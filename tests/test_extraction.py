@@ -125,6 +125,23 @@ def test_ingest_filters_and_quota(spark):
     assert rejected.table.count() == 0 and "length:title<=500" in {r.problem for r in rejected.rejects.collect()}
 
 
+def test_a_function_reads_a_source_of_its_own(spark):
+    def reader(html):
+        for line in html.split():
+            yield {"title": line, "href": f"/announcement/{len(line)}"}
+
+    rows = extract.extract_listings(pages(spark, ("cv_ge", 200, "cook nurse")), NOW, layouts={"cv_ge": reader})
+    assert [(r.row_no, r.id, r.title) for r in rows.orderBy("row_no").collect()] == [(0, "4", "cook"), (1, "5", "nurse")]
+
+
+def test_quota_follows_page_numbers(spark):
+    entries = spark.createDataFrame(
+        [(9 - i, "jobs_ge", f"u{i}", i, None, 200, TABLE.replace("id=123", f"id={i}")) for i in range(9)],
+        schemas.RAW_PAGE_DDL)
+    kept = ingest.ingest_listings(entries, ingest.empty_table(spark, "job_listings"), NOW, quota=2).table
+    assert {r.id for r in kept.collect()} == {"0", "1"}
+
+
 def test_crawl_feed(spark):
     feed = ingest.crawl_feed(pages(spark, ("cv_ge", 200, CARD)), NOW)
     item = feed.table.first()

@@ -17,6 +17,7 @@ from collections import Counter
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 from vacancylake.plans.queries import registered  # noqa: E402
 from vacancylake.plans.queries.analytics import TABLE_NAMES  # noqa: E402
@@ -44,13 +45,18 @@ def bag(columns, rows):
 def main() -> int:
     args = argparse.ArgumentParser()
     args.add_argument("--sf", default="0.01")
+    args.add_argument("--plain", metavar="ZONE", help="a session with no settings of ours, in this time zone")
     args.add_argument("names", nargs="*")
     given = args.parse_args()
     sf_dir = f"/root/testdata/sf{given.sf}"
     con = duckdb.connect()
     for name in TABLE_NAMES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
-    spark = build_session("check", 8, spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    if given.plain:
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", given.plain).getOrCreate())
+    else:
+        spark = build_session("check", 8, spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     entries = registered()
     bad = 0

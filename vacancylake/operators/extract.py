@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -91,14 +91,19 @@ def _records(html: str, layout: Layout) -> Iterator[dict]:
         yield record
 
 
-def _extractor(layouts: dict[str, Layout], schema: pa.Schema, keep: list[str]) -> Callable:
+# how a source is read: a layout, or a function from the page's text to field rows
+Reader = Layout | Callable[[str], Iterable[dict]]
+
+
+def _extractor(layouts: dict[str, Reader], schema: pa.Schema, keep: list[str]) -> Callable:
     def rows_of(head: dict, html: str | None) -> Iterator[dict]:
         layout = layouts.get(head["platform"])
         if layout is None:
             yield head | {"problem": "no layout for this source"}
             return
         try:
-            yield from [head | record for record in _records(html or "", layout)]
+            found = layout(html or "") if callable(layout) else _records(html or "", layout)
+            yield from [{"row_no": i} | head | record for i, record in enumerate(found)]
         except Exception as error:  # noqa: BLE001 - one bad page must not end the job
             yield head | {"problem": f"{type(error).__name__}: {error}"}
 
@@ -118,31 +123,33 @@ def _extractor(layouts: dict[str, Layout], schema: pa.Schema, keep: list[str]) -
 
 
 def raw_listing_rows(
-    pages: DataFrame, layouts: dict[str, Layout] = LISTING_LAYOUTS, tasks: int | None = None
+    pages: DataFrame, layouts: dict[str, Reader] = LISTING_LAYOUTS, tasks: int | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """One row per listing entry found on each page; ``problem`` says why a row is unusable.
 
     One pass for all sources: the layout is chosen by each page's ``platform``.
     Pages stay where they are read unless ``tasks`` is given, which helps when
-    they come in a few unsplittable files.
+    they come in a few unsplittable files. ``keep`` names text columns that travel
+    along.
     """
-    return _raw_rows(pages, layouts, _LISTING_TEXTS, _LISTING_LISTS, tasks, [])
+    return _raw_rows(pages, layouts, _LISTING_TEXTS, _LISTING_LISTS, tasks, keep or [])
 
 
 def raw_detail_rows(
-    pages: DataFrame, layouts: dict[str, Layout] = DETAIL_LAYOUTS, tasks: int | None = None,
+    pages: DataFrame, layouts: dict[str, Reader] = DETAIL_LAYOUTS, tasks: int | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per detail page. ``keep`` names text columns that travel along, such as the id."""
+    """One row per detail page."""
     return _raw_rows(pages, layouts, _DETAIL_TEXTS, _DETAIL_LISTS, tasks, keep or [])
 
 
 def _raw_rows(
-    pages: DataFrame, layouts: dict[str, Layout], texts: list[str], lists: list[str], tasks: int | None, keep: list[str]
+    pages: DataFrame, layouts: dict[str, Reader], texts: list[str], lists: list[str], tasks: int | None, keep: list[str]
 ) -> DataFrame:
     ship_package(pages.sparkSession)
     schema = _raw_schema(texts, lists, keep)
-    pages = pages.select("page_id", "platform", *keep, "html")
+    pages = pages.select("page_id", "platform", *[F.col(k).cast("string") for k in keep], "html")
     if tasks is not None:
         pages = pages.repartition(tasks, "page_id")
     return pages.mapInArrow(_extractor(layouts, schema, keep), _ddl(schema))
@@ -166,7 +173,9 @@ def _text(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def listings_from_rows(rows: DataFrame, as_of: str | dt.datetime, roll_year: bool = False) -> DataFrame:
+def listings_from_rows(
+    rows: DataFrame, as_of: str | dt.datetime, roll_year: bool = False, keep: list[str] | None = None
+) -> DataFrame:
     """Nested listings plus ``page_id, row_no, experience, problem``; a row without an id has a problem."""
     now = dates.moment(as_of)
     href = _text("href")
@@ -203,7 +212,7 @@ def listings_from_rows(rows: DataFrame, as_of: str | dt.datetime, roll_year: boo
     place = F.when(is_ss, F.lit(fixed.DEFAULT_CITY)).otherwise(_text("place"))
     price = F.col("_price")
     return prepared.select(
-        "page_id", "row_no", "experience",
+        *(keep or []), "page_id", "row_no", "experience",
         F.coalesce("problem", F.when(F.col("_id").isNull(), F.lit("no id"))).alias("problem"),
         F.col("_id").alias("id"), "platform", _text("title").alias("title"),
         _nested(schemas.LOCATION, city=place, is_remote=~is_ss & flags.is_remote_place(F.col("place"))).alias("location"),
@@ -241,10 +250,11 @@ def listings_from_rows(rows: DataFrame, as_of: str | dt.datetime, roll_year: boo
 
 
 def extract_listings(
-    pages: DataFrame, as_of: str | dt.datetime, layouts: dict[str, Layout] = LISTING_LAYOUTS, roll_year: bool = False
+    pages: DataFrame, as_of: str | dt.datetime, layouts: dict[str, Reader] = LISTING_LAYOUTS, roll_year: bool = False,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Pages to listings; split the result with ``accepted`` and ``rejects``."""
-    return listings_from_rows(raw_listing_rows(pages, layouts), as_of, roll_year)
+    return listings_from_rows(raw_listing_rows(pages, layouts, keep=keep), as_of, roll_year, keep)
 
 
 def accepted(rows: DataFrame) -> DataFrame:
@@ -256,7 +266,7 @@ def rejects(rows: DataFrame) -> DataFrame:
 
 
 def extract_details(
-    pages: DataFrame, mode: str = "last", layouts: dict[str, Layout] = DETAIL_LAYOUTS, keep: list[str] | None = None
+    pages: DataFrame, mode: str = "last", layouts: dict[str, Reader] = DETAIL_LAYOUTS, keep: list[str] | None = None
 ) -> DataFrame:
     """Detail pages to fields and sections, with ``page_id``, ``problem`` and the ``keep`` columns.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vacancylake import schemas
 from vacancylake.functions import dates
 from vacancylake.operators import children, extract, filters, joins, projections, quality, ranking, upsert
+from vacancylake.operators.layouts import LISTING_LAYOUTS
 from vacancylake.session import stored
 from vacancylake.sources.raw_pages import split_by_status
 
@@ -33,6 +34,7 @@ def ingest_listings(
     query: str | None = None,
     has_salary: bool = False,
     key: list[str] | None = None,
+    layouts: dict[str, extract.Reader] = LISTING_LAYOUTS,
 ) -> IngestResult:
     """Pages (schema ``RAW_PAGE_DDL``) written over ``current``.
 
@@ -40,8 +42,10 @@ def ingest_listings(
     counts; against the stored table the upsert rule applies.
     """
     good, failed = split_by_status(pages)
-    rows = stored(extract.extract_listings(good, as_of), "listing-rows")
-    order = ["page_id", "row_no"]
+    keep = ["page_no"] if "page_no" in pages.columns else []
+    rows = stored(extract.extract_listings(good, as_of, layouts, keep=keep), "listing-rows")
+    rows = rows.withColumns({c: F.col(c).cast("int") for c in keep})
+    order = [*keep, "page_id", "row_no"]
     flat = projections.flatten_listing(extract.accepted(rows), as_of, keep=order)
     wanted = filters.filtered(flat, location=location, query=query, has_salary=has_salary)
     if quota is not None:
