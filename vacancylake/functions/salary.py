@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vacancylake import fixed_values as fixed
-from vacancylake.functions.text import strip
 
 _RANGE = r"([\d,]+)\s*-\s*([\d,]+)"
 _SINGLE = r"([\d,]+)"

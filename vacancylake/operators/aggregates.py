@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancylake import fixed_values as fixed
-from vacancylake.functions import dates
 from vacancylake.operators.filters import within_days, within_hours
 
 

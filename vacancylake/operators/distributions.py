@@ -38,16 +38,15 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     width = (F.col("hi") - F.col("lo")) / bins
     bin_no = F.least(F.floor((F.col("x") - F.col("lo")) / width) + 1, F.lit(bins)).cast("int")
     counts = placed.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("n"))
-    slots = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    edges = slots.select("bin", bounds.scalar().alias("b")).select(
-        "bin",
-        (F.col("b.lo") + (F.col("bin") - 1) * (F.col("b.hi") - F.col("b.lo")) / bins).alias("low_edge"),
-        (F.col("b.lo") + F.col("bin") * (F.col("b.hi") - F.col("b.lo")) / bins).alias("high_edge"),
+    step = (F.col("b.hi") - F.col("b.lo")) / bins
+    edges = (
+        bounds.where(F.col("b.lo").isNotNull())
+        .select("b", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+        .select("bin", (F.col("b.lo") + (F.col("bin") - 1) * step).alias("low_edge"),
+                (F.col("b.lo") + F.col("bin") * step).alias("high_edge"))
     )
-    return (
-        edges.where(F.col("low_edge").isNotNull())
-        .join(counts, "bin", "left")
-        .select("bin", "low_edge", "high_edge", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+    return edges.join(counts, "bin", "left").select(
+        "bin", "low_edge", "high_edge", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
     )
 
 

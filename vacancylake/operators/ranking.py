@@ -26,16 +26,17 @@ def latest(df: DataFrame, limit: int | None = None) -> DataFrame:
 def quota_per_source(df: DataFrame, source: str, order: list[str], quota: int) -> DataFrame:
     """The first ``quota`` rows of each source in page order.
 
-    One source may hold most rows, so each source is first cut in
-    ``QUOTA_SPREAD`` independent parts: a row among the first ``quota`` overall is
-    also among the first ``quota`` of its part, and the second ranking sees at
+    One source may hold most rows, so the ranking has two steps over parts of a
+    source. A part is a group of input tasks: within a task the part is constant,
+    so Spark keeps at most ``quota`` rows per source and task before the first
+    shuffle. A row among the first ``quota`` overall is also among the first
+    ``quota`` of its part, whatever the parts are, and the second ranking sees at
     most ``QUOTA_SPREAD * quota`` rows per source.
     """
-    part = F.pmod(F.xxhash64(*order), F.lit(QUOTA_SPREAD))
     within_part = Window.partitionBy(source, "_part").orderBy(*order)
     overall = Window.partitionBy(source).orderBy(*order)
     return (
-        df.withColumn("_part", part)
+        df.withColumn("_part", F.spark_partition_id() % QUOTA_SPREAD)
         .withColumn("_rank", F.row_number().over(within_part))
         .where(F.col("_rank") <= quota)
         .withColumn("_rank", F.row_number().over(overall))

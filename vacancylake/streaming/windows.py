@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +25,21 @@ def _timed(df: DataFrame, moment: str, delay: str | None) -> tuple[DataFrame, Ca
 def activity_windows(
     df: DataFrame, moment: str, by: str, length: str = "24 hours", step: str = "1 hour", delay: str | None = "1 hour"
 ) -> DataFrame:
-    """Count and latest moment per source in sliding windows."""
+    """Count and latest moment per source in sliding windows.
+
+    A row lies in ``length / step`` windows. A batch is first counted per step, so
+    only those counts, not the rows, are copied into the windows.
+    """
     df, shown = _timed(df, moment, delay)
-    counted = df.groupBy(F.window(moment, length, step).alias("w"), by).agg(
-        F.count("*").alias("n"), F.max(moment).alias("last_seen"))
+    count, last = F.count("*"), F.max(moment)
+    if not df.isStreaming and pd.Timedelta(length) % pd.Timedelta(step) == pd.Timedelta(0):
+        df = (
+            df.groupBy(F.window(moment, step).alias("s"), by)
+            .agg(count.alias("n"), last.alias("last_seen"))
+            .select(F.col("s.start").alias(moment), by, "n", "last_seen")
+        )
+        count, last = F.sum("n"), F.max("last_seen")
+    counted = df.groupBy(F.window(moment, length, step).alias("w"), by).agg(count.alias("n"), last.alias("last_seen"))
     return counted.select(
         shown(F.col("w.start")).alias("window_start"), shown(F.col("w.end")).alias("window_end"), by, "n",
         shown(F.col("last_seen")).alias("last_seen"),
