@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from vacancylake import fixed_values as fixed
 
-_RANGE = r"([\d,]+)\s*-\s*([\d,]+)"
-_SINGLE = r"([\d,]+)"
+# the first "a - b" anywhere, else the first number
+_BOUNDS = r"(?s)^(?:.*?([\d,]+)\s*-\s*([\d,]+)|.*?([\d,]+)).*$"
 _PLAIN = r"\d+(?:-\d+)?"
 _GROUPED = r"(?:\d{1,3}(?:,\d{3})+|\d+)(?:\s*-\s*(?:\d{1,3}(?:,\d{3})+|\d+))?"
 
@@ -33,11 +33,9 @@ def _salary(low: Column, high: Column) -> Column:
 def salary_from_label(text: Column) -> Column:
     """``2,800 - 3,000 ₾ თვეში`` -> min, max, currency, period; NULL when no number is there."""
     clean = F.replace(F.replace(text, F.lit(fixed.LARI_SIGN), F.lit("")), F.lit(fixed.PER_MONTH_WORD), F.lit(""))
-    pair = F.array(F.regexp_extract(clean, _RANGE, 1), F.regexp_extract(clean, _RANGE, 2))
-    single = F.regexp_extract(clean, _SINGLE, 1)
-    bounds = F.when(clean.rlike(_RANGE), pair).otherwise(F.array(single, single))
-    amounts = F.transform(bounds, _amount)
-    return F.get(F.transform(F.array(amounts), lambda a: _salary(F.get(a, F.lit(0)), F.get(a, F.lit(1)))), F.lit(0))
+    bounds = F.regexp_replace(clean, _BOUNDS, "$1$3|$2$3")  # unmatched groups are empty
+    low, high = (_amount(F.split_part(bounds, F.lit("|"), F.lit(i))) for i in (1, 2))
+    return _salary(low, high)
 
 
 def salary_from_prose(text: Column, grouped_digits: bool = True) -> Column:
