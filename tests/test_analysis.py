@@ -142,6 +142,17 @@ def test_exports_read_back(spark, tmp_path):
     assert exports.export_path("data", "jobs", "csv", dt.datetime(2025, 1, 2, 3, 4, 5)) == "data/jobs_20250102_030405.csv"
 
 
+def test_a_hot_source_is_written_by_many_tasks(spark, tmp_path):
+    rows = [("hot" if i % 3 else "cold", str(i), dt.datetime(2025, 1, 1) + dt.timedelta(hours=i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "platform string, id string, scraped_date timestamp_ntz")
+    exports.write_table(df, str(tmp_path / "t"), parts=6)
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert {tuple(r) for r in back.select("platform", "id", "scraped_date").collect()} == set(rows)
+    spans = back.where("platform = 'hot'").groupBy(F.input_file_name().alias("f")).agg(
+        F.min("scraped_date").alias("a"), F.max("scraped_date").alias("b")).orderBy("a").collect()
+    assert len(spans) >= 3 and all(x.b < y.a for x, y in zip(spans, spans[1:]))
+
+
 def test_records_as_json(spark):
     df = spark.createDataFrame([(1, None, dt.datetime(2025, 1, 2, 3, 4, 5))], "a int, b string, c timestamp_ntz")
     assert as_json(df).first().record == '{"a":1,"b":null,"c":"2025-01-02T03:04:05"}'
@@ -204,7 +215,7 @@ def test_scans_read_only_what_is_needed(spark):
 
 
 HAS_PYTHON = {"salary_kde", "extract_listings", "extract_rejects", "extract_details", "ingest_listings", "ingest_rejects",
-              "ingest_details", "ingest_children", "detail_rejects", "crawl_feed", "page_texts"}
+              "ingest_details", "ingest_children", "ingest_run_log", "ingest_run_errors", "detail_rejects", "crawl_feed", "page_texts"}
 
 
 @pytest.mark.parametrize("name", [n for n in registered() if n not in HAS_PYTHON and n != "streamed_upsert"])

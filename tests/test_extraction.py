@@ -97,7 +97,7 @@ def test_details(spark):
     assert {(r.job_id, r.requirement) for r in result.children["job_requirements"].collect()} == {
         ("1", "ა"), ("1", "x"), ("1", "ხელფასი: 1,200 ლარი")}
     assert [(r.contact_type, r.contact_value) for r in result.children["job_contacts"].collect()] == [("email", "a@b.c")]
-    assert {(r.id, r.error) for r in result.rejects.collect()} == {("3", "no content"), ("4", "no detail page")}
+    assert {(r.id, r.problem) for r in result.rejects.collect()} == {("3", "no content"), ("4", "no detail page")}
 
 
 def test_ingest_keeps_the_first_write_and_counts_every_page(spark):
@@ -108,6 +108,12 @@ def test_ingest_keeps_the_first_write_and_counts_every_page(spark):
     assert [(r.id, r.title, r.created_at, r.updated_at) for r in rows] == [
         ("123", "Driver", dt.datetime(2025, 9, 1, 6), dt.datetime(2025, 9, 1, 6))]
     assert sorted(r.problem for r in first.rejects.collect()) == ["HTTP 404", "fewer than 6 cells", "fewer than 6 cells"]
+    runs, errors = ingest.run_log(first, "2025-09-01 05:00:00", NOW)
+    assert {(r.platform, r.total_jobs_found, r.successful_scrapes, r.failed_scrapes) for r in runs.collect()} == {
+        ("jobs_ge", 4, 2, 2), ("cv_ge", 1, 0, 1)}
+    ids = {r.platform: r.id for r in runs.collect()}
+    assert sorted((r.scraping_result_id == ids["cv_ge"], r.error_message) for r in errors.collect()) == [
+        (False, "fewer than 6 cells"), (False, "fewer than 6 cells"), (True, "HTTP 404")]
     later = ingest.ingest_listings(pages(spark, ("jobs_ge", 200, again)), first.table, "2025-09-02 06:00:00").table.first()
     assert (later.title, later.created_at, later.updated_at, later.scraped_date) == (
         "Driver", dt.datetime(2025, 9, 1, 6), dt.datetime(2025, 9, 2, 6), dt.datetime(2025, 9, 2, 6))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from vacancylake import schemas
 from vacancylake.functions import dates
-from vacancylake.operators import children, extract, filters, joins, projections, quality, ranking, upsert
+from vacancylake.operators import aggregates, children, extract, filters, joins, projections, quality, ranking, upsert
 from vacancylake.operators.layouts import LISTING_LAYOUTS
+from vacancylake.operators.small_side import join_small
 from vacancylake.session import stored
 from vacancylake.sources.raw_pages import split_by_status
 
@@ -21,6 +22,7 @@ class IngestResult:
     """Frames over one stored extraction: pages are parsed once, however many frames are written."""
 
     table: DataFrame
+    found: DataFrame  # the valid rows of this run, before they are folded into the table
     rejects: DataFrame
     children: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -59,7 +61,7 @@ def ingest_listings(
         .unionByName(broken.select("page_id", "platform", "row_no",
                                    F.array_join("broken_rules", ", ").alias("problem")))
     )
-    return IngestResult(table, rejects)
+    return IngestResult(table, valid, rejects)
 
 
 def ingest_details(
@@ -87,8 +89,8 @@ def ingest_details(
         for name, (values, value) in children.CHILD_LISTS.items()
     }
     child_tables["job_contacts"] = children.contact_rows(details, as_of)
-    rejects = bad.select("platform", "id", "url", "error")
-    return IngestResult(table, rejects, child_tables)
+    rejects = bad.select("platform", "id", "url", F.col("error").alias("problem"))
+    return IngestResult(table, flat.drop("_order"), rejects, child_tables)
 
 
 def crawl_feed(pages: DataFrame, as_of: str | dt.datetime) -> IngestResult:
@@ -96,13 +98,29 @@ def crawl_feed(pages: DataFrame, as_of: str | dt.datetime) -> IngestResult:
     good, _ = split_by_status(pages)
     items = projections.crawler_items(extract.accepted(extract.extract_listings(good, as_of)))
     accepted, rejected = filters.validate_items(items, as_of)
-    return IngestResult(accepted, rejected)
+    return IngestResult(accepted, accepted, rejected)
 
 
 def empty_table(spark, name: str) -> DataFrame:
     return spark.createDataFrame([], schemas.ddl(name))
 
 
+def run_log(
+    result: IngestResult, started: str | dt.datetime, ended: str | dt.datetime
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the run table (one per source) and of the run error table (one per reject)."""
+    seen = result.found.select("platform", F.lit(None).cast("string").alias("error")).unionByName(
+        result.rejects.select("platform", F.col("problem").alias("error")))
+    seen = seen.withColumns({"started": dates.moment(started), "ended": dates.moment(ended)})
+    runs = run_record(aggregates.run_summary(seen, "platform", "error", "started", "ended"), ended)
+    errors = join_small(
+        result.rejects.where(F.col("problem").isNotNull()).select("platform", "problem"),
+        runs.select("platform", F.col("id").alias("scraping_result_id")), "platform",
+    )
+    return runs, errors.select(
+        "scraping_result_id", F.col("problem").alias("error_message"), dates.moment(ended).alias("created_at"))
+
+
 def run_record(results: DataFrame, as_of: str | dt.datetime) -> DataFrame:
     """Run summaries (from ``aggregates.run_summary`` by platform) as rows of the run table."""
     return results.select(

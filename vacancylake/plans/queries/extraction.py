@@ -225,6 +225,26 @@ QUERIES: Registered = {
         UNION ALL SELECT platform, CASE WHEN s = 0 THEN 'no id' ELSE 'no title' END, count(*) FROM o WHERE NOT failed GROUP BY 1, 2
         UNION ALL SELECT platform, 'fewer than 6 cells', count(*) FROM o WHERE NOT failed AND s = 0 GROUP BY 1""",
     ),
+    "ingest_run_log": (
+        lambda spark, sf: ingest.run_log(_first_run(spark, sf), "2001-09-01 05:00:00", AS_OF)[0].drop("id"),
+        f"""WITH o AS (SELECT o_orderkey % 3 AS s, o_orderkey % 19 = 0 AS failed, c_mktsegment = 'BUILDING' AS chosen,
+            (['jobs_ge', 'cv_ge', 'ss_ge'])[CAST(o_orderkey % 3 + 1 AS INTEGER)] AS platform
+          FROM orders JOIN customer ON o_custkey = c_custkey),
+        c AS (SELECT platform, count(*) FILTER (chosen AND NOT failed) AS good,
+              count(*) FILTER (failed) + count(*) FILTER (NOT failed) * CASE WHEN platform = 'jobs_ge' THEN 2 ELSE 1 END AS bad
+            FROM o GROUP BY platform)
+        SELECT platform, good + bad AS total_jobs_found, good AS successful_scrapes, bad AS failed_scrapes,
+        TIMESTAMP '2001-09-01 05:00:00' AS start_time, TIMESTAMP '{AS_OF}' AS end_time, TIMESTAMP '{AS_OF}' AS created_at
+        FROM c""",
+    ),
+    "ingest_run_errors": (
+        lambda spark, sf: ingest.run_log(_first_run(spark, sf), "2001-09-01 05:00:00", AS_OF)[1].groupBy(
+            "error_message").agg(F.count("*").alias("n")),
+        """SELECT 'HTTP 500' AS error_message, count(*) AS n FROM orders WHERE o_orderkey % 19 = 0
+        UNION ALL SELECT 'no id', count(*) FROM orders WHERE o_orderkey % 19 <> 0 AND o_orderkey % 3 = 0
+        UNION ALL SELECT 'fewer than 6 cells', count(*) FROM orders WHERE o_orderkey % 19 <> 0 AND o_orderkey % 3 = 0
+        UNION ALL SELECT 'no title', count(*) FROM orders WHERE o_orderkey % 19 <> 0 AND o_orderkey % 3 > 0""",
+    ),
     "ingest_details": (
         lambda spark, sf: _stored_details(spark, sf).table.select(
             "platform", "id", "title", "company_name", F.col("salary_min").cast("double").alias("salary_min"),
@@ -245,7 +265,7 @@ QUERIES: Registered = {
         UNION ALL SELECT 'job_contacts', 'cv_ge', CAST(k AS VARCHAR), 'hr' || k || '@example.org' FROM g""",
     ),
     "detail_rejects": (
-        lambda spark, sf: _stored_details(spark, sf).rejects,
+        lambda spark, sf: _stored_details(spark, sf).rejects.withColumnRenamed("problem", "error"),
         """SELECT 'cv_ge' AS platform, CAST(o_orderkey AS VARCHAR) AS id, '/p/' || o_orderkey AS url, 'no content' AS error
         FROM orders WHERE o_orderkey % 14 = 0""",
     ),

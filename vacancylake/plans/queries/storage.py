@@ -235,12 +235,12 @@ def _united(spark, sf):
     return sets.union_sources([a, b, c])
 
 
-def _pipelines(spark, sf):
+def _named_runs(spark, sf):
     events = table(spark, sf, "events").withColumn("error", F.when(F.col("event_type") == "error", F.col("props")))
     parts = []
     for name, chosen in {"small": F.col("value") < 10, "large": F.col("value") >= 10}.items():
         one = run_summary(events.where(chosen).withColumn("platform", F.lit("all")), "platform", "error", "ts", "ts")
-        parts.append(one.select(F.lit(name).alias("pipeline"), "total_found", "failed"))
+        parts.append(one.select(F.lit(name).alias("run_name"), "total_found", "failed"))
     return sets.union_sources(parts)
 
 
@@ -425,9 +425,9 @@ QUERIES: Registered = {
         CASE WHEN platform = 'site_a' THEN city END AS city,
         CASE WHEN platform = 'site_b' THEN salary_currency END AS salary_currency FROM postings""",
     ),
-    "pipeline_results": (
-        _pipelines,
-        """SELECT CASE WHEN value < 10 THEN 'small' ELSE 'large' END AS pipeline, count(*) AS total_found,
+    "named_run_results": (
+        _named_runs,
+        """SELECT CASE WHEN value < 10 THEN 'small' ELSE 'large' END AS run_name, count(*) AS total_found,
         count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY 1""",
     ),
     "dedup_first": (

@@ -37,6 +37,22 @@ def export_parquet(
     df.write.mode(mode).partitionBy(*(partition_by or [])).parquet(path)
 
 
+def write_table(
+    df: DataFrame, path: str, partition_by: str = "platform", sort_by: list[str] | None = None,
+    parts: int | None = None, mode: str = "errorifexists",
+) -> None:
+    """A stored table: one folder per source, files cut and sorted by date.
+
+    Rows are split by range over (source, date, id), not by source, so a source
+    with most of the rows is written by many tasks, and each file covers a short
+    span of dates that scans can skip.
+    """
+    order = [partition_by, *(sort_by or ["scraped_date", "id"])]
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    laid_out.write.mode(mode).partitionBy(partition_by).parquet(path)
+
+
 def export(df: DataFrame, kind: str, path: str, **options) -> None:
     writers = {"csv": export_csv, "json": export_json, "xml": export_xml, "parquet": export_parquet}
     if kind not in writers:
