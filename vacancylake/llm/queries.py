@@ -9,6 +9,8 @@ from vacancylake.plans.queries import Registered
 MODULES = [
     "token_files",
     "packing",
+    "personal_data",
+    "simhash",
 ]
 
 

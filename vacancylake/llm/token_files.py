@@ -210,7 +210,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     # One row per file, so this window is over as many rows as there were writing tasks.
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    listed = files.withColumn("before", before).repartition("file")
+    listed = files.withColumn("before", before).repartition(max(1, files.count()))  # tiny rows, large files: a task for each
     return listed.mapInArrow(read, T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
