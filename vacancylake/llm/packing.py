@@ -35,7 +35,7 @@ ROUNDS = 200
 #: Classes that lengths are rounded up to for the linear program.
 CLASSES = 64
 #: Pieces of one length are numbered in groups of about this size.
-RANK_GROUP = 200_000
+RANK_GROUP = 500
 
 PIECES = "doc_id long, copy long, piece int, start long, length long, ids_crc32 long"
 
@@ -255,9 +255,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tupl
     cut = stored(cut, "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     plan = plan_packing(histogram, capacity, rounds)
-    groups = max(1, -(-max(histogram.values(), default=1) // RANK_GROUP))
-    # Ranks in two steps: a length held by a third of all pieces is numbered group by group.
-    dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "copy", "piece"), F.lit(groups)).cast("int"))
+    # Ranks in two steps: a length held by a third of all pieces is numbered group by group. One row per length, so broadcast.
+    groups = spark.createDataFrame([(s, -(-n // RANK_GROUP)) for s, n in histogram.items()], "length long, groups long")
+    dealt = cut.join(F.broadcast(groups), "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "copy", "piece"), F.col("groups")))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = dealt.groupBy("length", "part").agg(F.count("*").alias("n")).withColumn("before", before).drop("n")
     inside = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "copy", "piece"))

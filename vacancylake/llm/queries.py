@@ -7,8 +7,10 @@ from importlib import import_module
 from vacancylake.plans.queries import Registered
 
 MODULES = [
+    "quality_rules",
     "token_files",
     "packing",
+    "line_dedup",
     "personal_data",
     "simhash",
 ]
