@@ -115,28 +115,39 @@ def _all(conditions) -> Column:
     return out
 
 
-def statistics(rows: DataFrame, steps: int = STEPS) -> tuple[DataFrame, dict[str, list[float]]]:
-    """Counts of labelled ``rows`` (MEASURES, doc_id, low) per combination of threshold steps, and the thresholds.
+def _stepped(measure: str, cuts: list[float]) -> Column:
+    """The least threshold at or above the value; infinity beyond the last."""
+    out = F.lit(math.inf)
+    for t in reversed(cuts):
+        out = F.when(F.col(measure) <= t, F.lit(t)).otherwise(out)
+    return out
 
-    A measure's value is replaced by the threshold it just reaches, so the counts answer every threshold condition.
+
+def thresholds(rows: DataFrame, steps: int = STEPS) -> dict[str, list[float]]:
+    """Candidate thresholds: each quantile, moved to the middle of the gap between the values beside it.
+
+    A rule then stands off as far as it can from the rows on its other side.
     """
     points = [k / steps for k in range(1, steps)]
     row = rows.agg(*[F.percentile_approx(m, points, 10_000).alias(m) for m in MEASURES]).first()
     cuts = {m: sorted(set(row[m] or [])) for m in MEASURES}
+    sides = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), _stepped(m, cuts[m]).alias("t"), F.col(m).alias("v")) for m in MEASURES]))
+    found = rows.select(sides.alias("s")).groupBy("s.m", "s.t").agg(F.min("s.v").alias("low"), F.max("s.v").alias("high")).collect()
+    ends = {m: sorted((r["t"], r["low"], r["high"]) for r in found if r["m"] == m) for m in MEASURES}
+    return {m: [(a[2] + b[1]) / 2 for a, b in zip(e, e[1:])] for m, e in ends.items()}
 
-    def stepped(m: str) -> Column:
-        """The least threshold at or above the value; infinity beyond the last."""
-        out = F.lit(math.inf)
-        for t in reversed(cuts[m]):
-            out = F.when(F.col(m) <= t, F.lit(t)).otherwise(out)
-        return out.alias(m)
 
+def statistics(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Counts of labelled ``rows`` (MEASURES, doc_id, low) per combination of threshold steps, label and fold.
+
+    A measure's value is replaced by the threshold it just reaches, so the counts answer every threshold condition.
+    """
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
-    table = rows.select(*[stepped(m) for m in MEASURES], "low", fold.alias("prune"))
-    return table.groupBy(*MEASURES, "low", "prune").agg(F.count("*").alias("n")), cuts
+    table = rows.select(*[_stepped(m, cuts[m]).alias(m) for m in MEASURES], "low", fold.alias("prune"))
+    return table.groupBy(*MEASURES, "low", "prune").agg(F.count("*").alias("n"))
 
 
-def _grow(counts: DataFrame, rest: Column, cuts: dict[str, list[float]]) -> Rule:
+def _grow(counts: DataFrame, rest: Column) -> Rule:
     rule: list[Condition] = []
     while len(rule) < MOST_CONDITIONS:
         here = counts.filter(~F.col("prune") & rest & _all(rule))
@@ -179,12 +190,13 @@ def _prune(counts: DataFrame, rest: Column, rule: Rule) -> tuple[Rule, bool]:
 
 def learn(rows: DataFrame) -> list[Rule]:
     """Rules for low quality, in order, from labelled ``rows`` (MEASURES, doc_id, low)."""
-    counts, cuts = statistics(rows)
-    counts = stored(counts, "quality-counts")
+    rows = stored(rows, "quality-labelled")
+    cuts = thresholds(rows)
+    counts = stored(statistics(rows, cuts), "quality-counts")
     rules: list[Rule] = []
     rest = F.lit(True)
     while len(rules) < MOST_RULES:
-        rule = _grow(counts, rest, cuts)
+        rule = _grow(counts, rest)
         if not rule:
             break
         rule, good = _prune(counts, rest, rule)

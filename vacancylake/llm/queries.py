@@ -13,6 +13,7 @@ MODULES = [
     "line_dedup",
     "personal_data",
     "simhash",
+    "toxicity",
 ]
 
 
