@@ -226,6 +226,12 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("doc_id", *BASE, "base_failed", fired(rules).alias("rule")).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
+def without_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without what ``judge`` rejects. Rows that share a doc_id are one document, which goes if any of them is rejected."""
+    rejected = judge(docs, labels).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict for every document, with rules learned from all labels."""
     return judge(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

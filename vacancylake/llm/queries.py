@@ -8,6 +8,7 @@ from vacancylake.plans.queries import Registered
 
 MODULES = [
     "quality_rules",
+    "decontamination",
     "token_files",
     "packing",
     "line_dedup",

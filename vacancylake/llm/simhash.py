@@ -159,10 +159,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BI
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
-    """``docs`` without the rows whose component holds a smaller doc_id; repeated rows of the smallest one fold into one."""
-    found = near_duplicates(docs, shingle, most)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component: that of the smallest doc_id. Rows without a doc_id stay only where no other row is near."""
+    found = stored(near_duplicates(docs, shingle, most), "components")
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = stored(kept, "kept")
+    out = docs.join(kept.select(F.col("doc_id").alias("kept_id")), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    # Only where ids repeat is a row to be chosen among equal ids; that shuffles whole rows.
+    return out.dropDuplicates(["doc_id"]) if kept.filter("n > 1").limit(1).count() else out
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

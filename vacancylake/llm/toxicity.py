@@ -32,9 +32,9 @@ from vacancylake.session import ship_package
 
 #: Labelled rows that voters and classifier are fitted on, at most.
 TRAIN_ROWS = 20_000
-LEXICON = 96
+LEXICON = 300
 LEAST_DOCS = 4
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 
@@ -79,8 +79,14 @@ def choose_terms(rows: DataFrame, most: int = LEXICON, least_docs: int = LEAST_D
     base = sizes[1] / (sizes[0] + sizes[1])
     n, share = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
     apart = F.col("toxic") * F.log(share / base) + F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - base))).otherwise(0)
-    good = _term_counts(rows).filter((F.col("toxic") >= least_docs) & (share > 0.6)).withColumn("apart", apart).filter((F.col("apart") > 8) & (n > 0))
-    return [r["term"] for r in good.orderBy(F.desc("apart"), F.length("term"), "term").limit(most).collect()]
+    good = _term_counts(rows).filter((F.col("toxic") >= least_docs) & (share > 0.6)).withColumn("apart", apart).filter((F.col("apart") > 9) & (n > 0))
+    chosen: dict[str, float] = {}
+    for r in good.withColumn("share", share).orderBy(F.desc("apart"), F.length("term"), "term").limit(8 * most).collect():
+        # A term says nothing new if it starts with a chosen beginning that is as telling.
+        starts = ["^" + r["term"][1:k] for k in range(2, len(r["term"]) + 1)]
+        if len(chosen) < most and not any(chosen.get(x, 0) >= r["share"] for x in starts):
+            chosen[r["term"]] = r["share"]
+    return list(chosen)
 
 
 PATTERNS = ["two_hits", "four_hits", "dense", "early", "close", "shouted", "no_hit"]
