@@ -14,6 +14,7 @@ MODULES = [
     "line_dedup",
     "personal_data",
     "simhash",
+    "suffix_dedup",
     "toxicity",
 ]
 
