@@ -11,6 +11,7 @@ MODULES = [
     "decontamination",
     "token_files",
     "packing",
+    "language_model",
     "line_dedup",
     "personal_data",
     "simhash",
