@@ -8,8 +8,8 @@ page and distinct line. At most (lines per page / ratio) lines of a host can pas
 whatever the host's size; it is joined to the pages under salted keys, which spread a large host over many tasks.
 
 Cases: a null or empty text has no lines and stays as it is (null becomes empty); blank lines are kept but never counted;
-repeated rows count as pages of their own; a null host is a host like any other; no rows give no rows. All columns of the
-input are kept; those added are named by the caller.
+repeated rows count as pages of their own; a null host counts as the host with the empty name; no rows give no rows. All
+columns of the input are kept.
 """
 
 from __future__ import annotations
@@ -24,27 +24,29 @@ SALTS = 32
 
 
 def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``pages`` with columns ``_host``, ``_lines`` (array), and ``_kept`` (array of the lines that stay)."""
-    marked = pages.withColumn("_host", F.coalesce(host, F.lit(""))).withColumn("_lines", F.coalesce(lines, F.array().cast("array<string>")))
-    said = F.array_distinct(F.transform(F.filter("_lines", lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
-    counted = marked.select("_host", F.explode(said).alias("line")).groupBy("_host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
-    totals = marked.groupBy("_host").agg(F.count("*").alias("total"))
-    often = counted.join(totals, "_host").filter(F.col("n") > F.col("total") * ratio)
-    listed = often.groupBy("_host").agg(F.collect_list("line").alias("_often"))
-    salted = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = marked.withColumn("_salt", F.pmod(F.xxhash64("_lines"), F.lit(SALTS)).cast("int"))
-    kept = F.when(F.col("_often").isNull(), F.col("_lines")).otherwise(
-        F.filter("_lines", lambda x: ~F.array_contains("_often", F.xxhash64(x)) | (F.trim(x) == ""))
+    """``page`` (the whole input row as a struct, so no name can clash), host, lines, and kept (the lines that stay)."""
+    marked = pages.select(
+        F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"), F.coalesce(host, F.lit("")).alias("host"),
+        F.coalesce(lines, F.array().cast("array<string>")).alias("lines"),
     )
-    return dealt.join(salted, ["_host", "_salt"], "left").withColumn("_kept", kept).select(*pages.columns, "_host", "_lines", "_kept")
+    said = F.array_distinct(F.transform(F.filter("lines", lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
+    counted = marked.select("host", F.explode(said).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
+    totals = marked.groupBy("host").agg(F.count("*").alias("total"))
+    common = counted.join(totals, "host").filter(F.col("n") > F.col("total") * ratio)
+    listed = common.groupBy("host").agg(F.collect_list("line").alias("common"))
+    salted = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = marked.withColumn("salt", F.pmod(F.xxhash64("lines"), F.lit(SALTS)).cast("int"))
+    kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(
+        F.filter("lines", lambda x: ~F.array_contains("common", F.xxhash64(x)) | (F.trim(x) == ""))
+    )
+    return dealt.join(salted, ["host", "salt"], "left").select("page", "host", "lines", kept.alias("kept"))
 
 
 def drop_document_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``docs`` with the boilerplate lines of their ``host`` cut out of ``text``; all rows and columns stay."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    cut = drop_boilerplate(docs, F.col(host), F.split(body, "\n"), ratio, least_pages)
-    joined = F.when(F.size("_kept") == F.size("_lines"), body).otherwise(F.array_join("_kept", "\n"))
-    return cut.withColumn(text, joined).select(*docs.columns)
+    cut = drop_boilerplate(docs, F.col(host).cast("string"), F.split(F.coalesce(text, F.lit("")), "\n"), ratio, least_pages)
+    rest = [F.array_join("kept", "\n").alias(c) if c == text else F.col("page").getField(c).alias(c) for c in docs.columns]
+    return cut.select(*rest)
 
 
 UNSEEN = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
@@ -64,8 +66,8 @@ def op8_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     cut = drop_boilerplate(pages, F.regexp_extract(F.lower("url"), HOST, 1), page_lines(F.coalesce("html", F.lit(""))))
     return cut.select(
-        "page_id", F.col("_host").alias("host"), F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"), F.array_join("_kept", "\n").alias("text"),
+        "page.page_id", "host", F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("text"),
     )
 
 
