@@ -92,11 +92,26 @@ def test_log_equals_row_by_row_in_any_batches_with_replays_and_compaction(spark,
     assert {tuple(r)[:6] for r in log.current().collect()} == expected
 
 
+def test_runs_do_not_overwrite_each_other_also_after_compaction(spark, tmp_path):
+    rows, _ = skewed_writes(spark, 900)
+    kinds = dict(f.split(" ") for f in WRITES.split(", "))
+    log = PostingLog(spark, str(tmp_path / "log"), kinds, last_wins=["description"])
+    cuts = [0, 200, 450, 700, 900]
+    for k, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        # Both runs count their batches from 0; the second run's are numbered no higher than the compacted ones.
+        log.append(spark.createDataFrame(rows[start:end], WRITES), k % 2, T[k], ["seq"], run="one" if k < 2 else "another")
+        if k == 1:
+            log.compact()
+    assert {tuple(r)[:6] for r in log.current().collect()} == brute_force(rows)
+    log.compact()
+    assert {tuple(r)[:6] for r in log.current().collect()} == brute_force(rows)
+
+
 def test_incomplete_batches_are_not_read(spark, tmp_path):
     kinds = dict(f.split(" ") for f in WRITES.split(", "))
     log = PostingLog(spark, str(tmp_path / "log"), kinds)
     log.append(golden(spark), 0, T[0], ["seq"])
-    broken = tmp_path / "log" / "batches" / "batch=1"
+    broken = tmp_path / "log" / "batches" / "run=00000001-direct" / "batch=1"
     broken.mkdir()
     (broken / "part-0.parquet").write_bytes(b"half")
     assert log.current().count() == 2

@@ -14,23 +14,40 @@ from vacancylake.streaming.log import PostingLog
 _DAY = "2024-02-01 00:00:00"
 
 
+def _as_writes(batch):
+    return batch.select(
+        F.concat(F.lit("site_"), F.col("user_id") % 3).alias("platform"),
+        F.concat(F.col("user_id") % 50, F.lit("-"), F.lower("event_type")).alias("id"),
+        F.col("props").alias("title"),
+        F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("text "), F.col("event_id"))).alias("description"),
+        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("experience_level"),
+        F.lit(None).cast("string").alias("education_level"), F.col("ts").alias("scraped_date"), "event_id",
+    )
+
+
+def _event_log(spark, sf, home):
+    kinds = {f.name: f.dataType.simpleString() for f in sightings(spark, sf).schema}
+    return PostingLog(spark, f"{home}/log", kinds)
+
+
 def _streamed_upsert(spark, sf):
     """The events file as a stream of writes into a posting log, then the log's table."""
-    writes = sightings(spark, sf)
-    kinds = {f.name: f.dataType.simpleString() for f in writes.schema}
     home = new_shared_path(spark, "streamed-upsert")
-    log = PostingLog(spark, f"{home}/log", kinds)
+    log = _event_log(spark, sf, home)
     stream = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
-    ingest.write_batches(
-        stream, log, f"{home}/checkpoint", _DAY, ["event_id"],
-        lambda batch: batch.select(
-            F.concat(F.lit("site_"), F.col("user_id") % 3).alias("platform"),
-            F.concat(F.col("user_id") % 50, F.lit("-"), F.lower("event_type")).alias("id"),
-            F.col("props").alias("title"),
-            F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("text "), F.col("event_id"))).alias("description"),
-            F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("experience_level"),
-            F.lit(None).cast("string").alias("education_level"), F.col("ts").alias("scraped_date"), "event_id"),
-    ).awaitTermination()
+    ingest.write_batches(stream, log, f"{home}/checkpoint", _DAY, ["event_id"], _as_writes).awaitTermination()
+    return log.current()
+
+
+def _streamed_upsert_restart(spark, sf):
+    """The same events in two runs with a checkpoint each, even ids then odd ids, compacted in between."""
+    home = new_shared_path(spark, "streamed-restart")
+    log = _event_log(spark, sf, home)
+    stream = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
+    for name, half in (("a", F.col("event_id") % 2 == 0), ("b", F.col("event_id") % 2 == 1)):
+        ingest.write_batches(stream.where(half), log, f"{home}/checkpoint-{name}", _DAY, ["event_id"], _as_writes).awaitTermination()
+        if name == "a":
+            log.compact()
     return log.current()
 
 
@@ -54,4 +71,13 @@ QUERIES: Registered = {
         min(event_id) AS event_id, TIMESTAMP '{_DAY}' AS created_at, TIMESTAMP '{_DAY}' AS updated_at
         FROM writes GROUP BY platform, id""",
     ),
+    "streamed_upsert_restart": (
+        _streamed_upsert_restart,
+        f"""{SIGHTINGS}, turns AS (SELECT *, (event_id % 2) * 1000000000000 + event_id AS turn FROM writes)
+        SELECT platform, id, arg_min(title, turn) AS title,
+        arg_min_null(description, turn) AS description, arg_min_null(experience_level, turn) AS experience_level,
+        CAST(NULL AS VARCHAR) AS education_level, arg_max(scraped_date, turn) AS scraped_date,
+        arg_min(event_id, turn) AS event_id, TIMESTAMP '{_DAY}' AS created_at, TIMESTAMP '{_DAY}' AS updated_at
+        FROM turns GROUP BY platform, id""",
+    ),
 }

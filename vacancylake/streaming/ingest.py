@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,11 @@ def seen_once(stream: DataFrame, key: list[str], moment: str, delay: str) -> Dat
     return once.withColumn(moment, dates.from_instant(F.col(moment)))
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns ``checkpoint``; it is there before the first batch."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def write_batches(
     stream: DataFrame,
     log: PostingLog,
@@ -41,11 +47,13 @@ def write_batches(
 ) -> StreamingQuery:
     """Read all that is there now, in batches, and append each to the log.
 
-    A batch that is run again after a lost executor overwrites its own folder.
+    A batch that is run again after a lost executor overwrites its own folder. The
+    run is the streaming query's own id, which its checkpoint keeps: a new
+    checkpoint over an old log starts a new run and overwrites nothing.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        log.append(prepare(batch), batch_id, as_of, order)
+        log.append(prepare(batch), batch_id, as_of, order, checkpoint_id(log.spark, checkpoint))
 
     return (
         stream.writeStream.foreachBatch(save)

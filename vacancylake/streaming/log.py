@@ -1,15 +1,19 @@
 """A table kept as a log of folded batches.
 
 Plain Parquet has no row updates. Each batch is folded to one row per key and
-written to its own folder, named by batch number: writing a batch twice gives
-the same folder, and the cost of a batch depends on the batch, not on the
-table. Reading folds the batches once more, because the fold is associative;
-``compact`` stores that result so that readers start from it.
+written to its own folder, named by the run that writes and the batch's number
+in it: writing a batch twice gives the same folder, two runs never share one,
+and the cost of a batch depends on the batch, not on the table. Reading folds
+the batches once more, because the fold is associative; ``compact`` stores that
+result, and beside it which batches it covers, so that readers start from it.
+
+Runs are ordered by when they first wrote, batches by number within their run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +45,8 @@ class PostingLog:
             + ["writes bigint"]
         )
 
-    def append(self, writes: DataFrame, batch_id: int, as_of: str | dt.datetime, order: list[str]) -> None:
-        """Store one batch of writes. Repeating a batch id replaces that batch."""
+    def append(self, writes: DataFrame, batch_id: int, as_of: str | dt.datetime, order: list[str], run: str = "direct") -> None:
+        """Store one batch of writes of ``run``. Repeating a batch id of the same run replaces that batch."""
         now = dates.moment(as_of)
         at = F.struct(*order)
         folded = writes.groupBy(*self.key).agg(
@@ -50,49 +54,57 @@ class PostingLog:
             F.max_by(F.struct(*self.last, now.alias("updated_at")), at).alias("last"),
             F.count("*").alias("writes"),
         )
-        folded.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
+        folded.write.mode("overwrite").parquet(f"{self.path}/batches/run={self._run(run)}/batch={batch_id}")
+
+    def _run(self, name: str) -> str:
+        """The run's folder: a rank among runs in front of its name, given when it first writes."""
+        known = [path.split("=")[-1] for path in self._found("batches/run=*")]
+        own = [r for r in known if r.split("-", 1)[1] == name]
+        return own[0] if own else f"{max((int(r.split('-', 1)[0]) for r in known), default=0) + 1:08d}-{name}"
 
     def current(self) -> DataFrame:
         """The table: first-write columns, last-write columns, both stamps."""
-        folded = self._folded(*self._parts())
+        base, _, batches = self._parts()
+        folded = self._folded(base, batches)
         return folded.select(*self.key, "first.*", "last.*").select(*self.columns, "created_at", "updated_at")
 
     def compact(self) -> None:
         """Store the fold of all batches so far; older parts stay until removed by their owner."""
-        base, batches = self._parts()
-        if batches:
-            self._folded(base, batches).write.mode("overwrite").parquet(f"{self.path}/bases/base={max(batches)}")
+        base, covered, batches = self._parts()
+        if not batches:
+            return
+        number = 0 if base is None else base + 1
+        covers = self.spark.createDataFrame(sorted(covered | set(batches)), "run string, batch long")
+        covers.write.mode("overwrite").parquet(f"{self.path}/covers/base={number}")  # a base counts once its own files are complete
+        self._folded(base, batches).write.mode("overwrite").parquet(f"{self.path}/bases/base={number}")
 
-    def _folded(self, base: int | None, batches: list[int]) -> DataFrame:
-        numbered = [] if base is None else [(base, f"{self.path}/bases/base={base}")]
-        numbered += [(b, f"{self.path}/batches/batch={b}") for b in batches]
-        if not numbered:
+    def _folded(self, base: int | None, batches: list[tuple[str, int]]) -> DataFrame:
+        parts = []
+        if base is not None:
+            stored = self.spark.read.schema(self._schema).parquet(f"{self.path}/bases/base={base}")
+            parts.append(stored.withColumns({"run": F.lit(""), "batch": F.lit(0).cast("long")}))  # before every run
+        if batches:
+            reader = self.spark.read.schema(f"{self._schema}, run string, batch bigint").option("basePath", f"{self.path}/batches")
+            parts.append(reader.parquet(*[f"{self.path}/batches/run={r}/batch={b}" for r, b in batches]))
+        if not parts:
             return self.spark.createDataFrame([], self._schema)
-        if base is None:
-            parts = self._read([p for _, p in numbered], "batches", "batch")
-        else:
-            parts = self._read([numbered[0][1]], "bases", "base")
-            if batches:
-                parts = parts.unionByName(self._read([p for _, p in numbered[1:]], "batches", "batch"))
-        return parts.groupBy(*self.key).agg(
-            F.min_by("first", "number").alias("first"),
-            F.max_by("last", "number").alias("last"),
+        number = F.struct("run", "batch")
+        return reduce(DataFrame.unionByName, parts).groupBy(*self.key).agg(
+            F.min_by("first", number).alias("first"),
+            F.max_by("last", number).alias("last"),
             F.sum("writes").alias("writes"),
         )
 
-    def _read(self, paths: list[str], folder: str, column: str) -> DataFrame:
-        schema = f"{self._schema}, {column} bigint"
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{folder}")
-        return reader.parquet(*paths).withColumnRenamed(column, "number")
-
-    def _parts(self) -> tuple[int | None, list[int]]:
-        """The newest complete base, and the complete batches after it."""
-        bases = self._complete("bases", "base")
-        base = max(bases) if bases else None
-        return base, sorted(b for b in self._complete("batches", "batch") if base is None or b > base)
+    def _parts(self) -> tuple[int | None, set[tuple[str, int]], list[tuple[str, int]]]:
+        """The newest complete base, the batches it covers, and the other complete batches."""
+        bases = [int(path.split("/")[-2].split("=")[1]) for path in self._found("bases/base=*/_SUCCESS")]
+        base = max(bases, default=None)
+        covered = set() if base is None else {(r["run"], r["batch"]) for r in self.spark.read.parquet(f"{self.path}/covers/base={base}").collect()}
+        folders = [path.split("/")[-3:-1] for path in self._found("batches/run=*/batch=*/_SUCCESS")]
+        batches = {(run.split("=")[1], int(batch.split("=")[1])) for run, batch in folders}
+        return base, covered, sorted(batches - covered)
 
-    def _complete(self, folder: str, column: str) -> list[int]:
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/{column}=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        return [int(f.getPath().getParent().getName().split("=")[1]) for f in files or []]
+    def _found(self, pattern: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return [str(f.getPath().toString()) for f in files or []]
