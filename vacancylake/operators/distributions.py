@@ -6,11 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancylake.operators.quantiles import exact_quantiles
-from vacancylake.operators.small_side import measured
 from vacancylake.session import ship_package
 
 GRID_POINTS = 200
@@ -100,17 +99,14 @@ def density_curve(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
 
 def box_stats(df: DataFrame, value: str = "salary_min", by: str = "platform") -> DataFrame:
     """Quartiles, whiskers and outlier count per source; empty for a single source."""
-    rows, fenced = _fenced(df, value, by)
-    low, high = F.col("low_fence"), F.col("high_fence")
-    x = F.col("x")
-    stats = rows.groupBy(by).agg(
+    low, high, x = F.col("low_fence"), F.col("high_fence"), F.col("x")
+    stats = _fenced(df, value, by).groupBy(by, "n", "q1", "median", "q3").agg(
         F.min(F.when(x >= low, x)).alias("wlo"),
         F.max(F.when(x <= high, x)).alias("whi"),
         F.count_if((x < low) | (x > high)).alias("outliers"),
     )
-    joined = stats.join(fenced, by)
-    several = fenced.agg((F.count("*") > 1).alias("several"))
-    return joined.where(several.scalar()).select(
+    everything = Window.partitionBy(F.lit(0))  # one row per source
+    return stats.withColumn("sources", F.count("*").over(everything)).where("sources > 1").select(
         by, "n", "q1", "median", "q3",
         F.least("wlo", "q1").alias("whisker_low"),
         F.greatest("whi", "q3").alias("whisker_high"),
@@ -120,21 +116,20 @@ def box_stats(df: DataFrame, value: str = "salary_min", by: str = "platform") ->
 
 def box_outliers(df: DataFrame, value: str = "salary_min", by: str = "platform") -> DataFrame:
     """The values outside the fences, one row each."""
-    rows, _ = _fenced(df, value, by)
+    rows = _fenced(df, value, by)
     return rows.where((F.col("x") < F.col("low_fence")) | (F.col("x") > F.col("high_fence"))).select(
         by, F.col("x").alias(value)
     )
 
 
-def _fenced(df: DataFrame, value: str, by: str) -> tuple[DataFrame, DataFrame]:
+def _fenced(df: DataFrame, value: str, by: str) -> DataFrame:
+    """Every value with its source's quartiles and fences; one row per source is joined, so adaptive execution broadcasts it."""
     quartiles = exact_quantiles(df, value, [0.25, 0.5, 0.75], by)
     q: list[Column] = [F.element_at("quantiles", i) for i in (1, 2, 3)]
-    fenced = quartiles.select(
+    fences = quartiles.select(
         by, "n", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
         (q[0] - 1.5 * (q[2] - q[0])).alias("low_fence"),
         (q[2] + 1.5 * (q[2] - q[0])).alias("high_fence"),
     )
-    fenced, few = measured(fenced)  # read three times below; one row per source
-    fences = fenced.select(by, "low_fence", "high_fence")
     values = df.where(F.col(value).isNotNull()).select(by, F.col(value).cast("double").alias("x"))
-    return values.join(F.broadcast(fences) if few else fences, by), fenced
+    return values.join(fences, by)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancylake.operators.small_side import join_small
-
 NO_DETAIL = "no detail page"
 
 
@@ -28,5 +26,5 @@ def with_details(
 
 
 def lookup_code(df: DataFrame, codes: DataFrame, on: list[str], code: str = "code") -> DataFrame:
-    """Add the code of a name; unknown names get ''."""
-    return join_small(df, codes.select(*on, code), on, "left").withColumn(code, F.coalesce(code, F.lit("")))
+    """Add the code of a name; unknown names get ''. Adaptive execution broadcasts the codes where their bytes allow it."""
+    return df.join(codes.select(*on, code), on, "left").withColumn(code, F.coalesce(code, F.lit("")))

@@ -1,18 +1,20 @@
-"""Exact quantiles of money columns with bounded state.
+"""Exact quantiles, for money columns with bounded state.
 
-A DECIMAL(10,2) is a whole number of cents below 2**35. Counting the upper 18
-bits tells which bucket holds a wanted rank; counting the lower 17 bits inside
-just those buckets gives the value. Two map-side-combined counts of at most
-2**18 rows per group replace a sort of the whole group, however many rows or
-distinct values one group holds.
+A DECIMAL of at most ten digits, or an INT, is a whole number of its smallest
+unit below 2**35. Counting the upper 18 bits tells which bucket holds a wanted
+rank; counting the lower 17 bits inside just those buckets gives the value. Two
+map-side-combined counts of at most 2**18 rows per group replace a sort of the
+whole group, however many rows or distinct values one group holds.
+
+Other numbers (doubles, longer decimals) are counted per distinct value first;
+the exact percentile then holds a group's distinct values with their counts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from vacancylake.operators.small_side import measured
+from pyspark.sql import types as T
 
 _LOW_BITS = 17
 _OFFSET = 10**10  # makes negative amounts positive
@@ -20,7 +22,14 @@ _OFFSET = 10**10  # makes negative amounts positive
 
 def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: str | None = None) -> DataFrame:
     """One row per group: ``n`` and ``quantiles``, linearly interpolated doubles."""
-    cents = F.round(F.col(value).cast("decimal(12,2)") * 100).cast("bigint") + _OFFSET
+    kind = df.schema[value].dataType
+    if isinstance(kind, T.DecimalType) and kind.precision <= 10:
+        scale = kind.scale
+    elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        scale = 0
+    else:
+        return _counted_quantiles(df, value, probabilities, by)
+    cents = (F.col(value).cast(T.DecimalType(20, scale)) * 10**scale).cast("bigint") + _OFFSET
     group = F.col(by) if by else F.lit(0)
     coded = df.where(F.col(value).isNotNull()).select(
         group.alias("_g"),
@@ -42,26 +51,24 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: s
         "_g", "_hi", "n", before.alias("before"),
         F.explode(F.filter(ranks, lambda r: (r >= before) & (r < F.col("upto")))).alias("rank"),
     )
-    wanted, few = measured(wanted)
-    with_hint = F.broadcast if few else (lambda side: side)
 
     buckets = wanted.select(F.col("_g").alias("g"), F.col("_hi").alias("hi")).distinct()
     same_bucket = (F.col("_g").eqNullSafe(F.col("g"))) & (F.col("_hi") == F.col("hi"))
     inside = Window.partitionBy("g", "hi").orderBy("_lo").rowsBetween(Window.unboundedPreceding, 0)
     lower = (
-        coded.join(with_hint(buckets), same_bucket)
+        coded.join(buckets, same_bucket)
         .groupBy("g", "hi", "_lo")
         .agg(F.count("*").alias("c2"))
         .withColumn("upto2", F.sum("c2").over(inside))
     )
     rest = F.col("rank") - F.col("before")
     found = lower.join(
-        with_hint(wanted.withColumnsRenamed({"_g": "wg", "_hi": "whi"})),
+        wanted.withColumnsRenamed({"_g": "wg", "_hi": "whi"}),
         F.col("g").eqNullSafe(F.col("wg")) & (F.col("hi") == F.col("whi"))
         & (rest >= F.col("upto2") - F.col("c2")) & (rest < F.col("upto2")),
     ).select(
         "g", "n", "rank",
-        ((F.shiftleft(F.col("hi"), _LOW_BITS) + F.col("_lo") - _OFFSET) / F.lit(100.0)).alias("value"),
+        ((F.shiftleft(F.col("hi"), _LOW_BITS) + F.col("_lo") - _OFFSET) / F.lit(float(10**scale))).alias("value"),
     )
     # at most two entries per probability
     per_group = found.groupBy("g").agg(
@@ -73,6 +80,13 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: s
     return per_group.select(F.col("g").alias(by), "n", quantiles.alias("quantiles"))
 
 
+def _counted_quantiles(df: DataFrame, value: str, probabilities: list[float], by: str | None) -> DataFrame:
+    group = F.col(by) if by else F.lit(0)
+    counted = df.where(F.col(value).isNotNull()).groupBy(group.alias("_g"), F.col(value).cast("double").alias("_x")).agg(F.count("*").alias("_c"))
+    found = counted.groupBy("_g").agg(F.sum("_c").alias("n"), F.percentile("_x", probabilities, "_c").alias("quantiles"))
+    return found.drop("_g") if by is None else found.select(F.col("_g").alias(by), "n", "quantiles")
+
+
 def _interpolated(at: Column, place: Column) -> Column:
     low = F.try_element_at(at, F.floor(place).cast("bigint"))
     high = F.try_element_at(at, F.ceil(place).cast("bigint"))

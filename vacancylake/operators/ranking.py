@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancylake.operators.aggregates import value_counts
-from vacancylake.operators.small_side import join_small
 from vacancylake.session import cut_lineage
 
 QUOTA_SPREAD = 64
@@ -26,23 +25,23 @@ def latest(df: DataFrame, limit: int | None = None) -> DataFrame:
 def quota_per_source(df: DataFrame, source: str, order: list[str], quota: int) -> DataFrame:
     """The first ``quota`` rows of each source in page order.
 
-    One source may hold most rows, so the ranking has two steps over parts of a
-    source. A part is a group of input tasks: within a task the part is constant,
-    so Spark keeps at most ``quota`` rows per source and task before the first
-    shuffle. A row among the first ``quota`` overall is also among the first
-    ``quota`` of its part, whatever the parts are, and the second ranking sees at
-    most ``QUOTA_SPREAD * quota`` rows per source.
+    One source may hold most rows, so ranks are found in rounds over ever larger
+    parts of a source, first those of each input task, and on the order columns
+    alone: a row among the first ``quota`` overall is also among the first
+    ``quota`` of its part, whatever the parts are. No round puts more into one
+    group than an input task has, or ``QUOTA_SPREAD * quota`` rows in the last.
+    What comes out is the last key of each source that is within its quota; whole
+    rows are only compared with it, and only those up to it are ranked.
     """
-    within_part = Window.partitionBy(source, "_part").orderBy(*order)
-    overall = Window.partitionBy(source).orderBy(*order)
-    return (
-        df.withColumn("_part", F.spark_partition_id() % QUOTA_SPREAD)
-        .withColumn("_rank", F.row_number().over(within_part))
-        .where(F.col("_rank") <= quota)
-        .withColumn("_rank", F.row_number().over(overall))
-        .where(F.col("_rank") <= quota)
-        .drop("_part", "_rank")
-    )
+    keys = df.select(F.col(source).alias("_s"), F.struct(*order).alias("_at"), F.spark_partition_id().alias("_part"))
+    for part in (F.col("_part"), F.col("_part") % (QUOTA_SPREAD * QUOTA_SPREAD), F.col("_part") % QUOTA_SPREAD, F.lit(0)):
+        keys = keys.withColumn("_part", part)
+        within = Window.partitionBy("_s", "_part").orderBy("_at")
+        keys = keys.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") <= quota).drop("_rank")
+    last = keys.groupBy("_s").agg(F.max("_at").alias("_last"))
+    near = df.join(last, F.col(source).eqNullSafe(F.col("_s"))).where(F.struct(*order) <= F.col("_last"))
+    overall = Window.partitionBy(source).orderBy(*order)  # ties of the last key are all that can exceed the quota
+    return near.withColumn("_rank", F.row_number().over(overall)).where(F.col("_rank") <= quota).drop("_rank", "_s", "_last")
 
 
 def numbered(df: DataFrame, order: list[str | Column], name: str = "row_no") -> DataFrame:
@@ -66,7 +65,7 @@ def numbered(df: DataFrame, order: list[str | Column], name: str = "row_no") ->
         .agg(F.count("*").alias("c"))
         .select("_part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("_start"))  # one row per partition
     )
-    return join_small(fixed, starts, "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop(
+    return fixed.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop(
         "_part", "_at", "_start"
     )
 

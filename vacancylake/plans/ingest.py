@@ -12,7 +12,6 @@ from vacancylake import schemas
 from vacancylake.functions import dates
 from vacancylake.operators import aggregates, children, extract, filters, joins, projections, quality, ranking, upsert
 from vacancylake.operators.layouts import LISTING_LAYOUTS
-from vacancylake.operators.small_side import join_small
 from vacancylake.session import stored
 from vacancylake.sources.raw_pages import split_by_status
 
@@ -113,10 +112,8 @@ def run_log(
         result.rejects.select("platform", F.col("problem").alias("error")))
     seen = seen.withColumns({"started": dates.moment(started), "ended": dates.moment(ended)})
     runs = run_record(aggregates.run_summary(seen, "platform", "error", "started", "ended"), ended)
-    errors = join_small(
-        result.rejects.where(F.col("problem").isNotNull()).select("platform", "problem"),
-        runs.select("platform", F.col("id").alias("scraping_result_id")), "platform",
-    )
+    problems = result.rejects.where(F.col("problem").isNotNull()).select("platform", "problem")
+    errors = problems.join(runs.select("platform", F.col("id").alias("scraping_result_id")), "platform")
     return runs, errors.select(
         "scraping_result_id", F.col("problem").alias("error_message"), dates.moment(ended).alias("created_at"))
 

@@ -438,9 +438,9 @@ QUERIES: Registered = {
     ),
     "source_quota": (
         lambda spark, sf: ranking.quota_per_source(
-            table(spark, sf, "events").select("event_type", "ts", "event_id"), "event_type", ["ts", "event_id"], 500),
+            table(spark, sf, "events").select("event_type", "ts", "event_id"), "event_type", ["ts", "event_id"], 2500),
         """SELECT event_type, ts, event_id FROM events
-        QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) <= 500""",
+        QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) <= 2500""",
     ),
     "detail_batches": (
         lambda spark, sf: ranking.in_batches(table(spark, sf, "orders").select("o_orderdate", "o_orderkey"),

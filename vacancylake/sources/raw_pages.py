@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from vacancylake import schemas
 from vacancylake.functions.links import listing_url
-from vacancylake.operators.small_side import join_small
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +55,7 @@ def page_frontier(
     if max_page is not None:
         pages = pages.where(F.col(page) <= max_page)
     stops = pages.where(F.col(rows) == 0).groupBy(source).agg(F.min(page).alias("_stop"))
-    return join_small(pages, stops, source, "left").where(
+    return pages.join(stops, source, "left").where(
         F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))
     ).drop("_stop")
 
