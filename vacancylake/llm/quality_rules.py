@@ -229,6 +229,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without what ``judge`` rejects. Rows that share a doc_id are one document, which goes if any of them is rejected."""
     rejected = judge(docs, labels).filter(~F.col("kept")).select("doc_id").distinct()
+    rejected = rejected.hint("shuffle_hash")  # the list grows with the documents: never broadcast, and no sort of whole texts
     return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
 
 

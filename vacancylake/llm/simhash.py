@@ -165,7 +165,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS)
     found = stored(near_duplicates(docs, shingle, most), "components")
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
     kept = stored(kept, "kept")
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    kept_ids = kept.hint("shuffle_hash")  # the list grows with the documents: never broadcast, and no sort of whole texts
+    out = docs.join(kept_ids, docs["doc_id"].eqNullSafe(kept_ids["doc_id"]), "left_semi")
     # Only where ids repeat is a row to be chosen among equal ids; that shuffles whole rows.
     return out.dropDuplicates(["doc_id"]) if kept.filter("n > 1").limit(1).count() else out
 
