@@ -71,7 +71,7 @@ def test_missing_parts(spark):
 
 def test_a_page_no_layout_knows_and_an_empty_one(spark):
     rows = extract.extract_listings(pages(spark, ("elsewhere", 200, TABLE), ("jobs_ge", 200, "<p>"), ("cv_ge", 200, None)), NOW)
-    assert [r.problem for r in rows.collect()] == ["no layout for this source"]
+    assert [r.problem for r in rows.collect()] == ["no layout for this source", "layout not found", "layout not found"]
 
 
 def test_details(spark):

@@ -33,6 +33,8 @@ _DETAIL_LISTS = ["links"]
 
 
 _ROWS_PER_BATCH = 5000
+_BYTES_PER_BATCH = 16 << 20  # of page text behind the rows held
+NO_LAYOUT = "layout not found"
 
 
 def _raw_schema(texts: list[str], lists: list[str], keep: list[str]) -> pa.Schema:
@@ -78,7 +80,8 @@ def _read(page: Page, row, field: Field):
 def _records(html: str, layout: Layout) -> Iterator[dict]:
     page = Page(html)
     root = page.follow(layout.root)
-    if root is None:
+    if root is None:  # not an empty list, but a page of another shape
+        yield {"row_no": 0, "problem": NO_LAYOUT}
         return
     rows = [root] if layout.rows is None else page.select(layout.rows, root)[layout.skip:]
     for row_no, row in enumerate(rows):
@@ -86,6 +89,8 @@ def _records(html: str, layout: Layout) -> Iterator[dict]:
         record = {"row_no": row_no, "problem": missing}
         if missing is None:
             record |= {name: _read(page, row, f) for name, f in layout.fields.items()}
+            if layout.some and not any((record[name] or "").strip() for name in layout.some):
+                record["problem"] = "no content"
             if layout.rows is None:
                 record["mentions_money"] = any(re.search(fixed.CURRENCY_MARKS, t) for t in page.every_text())
         yield record
@@ -109,14 +114,15 @@ def _extractor(layouts: dict[str, Reader], schema: pa.Schema, keep: list[str]) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = ["page_id", "platform", *keep]
-        out = []
+        out, size = [], 0
         for batch in batches:
             columns = [batch.column(name).to_pylist() for name in [*heads, "html"]]
             for *values, html in zip(*columns):
                 out.extend(rows_of(dict(zip(heads, values)), html))
-                if len(out) >= _ROWS_PER_BATCH:
+                size += len(html or "")
+                if len(out) >= _ROWS_PER_BATCH or size >= _BYTES_PER_BATCH:
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
-                    out = []
+                    out, size = [], 0
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run

@@ -26,6 +26,7 @@ class Layout:
     rows: Step | None = None  # None: the page itself is the one record
     skip: int = 0
     needs: tuple[tuple[Step, str], ...] = ()  # elements a row must have, and what to say when it has not
+    some: tuple[str, ...] = ()  # fields of which a row must have one, else it has no content
     fields: dict[str, Field] = field(default_factory=dict)
 
 
@@ -97,6 +98,7 @@ DETAIL_LAYOUTS: dict[str, Layout] = {
     ),
     "jobs_ge": Layout(
         root=(),
+        some=("title", "body"),
         fields={
             "title": _at(Step("h1")),
             "body": Field(((Step("div", cls="job-description"),), (Step("div", id="job_description"),)), "joined"),

@@ -70,7 +70,7 @@ def flatten_detail(details: DataFrame, as_of: str | dt.datetime) -> DataFrame:
     return details.select(*[special.get(c, common.get(c, F.col(c))) for c in wanted])
 
 
-def crawler_items(listings: DataFrame) -> DataFrame:
+def crawler_items(listings: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Nested listing -> flat feed item."""
     def flag(name: str) -> Column:
         return F.when(F.col("metadata").isNull(), F.lit(False)).otherwise(F.col(f"metadata.{name}")).alias(name)
@@ -79,7 +79,7 @@ def crawler_items(listings: DataFrame) -> DataFrame:
         return F.when(F.col(group).isNull(), F.lit("")).otherwise(F.col(f"{group}.{name}")).alias(alias)
 
     return listings.select(
-        "id", "platform", "title", "url",
+        *(keep or []), "id", "platform", "title", "url",
         part("company", "name", "company_name"),
         part("company", "jobs_url", "company_url"),
         part("company", "logo_url", "company_logo_url"),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import operator
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,41 +65,87 @@ def ingest_listings(
     return IngestResult(table, valid, rejects)
 
 
+REPEATED_PAGE = "another page of this posting was taken"
+
+
 def ingest_details(
-    listings: DataFrame, detail_pages: DataFrame, current: DataFrame, as_of: str | dt.datetime, mode: str = "last"
+    listings: DataFrame, detail_pages: DataFrame, current: DataFrame, as_of: str | dt.datetime, mode: str = "last",
+    current_children: dict[str, DataFrame] | None = None,
 ) -> IngestResult:
     """Detail pages of the given listings: parent rows and child tables.
 
-    ``detail_pages`` carries ``id`` and ``platform`` next to ``page_id, html``. A
-    listing whose page is missing or unreadable goes to the rejects, not to the
-    table.
+    ``detail_pages`` carries ``id`` and ``platform`` next to ``page_id, html``, and
+    may carry ``status`` and ``fetched_at``. Of several readable pages of a posting
+    the one fetched last counts (by page id where times are equal or missing). A
+    detail is saved with all its children or not at all: one that breaks a rule
+    itself, or has a child that does, goes to the rejects, as do pages that failed,
+    pages without content, pages not taken and listings without a page. Given the
+    stored children, the result's children are the tables after the save.
     """
-    fields = stored(extract.extract_details(detail_pages, mode, keep=["id"]), "detail-fields")
-    both = joins.with_details(
-        listings.select("platform", "id", "title", "url"), fields, ["platform", "id"], shared=["title"]
+    time = F.col("fetched_at") if "fetched_at" in detail_pages.columns else F.lit(None).cast("timestamp_ntz")
+    status = F.col("status") if "status" in detail_pages.columns else F.lit(200)
+    timed = detail_pages.withColumns({"status": status, "fetched_at": time})
+    good_pages, failed = split_by_status(timed)
+    fields = stored(extract.extract_details(good_pages, mode, keep=["id"]), "detail-fields")
+    turn = F.struct(F.col("problem").isNull(), "fetched_at", "page_id")
+    taken = (
+        fields.select("platform", "id", "page_id", "problem").join(good_pages.select("page_id", "fetched_at"), "page_id")
+        .groupBy("platform", "id").agg(F.max_by("page_id", turn).alias("page_id"))  # page ids alone, not the texts
     )
-    both = both.withColumn("error", F.coalesce("error", "problem"))
+    page_key = ["platform", "id", "page_id"]
+    repeated = fields.join(taken, page_key, "left_anti")
+    errors = failed.groupBy("platform", "id").agg(F.max_by("error", F.struct("fetched_at", "page_id")).alias("failure"))
+    both = joins.with_details(
+        listings.select("platform", "id", "title", "url"), fields.join(taken, page_key, "left_semi"),
+        ["platform", "id"], shared=["title"],
+    ).join(errors, ["platform", "id"], "left")
+    # A page that failed says more than that there is none.
+    missing = F.when(F.col("error") == joins.NO_DETAIL, F.coalesce("failure", "error")).otherwise(F.col("error"))
+    both = both.withColumn("error", F.coalesce("problem", missing)).drop("failure")
     good, bad = filters.split_rejects(both)
     details = extract.details_from_fields(good, as_of)
-    flat = projections.flatten_detail(details, as_of).withColumn("_order", F.col("id"))
-    table = upsert.upsert(
-        current, flat, as_of, ["_order"], last_wins=upsert.DETAIL_LAST_WINS
-    )
     child_tables = {
         name: children.child_rows(details, values, value, as_of)
         for name, (values, value) in children.CHILD_LISTS.items()
     }
     child_tables["job_contacts"] = children.contact_rows(details, as_of)
+    flat = projections.flatten_detail(details, as_of)
+    valid, broken = quality.split_by_rules(flat, quality.row_rules("job_details"))
+    key = list(children.PARENT_KEY.values())
+    named = valid.withColumnsRenamed(children.PARENT_KEY)
+    checked = [
+        (rows, reduce(operator.or_, (c for r, c in quality.row_rules(name).items())))
+        for name, rows in child_tables.items()
+    ]
+    whole, unsound = (df.withColumnsRenamed({new: old for old, new in children.PARENT_KEY.items()})
+                      for df in children.accept_whole(named, checked, key))
+    table = upsert.upsert(current, whole.withColumn("_order", F.lit(0)), as_of, ["_order"], last_wins=upsert.DETAIL_LAST_WINS)
+    saved = whole.select(*[F.col(old).alias(new) for old, new in children.PARENT_KEY.items()])
+    child_tables = {name: rows.join(saved, key, "left_semi") for name, rows in child_tables.items()}
+    for name, before in (current_children or {}).items():
+        child_tables[name] = children.replace_children(before, child_tables[name], saved, key)
     rejects = bad.select("platform", "id", "url", F.col("error").alias("problem"))
-    return IngestResult(table, flat.drop("_order"), rejects, child_tables)
+    for left, problem in (
+        (broken, F.array_join("broken_rules", ", ")), (unsound, F.lit("a child row breaks a rule")),
+        (repeated.withColumn("url", F.lit(None).cast("string")), F.coalesce("problem", F.lit(REPEATED_PAGE))),
+    ):
+        rejects = rejects.unionByName(left.select("platform", "id", "url", problem.alias("problem")))
+    return IngestResult(table, whole, rejects, child_tables)
 
 
 def crawl_feed(pages: DataFrame, as_of: str | dt.datetime) -> IngestResult:
-    """Pages to validated flat feed items."""
-    good, _ = split_by_status(pages)
-    items = projections.crawler_items(extract.accepted(extract.extract_listings(good, as_of)))
+    """Pages to validated flat feed items; whatever is left out goes to the rejects with its reason."""
+    good, failed = split_by_status(pages)
+    rows = stored(extract.extract_listings(good, as_of), "feed-rows")
+    items = projections.crawler_items(extract.accepted(rows), keep=["page_id", "row_no"])
     accepted, rejected = filters.validate_items(items, as_of)
-    return IngestResult(accepted, accepted, rejected)
+    rejects = (
+        extract.rejects(rows)
+        .unionByName(failed.select("page_id", "platform", F.lit(None).cast("int").alias("row_no"), F.col("error").alias("problem")))
+        .unionByName(rejected.select("page_id", "platform", "row_no", F.col("reason").alias("problem")))
+    )
+    accepted = accepted.drop("page_id", "row_no")
+    return IngestResult(accepted, accepted, rejects)
 
 
 def empty_table(spark, name: str) -> DataFrame:

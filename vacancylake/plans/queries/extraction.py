@@ -8,6 +8,7 @@ from vacancylake import fixed_values as fixed
 from vacancylake.operators import extract, sets
 from vacancylake.plans import ingest
 from vacancylake.plans.queries import Registered
+from vacancylake.session import stored
 from vacancylake.sources.driver_tables import AS_OF, postings, table
 
 # two entries per page; the second lacks what the layout needs to identify it
@@ -162,6 +163,21 @@ def _stored_details(spark, sf):
     return ingest.ingest_details(listings, pages, ingest.empty_table(spark, "job_details"), AS_OF)
 
 
+def _details_repeats(spark, sf):
+    """Pages of the same postings again: some failed, some later and empty, some later and good; a third of the rows stored before."""
+    pages = detail_pages(spark, sf).withColumns({"status": F.lit(200), "fetched_at": F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00"))})
+    key = F.col("id").cast("bigint")
+    later = pages.withColumns({
+        "page_id": key + 10**9, "fetched_at": F.to_timestamp_ntz(F.lit("2024-01-02 00:00:00")),
+        "status": F.when(key % 5 == 1, 503).otherwise(200),
+        "html": F.when(key % 5 == 2, F.lit("<p>gone</p>")).otherwise(F.concat(F.lit("<!-- again -->"), "html")),
+    })
+    first = pages.withColumn("status", F.when(key % 5 == 1, F.lit(500)).otherwise(F.lit(200)))
+    listings = pages.select("platform", "id", "title", F.concat(F.lit("/p/"), "id").alias("url"))
+    before = ingest.ingest_details(listings.where(key % 3 == 0), pages, ingest.empty_table(spark, "job_details"), "2024-01-01 00:00:00").table
+    return ingest.ingest_details(listings, first.unionByName(later), stored(before, "details-before"), AS_OF)
+
+
 def _child_values(child_tables):
     values = {"job_requirements": "requirement", "job_responsibilities": "responsibility",
               "job_contacts": "contact_value"}
@@ -269,6 +285,32 @@ QUERIES: Registered = {
         """SELECT 'cv_ge' AS platform, CAST(o_orderkey AS VARCHAR) AS id, '/p/' || o_orderkey AS url, 'no content' AS error
         FROM orders WHERE o_orderkey % 14 = 0""",
     ),
+    "ingest_details_repeats": (
+        lambda spark, sf: _details_repeats(spark, sf).table.select("platform", "id", "title", "created_at", "updated_at"),
+        f"""{_DETAILS_SQL}, q AS (SELECT *, k % 2 = 1 OR k % 7 <> 0 AS readable FROM p)
+        SELECT CASE WHEN k % 2 = 0 THEN 'cv_ge' ELSE 'jobs_ge' END AS platform, CAST(k AS VARCHAR) AS id, title,
+          CASE WHEN k % 3 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '{AS_OF}' END AS created_at,
+          CASE WHEN k % 5 = 1 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '{AS_OF}' END AS updated_at
+        FROM q WHERE readable AND (k % 5 <> 1 OR k % 3 = 0)""",
+    ),
+    "details_repeats_rejects": (
+        lambda spark, sf: _details_repeats(spark, sf).rejects.select("platform", "id", "problem"),
+        f"""{_DETAILS_SQL}, q AS (SELECT k, CASE WHEN k % 2 = 0 THEN 'cv_ge' ELSE 'jobs_ge' END AS platform, CAST(k AS VARCHAR) AS id,
+          k % 2 = 1 OR k % 7 <> 0 AS readable FROM p)
+        SELECT platform, id, CASE WHEN k % 5 = 1 THEN 'HTTP 503' ELSE 'no content' END AS problem FROM q WHERE k % 5 = 1 OR NOT readable
+        UNION ALL SELECT platform, id, CASE WHEN k % 5 = 2 OR NOT readable THEN 'no content' ELSE 'another page of this posting was taken' END
+        FROM q WHERE k % 5 <> 1""",
+    ),
+    "crawl_feed_rejects": (
+        lambda spark, sf: ingest.crawl_feed(
+            listing_pages(spark, sf).withColumn("status", F.when(F.col("page_id") % 19 == 0, 500).otherwise(200)), AS_OF).rejects,
+        """SELECT o_orderkey AS page_id, CASE o_orderkey % 3 WHEN 0 THEN 'jobs_ge' WHEN 1 THEN 'cv_ge' ELSE 'ss_ge' END AS platform,
+          CAST(NULL AS INTEGER) AS row_no, 'HTTP 500' AS problem FROM orders WHERE o_orderkey % 19 = 0
+        UNION ALL SELECT o_orderkey, 'jobs_ge', 1, 'no id' FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 19 <> 0
+        UNION ALL SELECT o_orderkey, 'jobs_ge', 2, 'fewer than 6 cells' FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 19 <> 0
+        UNION ALL SELECT o_orderkey, 'cv_ge', 1, 'no title' FROM orders WHERE o_orderkey % 3 = 1 AND o_orderkey % 19 <> 0
+        UNION ALL SELECT o_orderkey, 'ss_ge', 1, 'no title' FROM orders WHERE o_orderkey % 3 = 2 AND o_orderkey % 19 <> 0""",
+    ),
     "crawl_feed": (
         lambda spark, sf: ingest.crawl_feed(listing_pages(spark, sf).withColumn("status", F.lit(200)), AS_OF).table.select(
             "id", "platform", "title", "url", "company_name", "location_city", "published_date", "scraped_date", "is_vip"),
