@@ -301,12 +301,14 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, split_c
     # Rows with equal ids and equal texts share a key; they are copies, so what holds for one holds for the other.
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     places = _places(docs, length, gram)
-    often = places.groupBy("gram").agg(F.count("*").alias("n_gram")).filter("n_gram > 1").select("gram")
+    # Stored, so that the join shuffles both sides by itself and a gram that very many places share can be split.
+    often = stored(places.groupBy("gram").agg(F.count("*").alias("n_gram")).filter("n_gram > 1").select("gram"), "grams")
     places = stored(places.join(often, "gram"), "places")
     folded = places.groupBy("gram", "context").agg(F.count("*").alias("times"), F.min(F.struct("key", "text_hash", "start", "n", "anchor")).alias("one"))
     folded = stored(folded, "contexts")
     whole = places.join(folded.filter("times > 1").select("gram", "context"), ["gram", "context"]).select("key", "text_hash", "start", (F.col("start") + F.col("n") - 1 + length).cast("int").alias("end"))
     company = folded.groupBy("gram").agg(F.count("*").alias("company"), F.min("times").alias("least")).filter("company > 1 and least = 1").select("gram", "company")
+    company = stored(company, "company")
     wanted = folded.join(company, "gram").groupBy("one.key", "one.text_hash").agg(F.collect_list(F.struct("one.start", "one.n", "one.anchor", "gram", "times", "company")).alias("wanted"))
     texts = docs.repartition(tasks, "key", "text_hash")
     contexts = _fetched(texts.join(wanted, ["key", "text_hash"]), length, split_contexts)
