@@ -110,8 +110,9 @@ def links(classes: DataFrame, most: int = MOST_BITS, n_pivots: int = PIVOTS) ->
     signed = [p - (1 << 64) if p >> 63 else p for p in turned]
     fp = F.col("fp")
     # Narrow rows, much work each: as many tasks as the session has shuffle partitions, not as few as their bytes suggest.
+    # The hash is not the grouping key itself, whose (merged) partitions the planner would take over instead.
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = classes.repartition(tasks, "fp").select("fp", *[_distance(fp, p, (1 << 64) - 1).cast("byte").alias(f"p{j}") for j, p in enumerate(pivots(n_pivots))])
+    table = classes.repartition(tasks, F.xxhash64("fp")).select("fp", *[_distance(fp, p, (1 << 64) - 1).cast("byte").alias(f"p{j}") for j, p in enumerate(pivots(n_pivots))])
     coordinates = [F.concat(*[F.chr(_distance(fp, p, m)) for p in signed]) for m in masks]
     keys = [F.struct(F.lit(k).cast("byte").alias("choice"), F.xxhash64(*[coordinates[b] for b in chosen]).alias("at")) for k, chosen in enumerate(combinations(range(blocks), most))]
     keyed = table.withColumn("key", F.explode(F.array(*keys))).select("key.choice", "key.at", *table.columns)
