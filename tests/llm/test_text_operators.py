@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -176,6 +178,22 @@ def test_base_spans(text, want):
     assert [s[:3] for s in personal_data.find_spans(text) if s.kind in personal_data.BASE] == want
 
 
+def test_email_and_ip_spans_are_those_of_the_plain_expressions_in_linear_time():
+    plain = {
+        "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    }
+    kinds = {k.name: k for k in personal_data.KINDS}
+    chance = random.Random(7)
+    for _ in range(20_000):
+        for name, letters in (("email", "ab@@.._1 -"), ("ip", "12...a")):
+            text = "".join(chance.choice(letters) for _ in range(chance.randrange(30)))
+            assert list(personal_data._matches(kinds[name], text)) == [m.span() for m in plain[name].finditer(text)], text
+    began = time.monotonic()
+    assert personal_data.find_spans("a" * 2_000_000 + "1" * 2_000_000 + " @.") == []
+    assert time.monotonic() - began < 30
+
+
 def test_validators_and_context():
     kinds = lambda text: [s.kind for s in personal_data.find_spans(text)]
     assert kinds("IBAN DE89 3704 0044 0532 0130 00 please") == ["iban"]

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -66,6 +67,23 @@ class Kind(NamedTuple):
     sure: bool
     needs: str  # a text without this character has no such span; empty: any text may
     context: re.Pattern | None
+    before: str = ""  # characters before the match that belong to the span, back to the end of the one before
+
+
+def _matches(kind: Kind, text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping matches in time linear in the text, runs of any length included."""
+    free = 0
+    for m in kind.pattern.finditer(text):
+        start, end = m.span()
+        if kind.before:
+            start = free + len(text[free:start].rstrip(kind.before))
+            if start == m.start():
+                continue
+        yield start, end
+        free = end
+
+
+_LETTERS_DIGITS = string.ascii_letters + string.digits
 
 
 def _words(words: str) -> re.Pattern:
@@ -73,8 +91,8 @@ def _words(words: str) -> re.Pattern:
 
 
 KINDS = [
-    Kind("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda s: True, 0.95, True, "@", _words("mail email e-mail contact correo")),
-    Kind("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda s: all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split(".")), 0.7, True, ".", _words("ip address host server login adresse")),
+    Kind("email", re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), lambda s: True, 0.95, True, "@", _words("mail email e-mail contact correo"), _LETTERS_DIGITS + "._%+-"),
+    Kind("ip", re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda s: all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split(".")), 0.7, True, ".", _words("ip address host server login adresse")),
     Kind("card", re.compile(r"[0-9]([ -]?[0-9])+"), _card, 0.8, True, "", _words("card visa mastercard credit karte carte tarjeta")),
     Kind("phone", re.compile(r"\+[0-9][ ().0-9-]+[0-9]"), lambda s: 8 <= len(_digits(s)) <= 15, 0.8, True, "+", _words("phone tel call fax mobile telefon")),
     Kind("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), mod97, 0.9, False, "", _words("iban account bank konto compte cuenta")),
@@ -101,9 +119,8 @@ def find_spans(text: str | None) -> list[Span]:
     for kind in KINDS:
         if (kind.needs and kind.needs not in text) or (kind.name != "email" and not has_digit):
             continue
-        for m in kind.pattern.finditer(text):
-            start, end = m.span()
-            if not kind.valid(m[0]):
+        for start, end in _matches(kind, text):
+            if not kind.valid(text[start:end]):
                 continue
             if kind.name == "local_phone" and any(s.start < end and start < s.end for s in found):
                 continue
