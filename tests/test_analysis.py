@@ -198,8 +198,7 @@ def test_streamed_pages_reach_the_log(spark, tmp_path):
     current = ingest.listing_log(spark, str(tmp_path / "log")).current()
     assert {(r.platform, r.id) for r in current.collect()} == {("jobs_ge", str(i)) for i in range(5)} | {("cv_ge", "417196")}
     assert current.where("platform = 'jobs_ge'").count() == 5
-    raw = spark.read.parquet(folder)
-    rejected = ingest.rejects_of(raw, NOW)
+    rejected = ingest.listing_log(spark, str(tmp_path / "log")).rejects()
     assert rejected.where("problem = 'HTTP 500'").count() == 1 and rejected.count() == 21
 
 

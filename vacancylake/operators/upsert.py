@@ -9,8 +9,10 @@ shuffle: a key with a third of all writes leaves each task as one row.
 from __future__ import annotations
 
 import datetime as dt
+import operator
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancylake.functions import dates
@@ -49,27 +51,34 @@ def upsert(
     seen: str = SEEN,
     last_wins: list[str] | None = None,
 ) -> DataFrame:
-    """The table after writing ``incoming`` (in ``order``) over ``current``.
+    """The table after writing ``incoming`` (in ``order``) over ``current``, which has one row per key.
+
+    Only the incoming rows are folded. Stored rows take what moves from a join with the folded keys, which is broadcast where
+    it is small: the stored table is neither sorted nor shuffled then.
 
     New keys get ``created_at = updated_at = as_of``; known keys only move
     ``updated_at``, the seen time and the ``last_wins`` columns.
     """
     key = key or LISTING_KEY
     now = dates.moment(as_of)
-    stored = current.withColumn("_new", F.lit(0)).withColumns({f"_o{i}": F.lit(None).cast(incoming.schema[c].dataType)
-                                                               for i, c in enumerate(order)})
-    fresh = incoming.withColumns({f"_o{i}": F.col(c) for i, c in enumerate(order)})
-    fresh = fresh.select(
-        *[c for c in current.columns if c not in ("created_at", "updated_at")],
-        now.alias("created_at"), now.alias("updated_at"), F.lit(1).alias("_new"),
-        *[f"_o{i}" for i in range(len(order))],
+    last = [seen, *(last_wins or [])]
+    written = [c for c in current.columns if c not in ("created_at", "updated_at")]
+    folded = fold_writes(incoming.select(*dict.fromkeys([*written, *order])), key, order, seen, last_wins)
+
+    def same_key(other: DataFrame, own: DataFrame) -> Column:
+        return reduce(operator.and_, (own[k].eqNullSafe(other[f"_k{i}"]) for i, k in enumerate(key)))
+
+    moved = folded.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], *[F.col(c).alias(f"_v{i}") for i, c in enumerate(last)],
+        F.lit(True).alias("_hit"),
+    )
+    kept = current.join(moved, same_key(moved, current), "left").withColumns(
+        {c: F.when(F.col("_hit"), F.col(f"_v{i}")).otherwise(F.col(c)) for i, c in enumerate(last)}
+        | {"updated_at": F.when(F.col("_hit"), now).otherwise(F.col("updated_at"))}
     )
-    writes = stored.unionByName(fresh).withColumn("_touched", F.col("_new"))
-    at = ["_new", *[f"_o{i}" for i in range(len(order))]]
-    folded = fold_writes(writes, key, at, seen, [*(last_wins or []), "_touched"])
-    return folded.withColumn(
-        "updated_at", F.when(F.col("_touched") == 1, now).otherwise(F.col("updated_at"))
-    ).select(*current.columns)
+    known = current.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
+    added = folded.join(known, same_key(known, folded), "left_anti").withColumns({"created_at": now, "updated_at": now})
+    return kept.select(*current.columns).unionByName(added.select(*current.columns))
 
 
 def change_key(table: DataFrame, new_key: list[str], order: list[str], seen: str = SEEN) -> DataFrame:

@@ -192,7 +192,29 @@ def _first_run(spark, sf):
     return ingest.ingest_listings(pages, ingest.empty_table(spark, "job_listings"), AS_OF, query="BUILD")
 
 
+_EARLIER = "2001-08-20 06:00:00"
+
+
+def _second_run(spark, sf):
+    """All listings of even pages, then those of pages not divisible by four over that stored table."""
+    pages = listing_pages(spark, sf).withColumn("status", F.when(F.col("page_id") % 19 == 0, 500).otherwise(200))
+    first = ingest.ingest_listings(pages.where("page_id % 2 = 0"), ingest.empty_table(spark, "job_listings"), _EARLIER)
+    return ingest.ingest_listings(pages.where("page_id % 4 <> 0"), stored(first.table, "listings-before"), AS_OF)
+
+
 QUERIES: Registered = {
+    "ingest_listings_again": (
+        lambda spark, sf: _second_run(spark, sf).table.select(
+            "platform", "id", "title", "company_name", F.col("salary_min").cast("double").alias("salary_min"),
+            "scraped_date", "created_at", "updated_at"),
+        f"""WITH l AS ({_LISTINGS_SQL}), p AS (SELECT *, page_id % 2 = 0 AS early, page_id % 4 <> 0 AS late FROM l WHERE page_id % 19 <> 0)
+        SELECT platform, id, arg_min(title, (NOT early, page_id)) AS title, arg_min(company, (NOT early, page_id)) AS company_name,
+        arg_min_null(salary_min, (NOT early, page_id)) AS salary_min,
+        CASE WHEN bool_or(late) THEN TIMESTAMP '{AS_OF}' ELSE TIMESTAMP '{_EARLIER}' END AS scraped_date,
+        CASE WHEN bool_or(early) THEN TIMESTAMP '{_EARLIER}' ELSE TIMESTAMP '{AS_OF}' END AS created_at,
+        CASE WHEN bool_or(late) THEN TIMESTAMP '{AS_OF}' ELSE TIMESTAMP '{_EARLIER}' END AS updated_at
+        FROM p GROUP BY platform, id""",
+    ),
     "extract_listings": (
         lambda spark, sf: _flat(extract.accepted(extract.extract_listings(listing_pages(spark, sf), AS_OF))),
         _LISTINGS_SQL,

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vacancylake.plans.queries import Registered
+from vacancylake.plans.queries.extraction import AS_OF, listing_pages
 from vacancylake.plans.queries.storage import SIGHTINGS, sightings
+from vacancylake.schemas import RAW_PAGE_DDL
 from vacancylake.session import new_shared_path
 from vacancylake.sources.driver_tables import table
 from vacancylake.streaming import ingest, windows
@@ -51,7 +54,28 @@ def _streamed_upsert_restart(spark, sf):
     return log.current()
 
 
+def _stream_rejects(spark, sf):
+    """Printed listing pages as files, streamed into a listing log: what the stream left out."""
+    home = new_shared_path(spark, "stream-rejects")
+    pages = listing_pages(spark, sf).withColumns({
+        "status": F.when(F.col("page_id") % 19 == 0, 500).otherwise(200), "fetched_at": F.lit(AS_OF).cast("timestamp_ntz"),
+    })
+    wanted = {f.name: f.dataType for f in StructType.fromDDL(RAW_PAGE_DDL)}
+    pages = pages.select(*[(F.col(n) if n in pages.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted.items()])
+    pages.write.parquet(f"{home}/pages")
+    ingest.ingest_pages(spark, f"{home}/pages", f"{home}/log", f"{home}/checkpoint", AS_OF, 4).awaitTermination()
+    return ingest.listing_log(spark, f"{home}/log").rejects().select("page_id", "platform", "row_no", "problem")
+
+
 QUERIES: Registered = {
+    "stream_rejects": (
+        _stream_rejects,
+        """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 3 AS s, o_orderkey % 19 = 0 AS failed,
+          CASE o_orderkey % 3 WHEN 0 THEN 'jobs_ge' WHEN 1 THEN 'cv_ge' ELSE 'ss_ge' END AS platform FROM orders)
+        SELECT k AS page_id, platform, CAST(NULL AS INTEGER) AS row_no, 'HTTP 500' AS problem FROM o WHERE failed
+        UNION ALL SELECT k, platform, 1, CASE WHEN s = 0 THEN 'no id' ELSE 'no title' END FROM o WHERE NOT failed
+        UNION ALL SELECT k, platform, 2, 'fewer than 6 cells' FROM o WHERE NOT failed AND s = 0""",
+    ),
     "activity_windows": (
         lambda spark, sf: windows.activity_windows(table(spark, sf, "events"), "ts", "event_type"),
         """WITH w AS (SELECT event_type, ts, unnest(generate_series(date_trunc('hour', ts) - INTERVAL 23 HOUR,

@@ -15,6 +15,7 @@ from vacancylake.functions import dates
 from vacancylake.operators import extract
 from vacancylake.operators.projections import flatten_listing
 from vacancylake.operators.quality import row_rules, split_by_rules
+from vacancylake.session import stored
 from vacancylake.sources.raw_pages import split_by_status
 from vacancylake.streaming.log import PostingLog
 
@@ -43,17 +44,23 @@ def write_batches(
     checkpoint: str,
     as_of: str | dt.datetime,
     order: list[str],
-    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    prepare: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]] = lambda batch: batch,
 ) -> StreamingQuery:
     """Read all that is there now, in batches, and append each to the log.
 
     A batch that is run again after a lost executor overwrites its own folder. The
     run is the streaming query's own id, which its checkpoint keeps: a new
-    checkpoint over an old log starts a new run and overwrites nothing.
+    checkpoint over an old log starts a new run and overwrites nothing. ``prepare``
+    gives the writes of a batch, or the writes and what is left out of them.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        log.append(prepare(batch), batch_id, as_of, order, checkpoint_id(log.spark, checkpoint))
+        run = checkpoint_id(log.spark, checkpoint)
+        ready = prepare(batch)
+        writes, rejects = ready if isinstance(ready, tuple) else (ready, None)
+        log.append(writes, batch_id, as_of, order, run)
+        if rejects is not None:
+            log.append_rejects(rejects, batch_id, run)
 
     return (
         stream.writeStream.foreachBatch(save)
@@ -63,12 +70,18 @@ def write_batches(
     )
 
 
-def listings_of(pages: DataFrame, as_of: str | dt.datetime) -> DataFrame:
-    """Good pages to valid flat listings with their page order."""
-    good, _ = split_by_status(pages)
-    found = extract.accepted(extract.extract_listings(good, as_of))
-    valid, _ = split_by_rules(flatten_listing(found, as_of, keep=["page_id", "row_no"]), row_rules("job_listings"))
-    return valid
+def sorted_out(pages: DataFrame, as_of: str | dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """Valid flat listings with their page order, and everything left out with the reason; pages are parsed once."""
+    good, failed = split_by_status(pages)
+    rows = stored(extract.extract_listings(good, as_of), "stream-rows")
+    flat = flatten_listing(extract.accepted(rows), as_of, keep=["page_id", "row_no"])
+    valid, broken = split_by_rules(flat, row_rules("job_listings"))
+    rejects = (
+        failed.select("page_id", "platform", F.lit(None).cast("int").alias("row_no"), F.col("error").alias("problem"))
+        .unionByName(extract.rejects(rows))
+        .unionByName(broken.select("page_id", "platform", "row_no", F.array_join("broken_rules", ", ").alias("problem")))
+    )
+    return valid, rejects
 
 
 def listing_log(spark: SparkSession, path: str) -> PostingLog:
@@ -80,21 +93,8 @@ def ingest_pages(
     spark: SparkSession, pages_path: str, log_path: str, checkpoint: str, as_of: str | dt.datetime,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Page files to the listing log."""
+    """Page files to the listing log; what is left out goes to the log's rejects."""
     return write_batches(
         page_stream(spark, pages_path, files_per_batch), listing_log(spark, log_path), checkpoint, as_of,
-        ["page_id", "row_no"], lambda batch: listings_of(batch, as_of),
-    )
-
-
-def rejects_of(pages: DataFrame, as_of: str | dt.datetime) -> DataFrame:
-    """Everything ``listings_of`` leaves out, with the reason."""
-    good, bad = split_by_status(pages)
-    rows = extract.extract_listings(good, as_of)
-    found = extract.accepted(rows)
-    _, invalid = split_by_rules(flatten_listing(found, as_of, keep=["page_id", "row_no"]), row_rules("job_listings"))
-    return (
-        bad.select("page_id", "platform", F.lit(None).cast("int").alias("row_no"), F.col("error").alias("problem"))
-        .unionByName(extract.rejects(rows))
-        .unionByName(invalid.select("page_id", "platform", "row_no", F.array_join("broken_rules", ", ").alias("problem")))
+        ["page_id", "row_no"], lambda batch: sorted_out(batch, as_of),
     )

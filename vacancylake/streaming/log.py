@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from vacancylake.functions import dates
 from vacancylake.operators.upsert import LISTING_KEY, SEEN
 
+REJECT_DDL = "page_id bigint, platform string, row_no int, problem string"
+
 
 class PostingLog:
     def __init__(
@@ -56,6 +58,16 @@ class PostingLog:
         )
         folded.write.mode("overwrite").parquet(f"{self.path}/batches/run={self._run(run)}/batch={batch_id}")
 
+    def append_rejects(self, rejects: DataFrame, batch_id: int, run: str = "direct") -> None:
+        """Store what the batch left out, in a folder of its own under the batch's run and number."""
+        rejects.write.mode("overwrite").parquet(f"{self.path}/rejects/run={self._run(run)}/batch={batch_id}")
+
+    def rejects(self) -> DataFrame:
+        """Everything left out so far, with run and batch."""
+        reader = self.spark.read.schema(f"{REJECT_DDL}, run string, batch bigint").option("basePath", f"{self.path}/rejects")
+        folders = [path.rsplit("/", 1)[0] for path in self._found("rejects/run=*/batch=*/_SUCCESS")]
+        return reader.parquet(*folders) if folders else self.spark.createDataFrame([], f"{REJECT_DDL}, run string, batch bigint")
+
     def _run(self, name: str) -> str:
         """The run's folder: a rank among runs in front of its name, given when it first writes."""
         known = [path.split("=")[-1] for path in self._found("batches/run=*")]
