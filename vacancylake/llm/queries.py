@@ -17,6 +17,9 @@ MODULES = [
     "simhash",
     "suffix_dedup",
     "toxicity",
+    "byte_bpe",
+    "word_runs",
+    "vector_codes",
 ]
 
 
