@@ -213,7 +213,7 @@ def test_scans_read_only_what_is_needed(spark):
     assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)]" in plan
 
 
-HAS_PYTHON = {"salary_kde", "extract_listings", "extract_rejects", "extract_details", "ingest_listings", "ingest_rejects",
+HAS_PYTHON = {"links_in_sql", "reader_in_sql", "extract_listings", "extract_rejects", "extract_details", "ingest_listings", "ingest_rejects",
               "ingest_details", "ingest_children", "ingest_run_log", "ingest_run_errors", "detail_rejects", "crawl_feed", "page_texts"}
 
 

@@ -2,98 +2,68 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancylake.operators.quantiles import exact_quantiles
-from vacancylake.session import ship_package
 
 GRID_POINTS = 200
 
 
 def _numbers(df: DataFrame, value: str) -> DataFrame:
-    return df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("x"))
+    """Each distinct value as a double ``x`` with its count ``n``: what follows reads these, not the rows."""
+    return df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
+
+
+def _with_bounds(x: DataFrame, *facts: Column) -> DataFrame:
+    """The values with a struct ``f`` of facts about all of them; a scalar subquery, so nothing is joined."""
+    return x.select("x", "n", x.agg(F.struct(*facts).alias("f")).scalar().alias("f"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """``bins`` equal bins from the smallest to the largest value; the last one is closed.
 
-    The bounds are a scalar subquery, so the rows are never joined to anything.
+    The counts of all bins are one row of sums, which then becomes ``bins`` rows.
     """
-    x = _numbers(df, value)
-    bounds = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    flat = F.col("lo") == F.col("hi")  # one single value: a bin of width 1 around it
-    bounds = bounds.select(
-        F.struct(
-            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        ).alias("b")
-    )
-    placed = x.select("x", bounds.scalar().alias("b")).select("x", "b.lo", "b.hi")
+    low, high = F.min("x"), F.max("x")
+    flat = low == high  # one single value: a bin of width 1 around it
+    placed = _with_bounds(
+        _numbers(df, value), F.when(flat, low - 0.5).otherwise(low).alias("lo"), F.when(flat, high + 0.5).otherwise(high).alias("hi"),
+    ).select("x", "n", "f.lo", "f.hi")
     width = (F.col("hi") - F.col("lo")) / bins
-    bin_no = F.least(F.floor((F.col("x") - F.col("lo")) / width) + 1, F.lit(bins)).cast("int")
-    counts = placed.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("n"))
-    step = (F.col("b.hi") - F.col("b.lo")) / bins
-    edges = (
-        bounds.where(F.col("b.lo").isNotNull())
-        .select("b", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-        .select("bin", (F.col("b.lo") + (F.col("bin") - 1) * step).alias("low_edge"),
-                (F.col("b.lo") + F.col("bin") * step).alias("high_edge"))
+    bin_no = F.least(F.floor((F.col("x") - F.col("lo")) / width) + 1, F.lit(bins))
+    sums = placed.select(bin_no.alias("bin"), "n", "lo", "hi").agg(
+        F.max("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == b, F.col("n"))), F.lit(0)) for b in range(1, bins + 1)]).alias("counts"),
     )
-    return edges.join(counts, "bin", "left").select(
-        "bin", "low_edge", "high_edge", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
+    step = (F.col("hi") - F.col("lo")) / bins
+    return sums.where(F.col("lo").isNotNull()).select("lo", "hi", F.posexplode("counts").alias("at", "n")).select(
+        (F.col("at") + 1).alias("bin"), (F.col("lo") + F.col("at") * step).alias("low_edge"),
+        (F.col("lo") + (F.col("at") + 1) * step).alias("high_edge"), "n",
     )
 
 
-def _density_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per task: the kernel sums over its distinct values, 200 rows at the end."""
-    sums, grid, first = None, None, None
-    for batch in batches:
-        if batch.empty:
-            continue
-        if grid is None:
-            first = batch.iloc[0]
-            grid = np.linspace(first.lo, first.hi, GRID_POINTS)
-            sums = np.zeros(GRID_POINTS)
-        x, n = batch["x"].to_numpy(), batch["n"].to_numpy()
-        for start in range(0, len(x), 4096):
-            z = (grid[None, :] - x[start:start + 4096, None]) / first.bandwidth
-            sums += n[start:start + 4096] @ np.exp(-0.5 * z * z)
-    if grid is not None:
-        yield pd.DataFrame({"point": np.arange(GRID_POINTS), "x": grid, "kernel_sum": sums})
-
-
 def density_curve(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Gaussian density on 200 points, scaled to the counts of a ``bins`` histogram.
 
-    The bandwidth is ``n ** (-1/5)`` standard deviations. Equal values are counted
-    first; then each task folds its values into 200 sums, and only those sums are
-    shuffled.
+    The bandwidth is ``n ** (-1/5)`` standard deviations. Equal values are counted first; then each task adds its values up
+    at every point, and only these 200 sums are shuffled. All of it is column expressions; the sums are exact, no value is
+    moved to a bin.
     """
-    ship_package(df.sparkSession)
-    x = _numbers(df, value)
-    facts = x.agg(
-        F.count("*").alias("total"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi")
-    )
-    facts = facts.select(
-        F.struct(
-            "total", "lo", "hi", (F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2))).alias("bandwidth")
-        ).alias("f")
-    )
-    counted = x.groupBy("x").agg(F.count("*").alias("n"))
-    with_facts = counted.select("x", "n", facts.scalar().alias("f")).select(
-        "x", "n", "f.lo", "f.hi", "f.bandwidth"
-    ).where(F.col("bandwidth") > 0)
-    sums = with_facts.mapInPandas(_density_sums, "point long, x double, kernel_sum double")
-    total = sums.groupBy("point").agg(F.first("x").alias("x"), F.sum("kernel_sum").alias("s"))
-    width = (F.col("f.hi") - F.col("f.lo")) / bins
+    x = F.col(value).cast("double")
+    total, sd = F.count(x), F.stddev_samp(x)
+    bandwidth = sd * F.pow(total.cast("double"), F.lit(-0.2))
+    facts = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), bandwidth.alias("bandwidth")).alias("f"))
+    spread = _numbers(df, value).select("x", "n", F.explode(F.sequence(F.lit(0), F.lit(GRID_POINTS - 1))).alias("point"))
+    f = F.col("f")
+    at = f["lo"] + F.col("point") * (f["hi"] - f["lo"]) / (GRID_POINTS - 1)
+    kernel = F.col("n") * F.exp(-0.5 * F.pow((at - F.col("x")) / f["bandwidth"], F.lit(2.0)))
+    sums = spread.select("x", "n", "point", facts.scalar().alias("f")).groupBy("point").agg(F.sum(kernel).alias("s"))
+    width = (f["hi"] - f["lo"]) / bins
     # counts = density * total * width, density = s / (total * bandwidth * sqrt(2 pi))
-    return total.select("point", "x", "s", facts.scalar().alias("f")).select(
-        "point", "x", (F.col("s") * width / (F.col("f.bandwidth") * F.sqrt(2 * F.pi()))).alias("density_count")
+    return sums.select("point", "s", facts.scalar().alias("f")).where(f["bandwidth"] > 0).select(
+        F.col("point").cast("long").alias("point"), at.alias("x"),
+        (F.col("s") * width / (f["bandwidth"] * F.sqrt(2 * F.pi()))).alias("density_count"),
     )
 
 

@@ -100,6 +100,11 @@ def _records(html: str, layout: Layout) -> Iterator[dict]:
 Reader = Layout | Callable[[str], Iterable[dict]]
 
 
+def records_of(reader: Reader, html: str) -> Iterable[dict]:
+    """Field rows of one page."""
+    return reader(html) if callable(reader) else _records(html, reader)
+
+
 def _extractor(layouts: dict[str, Reader], schema: pa.Schema, keep: list[str]) -> Callable:
     def rows_of(head: dict, html: str | None) -> Iterator[dict]:
         layout = layouts.get(head["platform"])
@@ -107,8 +112,7 @@ def _extractor(layouts: dict[str, Reader], schema: pa.Schema, keep: list[str]) -
             yield head | {"problem": "no layout for this source"}
             return
         try:
-            found = layout(html or "") if callable(layout) else _records(html or "", layout)
-            yield from [{"row_no": i} | head | record for i, record in enumerate(found)]
+            yield from [{"row_no": i} | head | record for i, record in enumerate(records_of(layout, html or ""))]
         except Exception as error:  # noqa: BLE001 - one bad page must not end the job
             yield head | {"problem": f"{type(error).__name__}: {error}"}
 

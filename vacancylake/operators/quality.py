@@ -25,38 +25,55 @@ def quality_report(
     key: list[str] | None = None,
     parent: tuple[DataFrame, str, str] | None = None,
 ) -> DataFrame:
-    """``(rule, row_count, violations)``: all row rules in one pass, then key and reference.
+    """``(rule, row_count, violations)`` of all row rules, the key and the reference, in one pass over ``df``.
 
-    ``parent`` is ``(parents, child column, parent column)``.
+    ``parent`` is ``(parents, child column, parent column)``. One aggregate over grouping sets counts the whole table, every key
+    and every child value. The parents' values join as rows of the same grouping, so a value is known if its group has one of them:
+    nothing is joined, and a hot value leaves each task as one row.
     """
+    key = key or []
+    parents, child_column, parent_column = parent or (None, None, None)
     names = list(rules)
-    counted = df.agg(
-        F.count("*").alias("row_count"), *[F.count_if(rules[r]).alias(f"v{i}") for i, r in enumerate(names)]
+    keys = {f"_k{i}": F.col(c) for i, c in enumerate(key)}
+    child = {"_child": F.col(child_column)} if parent else {}
+    flags = {f"_v{i}": rules[r] for i, r in enumerate(names)}
+    sets = [[], *([list(keys)] if key else []), *([["_child"]] if parent else [])]
+    grouped = (
+        df.select(*[c.alias(n) for n, c in (keys | child | flags).items()])
+        .groupingSets(sets, *keys, *child)
+        .agg(F.grouping_id().alias("_set"), F.count("*").alias("_n"), *[F.count_if(v).alias(f"_s{i}") for i, v in enumerate(flags)])
     )
-    entries = F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.col(f"v{i}").alias("violations")) for i, r in enumerate(names)
-    ])
-    out = counted.select("row_count", F.explode(entries).alias("e")).select("e.rule", "row_count", "e.violations")
-    if key:
-        repeated = df.groupBy(*key).agg(F.count("*").alias("c"))
-        out = out.unionByName(
-            repeated.agg(
-                F.coalesce(F.sum("c"), F.lit(0)).alias("row_count"), F.count_if(F.col("c") > 1).alias("violations")
-            ).select(F.lit("unique:" + ",".join(key)).alias("rule"), "row_count", "violations")
-        )
+    width = len(keys) + len(child)  # a bit of the set's number is 1 where the set leaves the column out
+    whole, by_key, by_child = (1 << width) - 1, 1 if parent else 0, ((1 << len(keys)) - 1) << 1
+    kind = (
+        F.when(F.col("_set") == whole, "row") if not (key or parent)
+        else F.when(F.col("_set") == whole, "row").when(F.col("_set") == (by_child if parent else -1), "child").otherwise("key")
+    )
+    counts = ["_n", *[f"_s{i}" for i in range(len(names))]]
+    marked = grouped.select(kind.alias("_kind"), *child, *counts, F.lit(False).alias("_known"))
     if parent:
-        parents, child_column, parent_column = parent
-        per_key = df.groupBy(child_column).agg(F.count("*").alias("c"))
-        known = parents.select(F.col(parent_column).alias(child_column), F.lit(True).alias("_known")).distinct()
-        checked = per_key.join(known, child_column, "left")
-        missing = F.col(child_column).isNotNull() & F.col("_known").isNull()
-        out = out.unionByName(
-            checked.agg(
-                F.coalesce(F.sum("c"), F.lit(0)).alias("row_count"),
-                F.coalesce(F.sum(F.when(missing, F.col("c"))), F.lit(0)).alias("violations"),
-            ).select(F.lit(f"reference:{child_column}").alias("rule"), "row_count", "violations")
+        zero = [F.lit(0).cast("bigint").alias(c) for c in counts]
+        known = parents.select(F.lit("child").alias("_kind"), F.col(parent_column).alias("_child"), *zero, F.lit(True).alias("_known"))
+        # Only groups of child values carry one, so all keys and the whole table leave a task as one row each.
+        marked = marked.unionByName(known).groupBy("_kind", "_child").agg(
+            *[F.sum(c).alias(c) for c in counts], F.max("_known").alias("_known"),
+            F.count_if((F.col("_kind") == "key") & (F.col("_n") > 1)).alias("_repeated"),
         )
-    return out
+    else:
+        marked = marked.withColumn("_repeated", ((F.col("_kind") == "key") & (F.col("_n") > 1)).cast("bigint"))
+    missing = (F.col("_kind") == "child") & (F.col("_child").isNotNull() & ~F.col("_known")) if parent else F.lit(False)
+    total = marked.agg(
+        *[F.coalesce(F.sum(F.when(F.col("_kind") == "row", F.col(c))), F.lit(0)).alias(c) for c in counts],
+        F.coalesce(F.sum("_repeated"), F.lit(0)).alias("_repeated"),
+        F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("_missing"),
+    )
+    violations = {r: f"_s{i}" for i, r in enumerate(names)}
+    if key:
+        violations["unique:" + ",".join(key)] = "_repeated"
+    if parent:
+        violations[f"reference:{child_column}"] = "_missing"
+    entries = F.array(*[F.struct(F.lit(r).alias("rule"), F.col("_n").alias("row_count"), F.col(c).alias("violations")) for r, c in violations.items()])
+    return total.select(F.explode(entries).alias("e")).select("e.*")
 
 
 def split_by_rules(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:

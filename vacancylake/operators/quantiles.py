@@ -20,27 +20,31 @@ _LOW_BITS = 17
 _OFFSET = 10**10  # makes negative amounts positive
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: str | None = None) -> DataFrame:
-    """One row per group: ``n`` and ``quantiles``, linearly interpolated doubles."""
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: list[float], by: str | None = None, weight: str | None = None
+) -> DataFrame:
+    """One row per group: ``n`` and ``quantiles``, linearly interpolated doubles. ``weight`` says how often a row counts."""
     kind = df.schema[value].dataType
     if isinstance(kind, T.DecimalType) and kind.precision <= 10:
         scale = kind.scale
     elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
         scale = 0
     else:
-        return _counted_quantiles(df, value, probabilities, by)
+        return _counted_quantiles(df, value, probabilities, by, weight)
     cents = (F.col(value).cast(T.DecimalType(20, scale)) * 10**scale).cast("bigint") + _OFFSET
     group = F.col(by) if by else F.lit(0)
     coded = df.where(F.col(value).isNotNull()).select(
         group.alias("_g"),
         F.shiftright(cents, _LOW_BITS).alias("_hi"),
         cents.bitwiseAND((1 << _LOW_BITS) - 1).alias("_lo"),
+        *([F.col(weight).alias("_w")] if weight else []),
     )
+    rows = F.sum("_w") if weight else F.count("*")
 
     up_to_here = Window.partitionBy("_g").orderBy("_hi").rowsBetween(Window.unboundedPreceding, 0)
     upper = (
         coded.groupBy("_g", "_hi")
-        .agg(F.count("*").alias("c"))
+        .agg(rows.alias("c"))
         .withColumn("upto", F.sum("c").over(up_to_here))
         .withColumn("n", F.sum("c").over(Window.partitionBy("_g")))
     )
@@ -58,7 +62,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: s
     lower = (
         coded.join(buckets, same_bucket)
         .groupBy("g", "hi", "_lo")
-        .agg(F.count("*").alias("c2"))
+        .agg(rows.alias("c2"))
         .withColumn("upto2", F.sum("c2").over(inside))
     )
     rest = F.col("rank") - F.col("before")
@@ -80,10 +84,11 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: s
     return per_group.select(F.col("g").alias(by), "n", quantiles.alias("quantiles"))
 
 
-def _counted_quantiles(df: DataFrame, value: str, probabilities: list[float], by: str | None) -> DataFrame:
+def _counted_quantiles(df: DataFrame, value: str, probabilities: list[float], by: str | None, weight: str | None) -> DataFrame:
     group = F.col(by) if by else F.lit(0)
-    counted = df.where(F.col(value).isNotNull()).groupBy(group.alias("_g"), F.col(value).cast("double").alias("_x")).agg(F.count("*").alias("_c"))
-    found = counted.groupBy("_g").agg(F.sum("_c").alias("n"), F.percentile("_x", probabilities, "_c").alias("quantiles"))
+    rows = F.sum(weight) if weight else F.count("*")
+    counted = df.where(F.col(value).isNotNull()).groupBy(group.alias("_g"), F.col(value).cast("double").alias("_x")).agg(rows.alias("_c"))
+    found = counted.groupBy("_g").agg(F.sum("_c").alias("n"), F.percentile("_x", probabilities, F.col("_c")).alias("quantiles"))
     return found.drop("_g") if by is None else found.select(F.col("_g").alias(by), "n", "quantiles")
 
 

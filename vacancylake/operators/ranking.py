@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from vacancylake.operators.aggregates import value_counts
 from vacancylake.session import cut_lineage
 
-QUOTA_SPREAD = 64
+QUOTA_SPREAD = 1024
+#: Ranks up to here are cut inside the tasks, before rows are shuffled to their window.
+_RANK_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -23,25 +25,24 @@ def latest(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def quota_per_source(df: DataFrame, source: str, order: list[str], quota: int) -> DataFrame:
-    """The first ``quota`` rows of each source in page order.
-
-    One source may hold most rows, so ranks are found in rounds over ever larger
-    parts of a source, first those of each input task, and on the order columns
-    alone: a row among the first ``quota`` overall is also among the first
-    ``quota`` of its part, whatever the parts are. No round puts more into one
-    group than an input task has, or ``QUOTA_SPREAD * quota`` rows in the last.
-    What comes out is the last key of each source that is within its quota; whole
-    rows are only compared with it, and only those up to it are ranked.
+    """The first ``quota`` rows of each source in page order; of equal rows any.
+
+    One source may hold most rows, so they are ranked twice: among the rows of its
+    source in one of ``QUOTA_SPREAD`` groups of input tasks, then among what is left.
+    A row among the first ``quota`` overall is also among the first of its group.
+    Groups are of tasks, not of values, so rows that are equal in ``order`` spread as
+    well. Spark cuts each task's rows to the quota before they are shuffled; it does
+    so up to a threshold of the session, which is raised to the quota where it is less.
     """
-    keys = df.select(F.col(source).alias("_s"), F.struct(*order).alias("_at"), F.spark_partition_id().alias("_part"))
-    for part in (F.col("_part"), F.col("_part") % (QUOTA_SPREAD * QUOTA_SPREAD), F.col("_part") % QUOTA_SPREAD, F.lit(0)):
-        keys = keys.withColumn("_part", part)
-        within = Window.partitionBy("_s", "_part").orderBy("_at")
-        keys = keys.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") <= quota).drop("_rank")
-    last = keys.groupBy("_s").agg(F.max("_at").alias("_last"))
-    near = df.join(last, F.col(source).eqNullSafe(F.col("_s"))).where(F.struct(*order) <= F.col("_last"))
-    overall = Window.partitionBy(source).orderBy(*order)  # ties of the last key are all that can exceed the quota
-    return near.withColumn("_rank", F.row_number().over(overall)).where(F.col("_rank") <= quota).drop("_rank", "_s", "_last")
+    spark = df.sparkSession
+    threshold = int(spark.conf.get(_RANK_LIMIT))
+    if 0 <= threshold <= quota:
+        spark.conf.set(_RANK_LIMIT, str(quota + 1))
+    out = df.withColumn("_group", F.spark_partition_id() % QUOTA_SPREAD)
+    for group in ([source, "_group"], [source]):
+        within = Window.partitionBy(*group).orderBy(*order)
+        out = out.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") <= quota).drop("_rank")
+    return out.drop("_group")
 
 
 def numbered(df: DataFrame, order: list[str | Column], name: str = "row_no") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from vacancylake import fixed_values as fixed
@@ -11,6 +13,8 @@ from vacancylake.operators.aggregates import run_summary
 from vacancylake.plans.ingest import run_record
 from vacancylake.plans.queries import Registered
 from vacancylake.plans.queries.analytics import POSTINGS
+from vacancylake.session import new_shared_path
+from vacancylake.sinks import bucketed
 from vacancylake.sources import dimensions, raw_pages
 from vacancylake.sources.driver_tables import AS_OF, postings, table
 
@@ -55,6 +59,22 @@ def _upserted(key, last_wins=None):
     return run
 
 
+def _upserted_in_buckets(key, last_wins=None, buckets=16):
+    """The stored rows as a bucketed table, the run's writes folded into it bucket by bucket, and the new version stored likewise."""
+
+    def run(spark, sf):
+        stored, fresh = _stored_and_new(spark, sf, key, last_wins)
+        before, after = f"postings_{uuid4().hex}", f"postings_{uuid4().hex}"
+        current = bucketed.write_bucketed(stored, before, new_shared_path(spark, "bucketed"), key, buckets)
+        table = upsert.upsert_bucketed(current, fresh, _DAY, ["event_id"], key, last_wins=last_wins)
+        out = bucketed.write_bucketed(table, after, new_shared_path(spark, "bucketed"), key, buckets, dealt=True)
+        for name in (before, after):
+            bucketed.forget(spark, name)
+        return out
+
+    return run
+
+
 def _upserted_sql(key, last_wins=()):
     def pick(c):
         return f"{'arg_max_null' if c in last_wins else 'arg_min_null'}({c}, event_id) AS {c}"
@@ -265,6 +285,11 @@ QUERIES: Registered = {
         _upserted(["platform", "id"], upsert.DETAIL_LAST_WINS),
         _upserted_sql(["platform", "id"], upsert.DETAIL_LAST_WINS),
     ),
+    "upsert_bucketed": (_upserted_in_buckets(["platform", "id"]), _upserted_sql(["platform", "id"])),
+    "upsert_bucketed_mixed": (
+        _upserted_in_buckets(["platform", "id"], upsert.DETAIL_LAST_WINS),
+        _upserted_sql(["platform", "id"], upsert.DETAIL_LAST_WINS),
+    ),
     "change_key": (
         _changed_key,
         # the narrowed table keeps the earliest wide row and the moment of the latest one

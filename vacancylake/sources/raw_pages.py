@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,16 +60,61 @@ def page_frontier(
     ).drop("_stop")
 
 
-def parse_bodies(bodies: DataFrame, column: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
-    """JSON bodies to columns; bodies that are not one JSON value go to the rejects.
+def _one_value(column: str) -> tuple[Column, Column]:
+    """The body as VARIANT, and whether it is one JSON value.
 
-    The body is read as the only element of an array, so text after the value
-    counts as an error instead of being ignored.
+    It is read as the only element of an array, so text after the value counts as an error instead of being ignored.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]")))
-    one = F.try_variant_get(wrapped, "$[0]", "variant").isNotNull()
+    body = F.try_variant_get(wrapped, "$[0]", "variant")
     more = F.try_variant_get(wrapped, "$[1]", "variant").isNotNull()
-    parsed = bodies.withColumn("_ok", F.coalesce(one & ~more, F.lit(False)))
+    return body, F.coalesce(body.isNotNull() & ~more, F.lit(False))
+
+
+def parse_bodies(bodies: DataFrame, column: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
+    """JSON bodies to columns of a declared schema; bodies that are not one JSON value go to the rejects."""
+    parsed = bodies.withColumn("_ok", _one_value(column)[1])
     good = parsed.where("_ok").drop("_ok").withColumn("body", F.from_json(column, schema))
     bad = parsed.where(~F.col("_ok")).drop("_ok").withColumn("error", F.lit("not JSON"))
     return good, bad
+
+
+def variant_fields(
+    bodies: DataFrame, column: str, fields: dict[str, tuple[str, str]], items: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """JSON bodies of any shape to columns, by path: ``fields`` is name -> (path, type).
+
+    The body is parsed once, as VARIANT. ``items`` is the path of a list, whose entries become rows (``item_no`` from 0; paths of
+    fields then start there); bodies without such a list, or with an empty one, give no rows. A missing or null field is NULL.
+    Rejects carry the reason: bodies that are not one JSON value, bodies whose ``items`` is something else than a list, and
+    bodies in which a field is there but not of its type (all its rows go, none is half read).
+    """
+    body, whole = _one_value(column)
+    parsed = bodies.select("*", body.alias("_body"), whole.alias("_ok"))
+    start = F.col("_body")
+    if items is not None:
+        listed = F.try_variant_get(start, items, "array<variant>")
+        there = F.try_variant_get(start, items, "variant")
+        entries = F.coalesce(listed, F.array().cast("array<variant>"))
+        wrong_list = there.isNotNull() & ~F.is_variant_null(there) & listed.isNull()
+    else:
+        entries, wrong_list = F.array(start), F.lit(False)
+
+    def misread(entry: Column) -> Column:
+        wrong = F.lit(False)
+        for path, kind in fields.values():
+            there = F.try_variant_get(entry, path, "variant")
+            wrong |= there.isNotNull() & ~F.is_variant_null(there) & F.try_variant_get(entry, path, kind).isNull()
+        return wrong
+
+    error = (
+        F.when(~F.col("_ok"), "not JSON")
+        .when(wrong_list, f"{items} is not a list")
+        .when(F.exists(entries, misread), "a field is not of its type")
+    )
+    checked = parsed.withColumns({"_entries": entries, "_error": error})
+    rows = checked.where(F.col("_error").isNull()).select("*", F.posexplode("_entries").alias("item_no", "_entry"))
+    values = {name: F.try_variant_get("_entry", path, kind) for name, (path, kind) in fields.items()}
+    good = rows.select(*bodies.columns, *(["item_no"] if items is not None else []), *[v.alias(n) for n, v in values.items()])
+    bad = checked.where(F.col("_error").isNotNull()).select(*bodies.columns, F.col("_error").alias("error"))
+    return good, bad
