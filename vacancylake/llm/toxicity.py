@@ -4,10 +4,10 @@
    texts than chance allows become lexicon voters (a text that holds one votes "toxic").
 2. Pattern voters look at all lexicon hits together: several, dense, early, close to each other, shouted; the absence of any
    hit votes "clean".
-3. The label model estimates, by expectation maximisation, how often each voter speaks given the class. Voters that agree
-   more than their classes explain (a word and its beginning) are correlated; each vote counts with the inverse of what its
+3. The label model estimates, by expectation maximisation on the votes alone, how often each voter speaks given the class.
+   Labels only choose the voters and say where to start. Voters that agree more than their classes explain (a word and its beginning) are correlated; each vote counts with the inverse of what its
    correlated voters sum to.
-4. A logistic regression learns the model's posterior labels from the votes and hit counts and scores every text.
+4. A logistic regression learns the model's posterior labels, and nothing else, from the votes and hit counts and scores every text.
 
 Labels serve to choose and anchor voters on rows outside the held-out fold alone; scores read nothing but the text.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from vacancylake.llm.texts import read_documents
 from vacancylake.session import ship_package
 
-#: Labelled rows that voters and classifier are fitted on, at most.
+#: Rows of documents with a label that voters and classifier are fitted on, at most.
 TRAIN_ROWS = 20_000
 LEXICON = 300
 LEAST_DOCS = 4
@@ -158,9 +158,13 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def fit_label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 20, trust: float = 0.8) -> LabelModel:
-    """Expectation maximisation from the labels; ``trust`` is how far a label binds its row's posterior."""
-    n, m = votes.shape
+def fit_label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 20) -> LabelModel:
+    """Expectation maximisation on the votes alone.
+
+    The labels say where to start, so that the first class is the toxic one, and how large the classes are. From then on a row's
+    class is what its votes say; no label binds it.
+    """
+    n = len(votes)
     model = LabelModel(prior=float(np.clip(labels.mean(), 1e-4, 1 - 1e-4)))
     post = labels.astype(float)
     for _ in range(rounds):
@@ -175,8 +179,7 @@ def fit_label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 20, tru
         tie[tie < 0.1] = 0
         np.fill_diagonal(tie, 1)
         model.weight = 1 / tie.sum(axis=1)
-        model.prior = float(np.clip(post.mean(), 1e-4, 1 - 1e-4))
-        new = trust * labels + (1 - trust) * model.posterior(votes)
+        new = model.posterior(votes)
         if np.abs(new - post).max() < 1e-4:
             break
         post = new
@@ -205,21 +208,38 @@ class ToxicityModel:
     share: float
 
 
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> ToxicityModel:
-    """A model from at most ``most_rows`` rows of ``labels`` (doc_id, toxic), drawn by a hash of doc_id."""
+def draw_rows(docs: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
+    """(text, toxic) of at most ``most_rows`` labelled rows of ``docs``.
+
+    Labels are drawn by a hash of doc_id. The bound is on documents: a label whose documents no longer fit is passed over, so
+    ids that very many rows share never fill the sample.
+    """
     known = labels.filter("toxic in (0, 1)").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most_rows)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic")  # bounded by most_rows
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    found = rows.select("doc_id").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.count("*").alias("n"))  # drawn: most_rows at most
+    room, chosen = most_rows, []
+    for r in found.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").collect():  # most_rows at most
+        if r["n"] <= room:
+            room -= r["n"]
+            chosen.append((r["doc_id"], r["toxic"]))
+    fitting = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int")
+    times = drawn.join(F.broadcast(fitting), ["doc_id", "toxic"], "left_semi")
+    return rows.join(F.broadcast(times), "doc_id").select("text", "toxic")
+
+
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> ToxicityModel:
+    """A model from at most ``most_rows`` rows of ``docs`` that have a label (doc_id, toxic)."""
+    rows = draw_rows(docs, labels, most_rows)
     terms = choose_terms(rows)
     if not terms:
         share = rows.agg(F.avg("toxic")).first()[0]
         return ToxicityModel([], None, float(share or 0.0))
-    table = _features(rows, terms, "toxic").collect()
+    table = _features(rows, terms, "toxic").collect()  # most_rows at most
     labels_ = np.array([r["keep"] for r in table], float)
     features = np.array([np.frombuffer(r["features"], np.float32) for r in table])
-    model = fit_label_model(features[:, :-1].astype(float), labels_)
-    soft = model.posterior(features[:, :-1].astype(float))
-    return ToxicityModel(terms, fit_linear(features, 0.5 * soft + 0.5 * labels_), float(labels_.mean()))
+    votes = features[:, :-1].astype(float)
+    return ToxicityModel(terms, fit_linear(features, fit_label_model(votes, labels_).posterior(votes)), float(labels_.mean()))
 
 
 def _features(rows: DataFrame, terms: list[str], keep: str) -> DataFrame:
