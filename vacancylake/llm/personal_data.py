@@ -3,7 +3,8 @@
 Every kind has an expression, a validator and a prior. A proposed span that its validator rejects is dropped and not tried
 again in part. The score is the prior, raised by a word of the kind's context close to the span, lowered by a word that
 speaks of numbers of another sort. Kinds whose form alone is proof (``sure``) stay whatever the score; the others stay from
-``LEAST_SCORE`` on: account numbers that pass mod-97, social security numbers, and phone numbers written without a plus.
+``LEAST_SCORE`` on: account numbers that pass mod-97, social security numbers, phone numbers written without a plus, and
+values assigned to the name of a key, token or password that look random.
 Spans of one kind never overlap, leftmost first; spans of different kinds may, except that a phone number without a plus
 is not proposed inside a span of another kind.
 
@@ -13,9 +14,10 @@ count code points, end exclusive.
 
 from __future__ import annotations
 
-import hashlib
+import math
 import re
 import string
+from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -45,6 +47,46 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+# Characters of an account number by country, as the public registry lists them.
+ACCOUNT_LENGTHS = {
+    n: codes.split() for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+}
+_LENGTH_OF = {country: n for n, countries in ACCOUNT_LENGTHS.items() for country in countries}
+
+
+def account_end(span: str) -> int:
+    """Where the account number ends that ``span`` begins with; 0 if there is none.
+
+    A listed country says how long it is; for others every end of a group is tried, the longest first. What follows,
+    such as a word in capitals, is not part of it.
+    """
+    places = [k + 1 for k, c in enumerate(span) if c != " "]
+    listed = _LENGTH_OF.get(span[:2])
+    if listed:
+        ends = places[listed - 1 : listed]
+    else:
+        ends = [e for e in reversed(places) if e == len(span) or span[e] == " "]
+    for end in ends:
+        if (end == len(span) or span[end] == " ") and len(span[:end].replace(" ", "")) >= 12 and mod97(span[:end]):
+            return end
+    return 0
+
+
+def _entropy(text: str) -> float:
+    """Bits per character."""
+    return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
+
+
+def _secret(value: str) -> bool:
+    """Letters and digits mixed, without much repetition: not a word, a number or a placeholder."""
+    return any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and _entropy(value) >= 2.8
+
+
 def _digits(span: str) -> str:
     return "".join(c for c in span if "0" <= c <= "9")
 
@@ -68,15 +110,25 @@ class Kind(NamedTuple):
     needs: str  # a text without this character has no such span; empty: any text may
     context: re.Pattern | None
     before: str = ""  # characters before the match that belong to the span, back to the end of the one before
+    group: int = 0  # the group of the pattern that is the span
+    after: re.Pattern | None = None  # what must stand right before the match, within ``NEARBY`` characters
+    shorter: Callable[[str], int] | None = None  # where the span within a match ends; 0: there is none
 
 
 def _matches(kind: Kind, text: str) -> Iterator[tuple[int, int]]:
     """Leftmost non-overlapping matches in time linear in the text, runs of any length included."""
     free = 0
     for m in kind.pattern.finditer(text):
-        start, end = m.span()
+        if kind.after is not None and not kind.after.search(text[max(0, m.start() - NEARBY) : m.start()]):
+            continue
+        start, end = m.span(kind.group)
+        if kind.shorter is not None:
+            end = start + kind.shorter(text[start:end])
+            if end == start:
+                continue
         if kind.before:
             start = free + len(text[free:start].rstrip(kind.before))
+            free = m.start() + 1  # no span reaches back over the character that begins the match, and no text is looked at twice
             if start == m.start():
                 continue
         yield start, end
@@ -95,9 +147,11 @@ KINDS = [
     Kind("ip", re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda s: all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split(".")), 0.7, True, ".", _words("ip address host server login adresse")),
     Kind("card", re.compile(r"[0-9]([ -]?[0-9])+"), _card, 0.8, True, "", _words("card visa mastercard credit karte carte tarjeta")),
     Kind("phone", re.compile(r"\+[0-9][ ().0-9-]+[0-9]"), lambda s: 8 <= len(_digits(s)) <= 15, 0.8, True, "+", _words("phone tel call fax mobile telefon")),
-    Kind("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), mod97, 0.9, False, "", _words("iban account bank konto compte cuenta")),
+    Kind("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), mod97, 0.9, False, "", _words("iban account bank konto compte cuenta"), shorter=account_end),
     Kind("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), _social, 0.45, False, "-", _words("ssn social security")),
     Kind("local_phone", re.compile(r"(?<![0-9+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"), lambda s: True, 0.35, False, "", _words("phone tel call fax mobile telefon")),
+    Kind("secret", re.compile(r"""["']?\s{0,4}[=:]\s{0,4}["']?([A-Za-z0-9_+/.~-]{12,}={0,2})"""), _secret, 0.6, False, "", _words("key token secret password credentials auth config"),
+         group=1, after=re.compile(r"(?i)(?:api[_-]?key|access[_-]?key|private[_-]?key|token|secret|passwd|password)$")),
 ]
 _AGAINST = _words("order invoice version isbn part serial")
 _DIGIT = re.compile("[0-9]")
