@@ -5,9 +5,9 @@ For every host, the pages that hold a line are divided by all pages of the host;
 
 A host can hold a third of all rows, so lines are counted inside the tasks before the shuffle, as 64-bit hashes, one per
 page and distinct line. At most (lines per page / ratio) lines of a host can pass the ratio, so a host's list is short
-whatever the host's size; it is joined to the pages under salted keys, which spread a large host over many tasks.
+whatever the host's size; it is joined to the pages under salted keys, which spread a large host over many tasks, row by row.
 
-Cases: a null or empty text has no lines and stays as it is (null becomes empty); blank lines are kept but never counted;
+Cases: a null or empty text has no lines and stays as it is (null becomes empty); blank lines (spaces, tabs and other controls 9 to 13) are kept but never counted;
 repeated rows count as pages of their own; a null host counts as the host with the empty name; no rows give no rows. All
 columns of the input are kept.
 """
@@ -18,7 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RATIO = 0.1
-LEAST_PAGES = 5
+#: A line that one page alone holds is no boilerplate; without this, a host of fewer than 1 / ratio pages would lose every line.
+LEAST_PAGES = 2
+#: A line without a word: spaces and the controls 9 to 13 only.
+BLANK = r"^[\x09-\x0D ]*$"
 #: A host's pages are spread over so many join keys.
 SALTS = 32
 
@@ -29,15 +32,16 @@ def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"), F.coalesce(host, F.lit("")).alias("host"),
         F.coalesce(lines, F.array().cast("array<string>")).alias("lines"),
     )
-    said = F.array_distinct(F.transform(F.filter("lines", lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
+    said = F.array_distinct(F.transform(F.filter("lines", lambda x: ~x.rlike(BLANK)), lambda x: F.xxhash64(x)))
     counted = marked.select("host", F.explode(said).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
     totals = marked.groupBy("host").agg(F.count("*").alias("total"))
     common = counted.join(totals, "host").filter(F.col("n") > F.col("total") * ratio)
     listed = common.groupBy("host").agg(F.collect_list("line").alias("common"))
     salted = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = marked.withColumn("salt", F.pmod(F.xxhash64("lines"), F.lit(SALTS)).cast("int"))
+    # A row's own number, not its content: equal pages of a host are spread as well.
+    dealt = marked.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
     kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x: ~F.array_contains("common", F.xxhash64(x)) | (F.trim(x) == ""))
+        F.filter("lines", lambda x: ~F.array_contains("common", F.xxhash64(x)) | x.rlike(BLANK))
     )
     return dealt.join(salted, ["host", "salt"], "left").select("page", "host", "lines", kept.alias("kept"))
 
@@ -78,7 +82,7 @@ WITH seen AS (
            '{UNSEEN}', '', 'g'), '{BREAKS}', chr(10), 'g'), '{TAGS}', '', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines
   FROM pages
 ), often AS (
-  SELECT host, line FROM (SELECT DISTINCT host, page, unnest(lines) AS line FROM seen)
+  SELECT host, line FROM (SELECT DISTINCT host, page, unnest(list_filter(lines, lambda x: NOT regexp_matches(x, '{BLANK}'))) AS line FROM seen)
   JOIN (SELECT host, count(*) AS total FROM seen GROUP BY host) USING (host)
   GROUP BY host, line, total HAVING count(*) >= {LEAST_PAGES} AND count(*) > total * CAST({RATIO} AS DOUBLE)
 ), listed AS (SELECT host, list(line) AS lines FROM often GROUP BY host)
