@@ -3,12 +3,11 @@
 Fingerprints of equal texts are equal, so everything after the first step works on distinct fingerprints, each standing for
 its smallest doc_id; groups of copies never meet as pairs.
 
-*Pivot tables.* Every fingerprint gets a table of Hamming distances to reference fingerprints (pivots). By the triangle
-inequality two fingerprints that differ in at most ``most`` bits differ by at most ``most`` in every coordinate. Distances are
-kept for each of ``2 * most`` bit blocks as well; ``most`` differing bits leave at least ``most`` blocks untouched, whose
-coordinates are then equal. Pairs are therefore sought by equality on the coordinates of ``most`` blocks (every choice of
-them), discarded by the largest coordinate difference, and what survives is verified on the fingerprints themselves. Enough
-pivots make a block's coordinates tell all its values apart, so the equality is as sharp as equal bits.
+*Pivot tables.* Every fingerprint gets a table of Hamming distances to many reference fingerprints (pivots, fixed random bits),
+over all bits and over each of ``2 * most`` blocks of bits. By the triangle inequality two fingerprints that differ in at most
+``most`` bits differ by at most ``most`` in every coordinate; and as ``most`` bits leave at least ``most`` blocks untouched, their coordinates
+on these are equal. So candidates are the pairs with equal coordinates on ``most`` blocks (every choice of them), of which those
+with a coordinate over all bits that differs by more than ``most`` are discarded; the rest is verified on the fingerprints.
 
 Components are the classes of the links' transitive closure, by alternating star steps on an edge table in the shared folder.
 
@@ -25,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vacancylake.llm.texts import read_documents, slices, text_bytes, words_of
@@ -33,7 +32,7 @@ from vacancylake.session import ship_package, stored
 
 SHINGLE = 3
 MOST_BITS = 2
-PIVOTS = 8
+PIVOTS = 16
 _SEED = 42
 #: Shingles whose bits are counted at once.
 _CHUNK = 1 << 16
@@ -72,16 +71,16 @@ def _fingerprints(texts: pa.Array, shingle: int) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` (doc_id, text) reduced to doc_id and fp, the fingerprint's 64 bits as a long."""
+    """``docs`` (doc_id, text) reduced to doc_id, ``digest`` (a hash of the text) and ``fp``, the fingerprint's 64 bits as a long."""
     ship_package(docs.sparkSession)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 fp = _fingerprints(part.column(1), shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fp, pa.int64())], ["doc_id", "digest", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("digest")).mapInArrow(compute, "doc_id long, digest long, fp long")
 
 
 def pivots(n: int = PIVOTS) -> list[int]:
@@ -95,29 +94,31 @@ def _distance(fp: Column, pivot: int, mask: int) -> Column:
     return F.bit_count(fp.bitwiseXOR(F.lit(pivot)).bitwiseAND(F.lit(signed)))
 
 
-def links(classes: DataFrame, most: int = MOST_BITS, n_pivots: int = PIVOTS) -> DataFrame:
-    """Pairs (a, b), a's fingerprint the smaller, of the distinct fingerprints ``fp`` that differ in at most ``most`` bits.
-
-    Blocks are 64 / (2 * most) bits wide; pivots are as many as there are bits in a block, so that a block's coordinates
-    determine it: pivot j is pivot 0 with bit j of every block turned, whose distance shows that bit.
-    """
+def _candidates(classes: DataFrame, most: int, n_pivots: int) -> tuple[Column, DataFrame, DataFrame]:
+    """What pairs must have in common, and the two sides of the join: fp, distances p0.. over all bits, key."""
     blocks = 2 * most
     width = -(-64 // blocks)
     masks = [((1 << width) - 1) << (width * b) & (1 << 64) - 1 for b in range(blocks)]
-    base = pivots(1)[0] & (1 << 64) - 1
-    spread = sum(1 << (width * b) for b in range(blocks))
-    turned = [base] + [base ^ (spread << j & (1 << 64) - 1) for j in range(width)]
-    signed = [p - (1 << 64) if p >> 63 else p for p in turned]
     fp = F.col("fp")
     # Narrow rows, much work each: as many tasks as the session has shuffle partitions, not as few as their bytes suggest.
     # The hash is not the grouping key itself, whose (merged) partitions the planner would take over instead.
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = classes.repartition(tasks, F.xxhash64("fp")).select("fp", *[_distance(fp, p, (1 << 64) - 1).cast("byte").alias(f"p{j}") for j, p in enumerate(pivots(n_pivots))])
-    coordinates = [F.concat(*[F.chr(_distance(fp, p, m)) for p in signed]) for m in masks]
+    references = pivots(n_pivots)
+    table = classes.repartition(tasks, F.xxhash64("fp")).select("fp", *[_distance(fp, p, (1 << 64) - 1).cast("byte").alias(f"p{j}") for j, p in enumerate(references)])
+    coordinates = [F.concat(*[F.chr(_distance(fp, p, m)) for p in references]) for m in masks]
     keys = [F.struct(F.lit(k).cast("byte").alias("choice"), F.xxhash64(*[coordinates[b] for b in chosen]).alias("at")) for k, chosen in enumerate(combinations(range(blocks), most))]
     keyed = table.withColumn("key", F.explode(F.array(*keys))).select("key.choice", "key.at", *table.columns)
     a, b = keyed.alias("a"), keyed.alias("b")
-    near = (F.col("a.choice") == F.col("b.choice")) & (F.col("a.at") == F.col("b.at")) & (F.col("a.fp") < F.col("b.fp"))
+    return (F.col("a.choice") == F.col("b.choice")) & (F.col("a.at") == F.col("b.at")) & (F.col("a.fp") < F.col("b.fp")), a, b
+
+
+def links(classes: DataFrame, most: int = MOST_BITS, n_pivots: int = PIVOTS) -> DataFrame:
+    """Pairs (a, b), a's fingerprint the smaller, of the distinct fingerprints ``fp`` that differ in at most ``most`` bits.
+
+    ``n_pivots`` reference fingerprints serve the coordinates of the blocks, which bring pairs together, and those over all
+    bits, which discard pairs before they are verified.
+    """
+    near, a, b = _candidates(classes, most, n_pivots)
     for j in range(n_pivots):
         near &= F.abs(F.col(f"a.p{j}") - F.col(f"b.p{j}")) <= most
     near &= F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= most
@@ -150,26 +151,39 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
-    """doc_id, fp and component_id of every row; component_id is the smallest doc_id of the row's component."""
+    """doc_id, digest, fp, root and component_id of every row; component_id is the smallest doc_id of the row's component.
+
+    ``root`` tells components apart also where ids repeat or are null.
+    """
     marked = stored(with_fingerprints(docs, shingle), "fingerprints")
     # Copies fold into one row per fingerprint inside the tasks, before the shuffle.
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = components(links(classes.select("fp"), most))
     labels = classes.join(rooted, classes["fp"] == rooted["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = labels.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = labels.join(smallest, "root").select("fp", "component_id")
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = labels.join(smallest, "root").select("fp", "root", "component_id")
+    return marked.join(labels, "fp").select("doc_id", "digest", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
-    """One row of each component: that of the smallest doc_id. Rows without a doc_id stay only where no other row is near."""
+    """One row of each component: that of the smallest doc_id (rows without one come last), of the texts with that id the one of
+    the least hash, of rows equal in both the one of the least hash over all columns."""
     found = stored(near_duplicates(docs, shingle, most), "components")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = stored(kept, "kept")
-    kept_ids = kept.hint("shuffle_hash")  # the list grows with the documents: never broadcast, and no sort of whole texts
-    out = docs.join(kept_ids, docs["doc_id"].eqNullSafe(kept_ids["doc_id"]), "left_semi")
-    # Only where ids repeat is a row to be chosen among equal ids; that shuffles whole rows.
-    return out.dropDuplicates(["doc_id"]) if kept.filter("n > 1").limit(1).count() else out
+    texts = found.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "n")
+    kept = stored(texts.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.digest", "k.n"), "kept")
+
+    def chosen(which: str) -> DataFrame:
+        ids = kept.filter(which).hint("shuffle_hash")  # the list grows with the documents: never broadcast, and no sort of whole texts
+        return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]) & (F.xxhash64(docs["text"]) == ids["digest"]), "left_semi")
+
+    out = chosen("n = 1")
+    if not kept.filter("n > 1").limit(1).count():
+        return out
+    # Only where whole rows repeat is one to be chosen among them; that shuffles these rows alone.
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    again = chosen("n > 1").withColumn("__rank", F.row_number().over(same)).filter(F.col("__rank") == 1).drop("__rank")
+    return out.unionByName(again)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
