@@ -161,32 +161,20 @@ def _filled(taken: np.ndarray, lengths: np.ndarray, left: np.ndarray, capacity:
     return taken
 
 
-def _simply_filled(taken: np.ndarray, lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
-    """``taken`` with, again and again, the longest length that fits."""
-    room = capacity - int(taken @ lengths)
-    for k in np.flatnonzero((lengths <= room) & (left > taken)):
-        m = min(int(left[k] - taken[k]), room // int(lengths[k]))
-        taken[k] += m
-        room -= m * int(lengths[k])
-    return taken
-
-
-def _rounded(configs, share, names, of_class, lengths, counts, capacity, whole: bool, simple: bool = False) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Whole uses of the configurations, then sequences around the longest pieces left.
+def _rounded(configs, share, names, of_class, lengths, counts, capacity, whole: bool) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Whole uses of the configurations, then sequences around the longest pieces left, by the same knapsack.
 
-    ``whole``: use a configuration only where it fills the sequence to the last id. ``simple``: no configurations, and rooms
-    filled longest first; this wins where there are few pieces of each length.
+    ``whole``: use a configuration only where it fills the sequence to the last id.
     """
     left, uses = counts.copy(), []
-    for k in [] if simple else np.argsort(-share, kind="stable"):
+    for k in np.argsort(-share, kind="stable"):
         times = int(share[k])
         while times > 0 and (taken := _concrete(configs[k], names, of_class, lengths, left, capacity, whole)) is not None:
             times -= _use(taken, lengths, left, uses, times)
-    fill = _simply_filled if simple else _filled
     while left.any():
         taken = np.zeros(len(lengths), np.int64)
         taken[int(np.flatnonzero(left)[0])] = 1  # the hardest to place goes first, then the best fit for the room beside it
-        _use(fill(taken, lengths, left, capacity), lengths, left, uses)
+        _use(_filled(taken, lengths, left, capacity), lengths, left, uses)
     return uses
 
 
@@ -232,7 +220,7 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, rounds: in
         names = np.unique(of_class)[::-1]
         demand = np.array([counts[of_class == c].sum() for c in names])
         solved = configurations(np.minimum(names * width, capacity), demand, capacity, rounds)
-        ways = [_rounded(*solved, names, of_class, lengths, counts, capacity, **way) for way in ({"whole": True}, {"whole": False}, {"whole": False, "simple": True})]
+        ways = [_rounded(*solved, names, of_class, lengths, counts, capacity, **way) for way in ({"whole": True}, {"whole": False})]
         uses += min(ways, key=lambda way: sum(times for *_, times in way))
     rows = []
     ranked: dict[int, int] = {}
