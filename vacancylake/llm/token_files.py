@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacancylake.llm.texts import read_documents
-from vacancylake.llm.token_ids import encoded
+from vacancylake.llm.token_ids import encoded, word_encoder
 from vacancylake.session import new_shared_path, ship_package
 
 FRAME_IDS = 1 << 16
@@ -70,6 +70,8 @@ class TokenFileWriter:
         self.starts.append(at[:-1] + self.n_ids)
         self.sizes.append(np.diff(at))
         self.n_ids += int(at[-1])
+        if len(ids) and int(ids.max()) > np.iinfo(self.kind).max:
+            raise ValueError(f"id {int(ids.max())} needs more than {self.kind.itemsize} bytes")
         ids = ids.astype(self.kind)
         while self.n_pending + len(ids) >= self.frame_ids:
             cut = self.frame_ids - self.n_pending
@@ -161,14 +163,17 @@ class TokenFile:
         return sorted(found)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, wide: bool = False) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, wide: bool | None = None) -> DataFrame:
     """Write ``docs`` (doc_id, text) as files in ascending order of doc_id, and return the list of files.
 
+    ``wide`` is 4 bytes an id instead of 2; by default the vocabulary and the end id decide. An id that does not fit raises ValueError.
     The list (part, file, n_docs, n_ids) is itself stored beside the files; a repeated task writes under another name, and
     only files in the list count. ``folder`` must be one that all executors share.
     """
     spark = docs.sparkSession
     ship_package(spark)
+    if wide is None:
+        wide = max(word_encoder(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) > np.iinfo("<u2").max
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = name = None
