@@ -21,7 +21,7 @@ themselves, which one exchange serves to both steps that need them.
 
 Cases: a null or empty text has no bytes and is kept as it is; texts shorter than the length never match; overlapping
 occurrences inside one text count; repeated rows are occurrences of their own, also with equal or null doc_ids; matches never
-cross texts; other columns are ignored; no rows give no rows.
+cross texts; other columns are ignored; no rows give no rows; a text of 256 MB or more raises ValueError.
 """
 
 from __future__ import annotations
@@ -72,6 +72,8 @@ def contexts_of(texts: pa.Array, length: int = LENGTH, gram: int = GRAM) -> dict
     none = {k: np.zeros(0, np.int64) for k in ("row", "start", "n", "anchor", "gram", "context")}
     if len(data) < length:
         return none
+    if len(data) >> _PLACE_BITS:
+        raise ValueError(f"a text of over {1 << _PLACE_BITS} bytes has no room for its positions")
     left = np.repeat(at[1:] - 1, np.diff(at)) - np.arange(len(data))  # bytes from here to the end of the text
     sums, inverse = prefix_hashes(data)
     place = np.arange(len(data) - gram + 1)
