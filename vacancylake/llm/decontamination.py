@@ -65,8 +65,8 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
 class Index:
     """Postings of one shard of items [(item_id, text)], in blocks."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(i, *question_and_answer(t)) for i, t in items if len(words_of_text(t)) >= LEAST_WORDS]
+    def __init__(self, items: list[tuple[int, str]], least_words: int = LEAST_WORDS):
+        self.items = [(i, *question_and_answer(t)) for i, t in items if len(words_of_text(t)) >= max(1, least_words)]
         segments = [(k, (q + a)[s : s + SEGMENT]) for k, (_, q, a) in enumerate(self.items) for s in range(0, len(q + a), SEGMENT)]
         self.owner = [k for k, _ in segments]
         n = len(segments)
@@ -207,8 +207,14 @@ def _matches(index: Index, batch: pa.RecordBatch, threshold: float, overlap: flo
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], [x.split()[0] for x in MATCHES.split(", ")])
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """A row per document of ``docs`` (doc_id, text) and item of ``items`` (item_id, text) that it holds."""
+def contaminated(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_bytes: int = SHARD_BYTES,
+    least_words: int = LEAST_WORDS,
+) -> DataFrame:
+    """A row per document of ``docs`` (doc_id, text) and item of ``items`` (item_id, text) that it holds.
+
+    Items of fewer than ``least_words`` words are not sought: common words alone are no test item. At 1 all are.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     items = items.filter("text is not null").select(F.col("item_id").cast("long"), "text")
@@ -218,7 +224,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
     def searched(shard: int) -> DataFrame:
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards)) == shard).orderBy("item_id", "text")
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in own.collect()]))  # about shard_bytes
+        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in own.collect()], least_words))  # about shard_bytes
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
