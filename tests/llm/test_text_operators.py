@@ -145,11 +145,11 @@ def test_lines_above_the_ratio_go(spark):
     pages, holds = Counter(), Counter()
     for i, t in rows:
         pages[(i or 0) % 3] += 1
-        holds.update(((i or 0) % 3, x) for x in set((t or "").split("\n")) if x.strip(" "))
+        holds.update(((i or 0) % 3, x) for x in set((t or "").split("\n")) if x.strip("\t\n\x0b\x0c\r "))
     want = []
     for i, t in rows:
         s = (i or 0) % 3
-        want.append((i, "\n".join(x for x in (t or "").split("\n") if not (x.strip(" ") and holds[s, x] >= line_dedup.LEAST_PAGES and holds[s, x] > 0.4 * pages[s]))))
+        want.append((i, "\n".join(x for x in (t or "").split("\n") if not (x.strip("\t\n\x0b\x0c\r ") and holds[s, x] >= line_dedup.LEAST_PAGES and holds[s, x] > 0.4 * pages[s]))))
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(want, key=str)
     assert {r["host"] for r in out.collect()} == {"own host"}
     assert line_dedup.drop_document_lines(docs.limit(0)).count() == 0
