@@ -210,7 +210,7 @@ BASE = ["email", "ip", "card", "phone"]
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans of all documents: counts of the base kinds, a digest of the base spans, and all spans as text."""
+    """Spans of all documents: counts of the base kinds, a digest of the base spans, all spans as text, and how many they are."""
     found = with_spans(read_documents(spark, sf_dir))
 
     def listed(spans):
@@ -222,7 +222,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(kind) for kind in BASE]
-    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 QUERIES = {"op9_personal_data": (op9_personal_data, None)}
