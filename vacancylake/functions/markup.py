@@ -91,6 +91,7 @@ class Page:
     def _read(self, html: str) -> None:
         texts, text_at, everything, by_tag = self._texts, self._text_at, self._all, self._by_tag
         open_elements, at, clock = [self.root], 0, 0
+        still_open: dict[str, int] = {}  # by tag: an end tag without a beginning looks at no open element
         for token in _TOKEN.finditer(html):
             start = token.start()
             if start > at:
@@ -105,11 +106,11 @@ class Page:
                 continue
             tag = tag.lower()
             if close:
-                for depth in range(len(open_elements) - 1, 0, -1):
-                    if open_elements[depth].tag == tag:
-                        for element in open_elements[depth:]:
-                            element.end = clock
-                        del open_elements[depth:]
+                while still_open.get(tag):
+                    element = open_elements.pop()
+                    element.end = clock
+                    still_open[element.tag] -= 1
+                    if element.tag == tag:
                         break
                 continue
             clock += 1
@@ -122,6 +123,7 @@ class Page:
                 same.append(element)
             if tag not in _VOID and not source.endswith("/"):
                 open_elements.append(element)
+                still_open[tag] = still_open.get(tag, 0) + 1
         if at < len(html):
             clock += 1
             texts.append(html[at:])

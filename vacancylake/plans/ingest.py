@@ -7,7 +7,7 @@ import operator
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancylake import schemas
@@ -15,7 +15,7 @@ from vacancylake.functions import dates
 from vacancylake.operators import aggregates, children, extract, filters, joins, projections, quality, ranking, upsert
 from vacancylake.operators.layouts import LISTING_LAYOUTS
 from vacancylake.session import stored
-from vacancylake.sources.raw_pages import split_by_status
+from vacancylake.sources.raw_pages import CrawlConfig, asked_pages, crawl_ends, split_by_status
 
 
 @dataclass
@@ -38,19 +38,28 @@ def ingest_listings(
     has_salary: bool = False,
     key: list[str] | None = None,
     layouts: dict[str, extract.Reader] = LISTING_LAYOUTS,
+    crawl: CrawlConfig | None = None,
+    category: str | None = None,
 ) -> IngestResult:
     """Pages (schema ``RAW_PAGE_DDL``) written over ``current``.
 
+    ``crawl`` takes only the pages that a crawl of that configuration reads: those at its addresses, within its page limits, before
+    each source's first empty or failed page (a failed page that ends a source is among the rejects, what lies behind it is not
+    part of the run). The other conditions are on the listings themselves.
+
     Within this run the first listing of a key, in page order, is the one that
     counts; against the stored table the upsert rule applies.
     """
+    pages = pages if crawl is None else asked_pages(pages, crawl)
     good, failed = split_by_status(pages)
     keep = ["page_no"] if "page_no" in pages.columns else []
     rows = stored(extract.extract_listings(good, as_of, layouts, keep=keep), "listing-rows")
     rows = rows.withColumns({c: F.col(c).cast("int") for c in keep})
+    if crawl is not None:
+        rows, failed = _before_the_end(pages, rows, failed, crawl)
     order = [*keep, "page_id", "row_no"]
     flat = projections.flatten_listing(extract.accepted(rows), as_of, keep=order)
-    wanted = filters.filtered(flat, location=location, query=query, has_salary=has_salary)
+    wanted = filters.filtered(flat, location=location, query=query, has_salary=has_salary, category=category)
     if quota is not None:
         wanted = ranking.quota_per_source(wanted, "platform", order, quota)
     valid, broken = quality.split_by_rules(wanted, quality.row_rules("job_listings"))
@@ -65,6 +74,19 @@ def ingest_listings(
     return IngestResult(table, valid, rejects)
 
 
+def _before_the_end(pages: DataFrame, rows: DataFrame, failed: DataFrame, crawl: CrawlConfig) -> tuple[DataFrame, DataFrame]:
+    """The rows of pages before each source's end, and the failed pages up to it."""
+    found = rows.groupBy("page_id").agg(F.count_if(F.col("problem").isNull()).alias("n_rows"))
+    read = pages.select("page_id", "platform", "page_no", "status").join(found, "page_id", "left")
+    ends = crawl_ends(read.withColumn("n_rows", F.coalesce("n_rows", F.lit(0))), crawl)  # a row per source
+    ends = ends.withColumnRenamed("platform", "ended")
+
+    def kept(df: DataFrame, inside: Column) -> DataFrame:
+        return df.join(ends, df["platform"] == ends["ended"], "left").where(F.col("stop").isNull() | inside).drop("ended", "stop")
+
+    return kept(rows, F.col("page_no") < F.col("stop")), kept(failed, F.col("page_no") <= F.col("stop"))
+
+
 REPEATED_PAGE = "another page of this posting was taken"
 
 

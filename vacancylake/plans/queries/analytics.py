@@ -280,9 +280,9 @@ QUERIES: Registered = {
     ),
     "table_profile": (
         lambda spark, sf: catalog.table_profile({n: table(spark, sf, n) for n in TABLE_NAMES}).select(
-            "table_name", "position", "column_name", "data_type", "row_count"
+            "table_name", "position", "column_name", "data_type", "column_default", "row_count"
         ),
-        "SELECT c.table_name, CAST(c.ordinal_position AS INTEGER) AS position, c.column_name, c.data_type, k.n AS row_count "
+        "SELECT c.table_name, CAST(c.ordinal_position AS INTEGER) AS position, c.column_name, c.data_type, c.column_default, k.n AS row_count "
         "FROM information_schema.columns c JOIN ("
         + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in TABLE_NAMES)
         + ") k ON k.table_name = c.table_name",

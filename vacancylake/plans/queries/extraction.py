@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vacancylake import fixed_values as fixed
+from vacancylake.functions.links import listing_url
 from vacancylake.operators import extract, sets
 from vacancylake.plans import ingest
 from vacancylake.plans.queries import Registered
 from vacancylake.session import stored
 from vacancylake.sources.driver_tables import AS_OF, postings, table
+from vacancylake.sources.raw_pages import CrawlConfig
 
 # two entries per page; the second lacks what the layout needs to identify it
 _TABLE_PAGE = (
@@ -202,7 +204,39 @@ def _second_run(spark, sf):
     return ingest.ingest_listings(pages.where("page_id % 4 <> 0"), stored(first.table, "listings-before"), AS_OF)
 
 
+def _numbered_pages(spark, sf):
+    """Listing pages at the addresses of a crawl in five categories and two languages; some failed, some without a listing."""
+    key, number = F.col("page_id"), F.col("page_no")
+    pages = listing_pages(spark, sf).withColumn("page_no", (F.floor(key / 3) % 60 + 1).cast("int"))
+    return pages.withColumns({
+        "url": listing_url(F.col("platform"), number, category_id=(key % 5).cast("string"), locale=F.when(key % 2 == 0, "ge").otherwise("en")),
+        "status": F.when((key % 97 == 0) & (number > 18), 500).otherwise(200),
+        "html": F.when((number == 45) & (F.col("platform") == "ss_ge"), "<html></html>").otherwise(F.col("html")),
+        "fetched_at": F.lit(AS_OF).cast("timestamp_ntz"),
+    })
+
+
+def _crawled(config):
+    def run(spark, sf):
+        found = ingest.ingest_listings(_numbered_pages(spark, sf), ingest.empty_table(spark, "job_listings"), AS_OF, crawl=config)
+        return found.table.select("platform", "id", "title", "company_name")
+
+    return run
+
+
+def _crawled_sql(asked, stops="(failed OR empty)"):
+    """``asked``: which pages of the source with filters in its addresses; the other two have none."""
+    return f"""WITH l AS ({_LISTINGS_SQL}), n AS (SELECT *, page_id // 3 % 60 + 1 AS page_no, page_id % 97 = 0 AND page_id // 3 % 60 + 1 > 18 AS failed,
+      platform = 'ss_ge' AND page_id // 3 % 60 + 1 = 45 AS empty FROM l),
+    a AS (SELECT * FROM n WHERE CASE platform WHEN 'jobs_ge' THEN {asked} WHEN 'cv_ge' THEN page_no <= 24 ELSE page_no <= 50 END),
+    s AS (SELECT platform, min(page_no) AS stop FROM a WHERE {stops} GROUP BY platform),
+    r AS (SELECT a.* FROM a LEFT JOIN s USING (platform) WHERE (stop IS NULL OR page_no < stop) AND NOT failed AND NOT empty)
+    SELECT platform, id, arg_min(title, (page_no, page_id)) AS title, arg_min(company, (page_no, page_id)) AS company_name FROM r GROUP BY platform, id"""
+
+
 QUERIES: Registered = {
+    "ingest_category": (_crawled(CrawlConfig(category_id="3", locale="en")), _crawled_sql("page_id % 5 = 3 AND page_id % 2 = 1")),
+    "ingest_locale": (_crawled(CrawlConfig(category_id="2", locale="ge", stop_at_failed=False)), _crawled_sql("page_id % 5 = 2 AND page_id % 2 = 0", "empty")),
     "ingest_listings_again": (
         lambda spark, sf: _second_run(spark, sf).table.select(
             "platform", "id", "title", "company_name", F.col("salary_min").cast("double").alias("salary_min"),
@@ -264,14 +298,14 @@ QUERIES: Registered = {
         UNION ALL SELECT platform, 'fewer than 6 cells', count(*) FROM o WHERE NOT failed AND s = 0 GROUP BY 1""",
     ),
     "ingest_run_log": (
-        lambda spark, sf: ingest.run_log(_first_run(spark, sf), "2001-09-01 05:00:00", AS_OF)[0].drop("id"),
+        lambda spark, sf: ingest.run_log(_first_run(spark, sf), "2001-09-01 05:00:00", AS_OF)[0],
         f"""WITH o AS (SELECT o_orderkey % 3 AS s, o_orderkey % 19 = 0 AS failed, c_mktsegment = 'BUILDING' AS chosen,
             (['jobs_ge', 'cv_ge', 'ss_ge'])[CAST(o_orderkey % 3 + 1 AS INTEGER)] AS platform
           FROM orders JOIN customer ON o_custkey = c_custkey),
         c AS (SELECT platform, count(*) FILTER (chosen AND NOT failed) AS good,
               count(*) FILTER (failed) + count(*) FILTER (NOT failed) * CASE WHEN platform = 'jobs_ge' THEN 2 ELSE 1 END AS bad
             FROM o GROUP BY platform)
-        SELECT platform, good + bad AS total_jobs_found, good AS successful_scrapes, bad AS failed_scrapes,
+        SELECT sha256(platform || '|2001-09-01 05:00:00|{AS_OF}') AS id, platform, good + bad AS total_jobs_found, good AS successful_scrapes, bad AS failed_scrapes,
         TIMESTAMP '2001-09-01 05:00:00' AS start_time, TIMESTAMP '{AS_OF}' AS end_time, TIMESTAMP '{AS_OF}' AS created_at
         FROM c""",
     ),

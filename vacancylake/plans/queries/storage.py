@@ -268,7 +268,7 @@ def _run_rows(spark, sf):
     events = table(spark, sf, "events").select(
         F.concat(F.lit("site_"), F.col("user_id") % 3).alias("platform"),
         F.when(F.col("event_type") == "error", F.col("props")).alias("error"), "ts")
-    return run_record(run_summary(events, "platform", "error", "ts", "ts"), AS_OF).drop("id")
+    return run_record(run_summary(events, "platform", "error", "ts", "ts"), AS_OF)
 
 
 def _run_errors(spark, sf):
@@ -404,10 +404,11 @@ QUERIES: Registered = {
     ),
     "run_rows": (
         _run_rows,
-        f"""SELECT 'site_' || (user_id % 3) AS platform, count(*) AS total_jobs_found,
+        f"""SELECT sha256('site_' || (user_id % 3) || '|' || rtrim(rtrim(strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') || '|{AS_OF}') AS id,
+        'site_' || (user_id % 3) AS platform, count(*) AS total_jobs_found,
         count(*) FILTER (event_type <> 'error') AS successful_scrapes,
         count(*) FILTER (event_type = 'error') AS failed_scrapes, min(ts) AS start_time, max(ts) AS end_time,
-        TIMESTAMP '{AS_OF}' AS created_at FROM events GROUP BY 1""",
+        TIMESTAMP '{AS_OF}' AS created_at FROM events GROUP BY user_id % 3""",
     ),
     "run_errors": (
         _run_errors,

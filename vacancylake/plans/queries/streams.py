@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,8 +13,11 @@ from vacancylake.plans.queries.storage import SIGHTINGS, sightings
 from vacancylake.schemas import RAW_PAGE_DDL
 from vacancylake.session import new_shared_path
 from vacancylake.sources.driver_tables import table
-from vacancylake.streaming import ingest, windows
+from vacancylake.sources.saved_pages import register_saved_pages
+from vacancylake.streaming import ingest, progress, windows
 from vacancylake.streaming.log import PostingLog
+from vacancylake.streaming.progress import wait_for_listeners
+from vacancylake.streaming.seen import seen_until
 
 _DAY = "2024-02-01 00:00:00"
 
@@ -67,7 +72,102 @@ def _stream_rejects(spark, sf):
     return ingest.listing_log(spark, f"{home}/log").rejects().select("page_id", "platform", "row_no", "problem")
 
 
+def _saved(spark, sf):
+    """The pages as saved files of three sources, some of them empty; returns the folder."""
+    home = new_shared_path(spark, "saved-pages")
+    register_saved_pages(spark)
+    key = F.col("page_id")
+    pages = table(spark, sf, "pages").select(
+        F.concat(F.lit("site_"), key % 3).alias("platform"), (key + 1).cast("int").alias("page_no"),
+        F.when(key % 97 == 96, "").otherwise(F.col("html")).alias("html"), F.lit(200).alias("status"),
+    )
+    wanted = {f.name: f.dataType for f in StructType.fromDDL(RAW_PAGE_DDL)}
+    pages = pages.select(*[(F.col(n) if n in pages.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted.items()])
+    pages.write.format("saved_pages").option("path", f"{home}/pages").mode("append").save()
+    return home
+
+
+def _page_digest(pages):
+    return pages.select("platform", "page_no", "status", F.md5("html").alias("html"))
+
+
+def _saved_pages_batch(spark, sf):
+    """Saved pages read back, up to a page limit and each source's first empty page."""
+    home = _saved(spark, sf)
+    return _page_digest(spark.read.format("saved_pages").option("path", f"{home}/pages").option("last_page", 200).load())
+
+
+def _saved_pages_stream(spark, sf):
+    """The same in two runs of a stream: the first with a lower limit, the second goes on after it."""
+    home = _saved(spark, sf)
+    for limit in (80, 200):
+        stream = spark.readStream.format("saved_pages").option("path", f"{home}/pages").option("last_page", limit).load()
+        write = stream.writeStream.format("parquet").option("path", f"{home}/read").option("checkpointLocation", f"{home}/checkpoint")
+        write.trigger(availableNow=True).start().awaitTermination()
+    return _page_digest(spark.read.schema(RAW_PAGE_DDL).parquet(f"{home}/read"))
+
+
+_SAVED_PAGES_SQL = """WITH p AS (SELECT 'site_' || (page_id % 3) AS platform, CAST(page_id + 1 AS INTEGER) AS page_no,
+  CASE WHEN page_id % 97 = 96 THEN '' ELSE html END AS html FROM pages),
+e AS (SELECT platform, min(page_no) AS stop FROM p WHERE html = '' GROUP BY platform)
+SELECT platform, page_no, 200 AS status, md5(html) AS html FROM p LEFT JOIN e USING (platform)
+WHERE page_no <= 200 AND (stop IS NULL OR page_no < stop)"""
+
+_SEEN_SPLIT, _SEEN_DAYS = "2024-01-16 00:00:00", 10
+
+
+def _seen_until(spark, sf):
+    """Sightings in two runs of a stream with one checkpoint; a key counts as seen for ten days from when it last passed."""
+    home = new_shared_path(spark, "seen-until")
+    rows = sightings(spark, sf).select("platform", "id", "scraped_date", "event_id")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    boundary = F.lit(_SEEN_SPLIT).cast("timestamp_ntz")
+    for part in (F.col("scraped_date") < boundary, F.col("scraped_date") >= boundary):
+        rows.where(part).coalesce(1).write.mode("append").parquet(f"{home}/arrived")
+        once = seen_until(spark.readStream.schema(kinds).parquet(f"{home}/arrived"), ["platform", "id"], "scraped_date",
+                          dt.timedelta(days=_SEEN_DAYS), order=["event_id"])
+        write = once.writeStream.format("parquet").option("path", f"{home}/passed").option("checkpointLocation", f"{home}/checkpoint")
+        write.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(kinds).parquet(f"{home}/passed")
+
+
+def _batch_counters(spark, sf):
+    """Events written to a posting log in two runs, with a listener's counters beside what the log's batches say."""
+    home = new_shared_path(spark, "counted")
+    log = _event_log(spark, sf, home)
+    events = table(spark, sf, "events")
+    listener = progress.BatchCounters(spark, f"{home}/counters")
+    spark.streams.addListener(listener)
+    try:
+        for half in (0, 1):
+            events.where(F.col("event_id") % 2 == half).coalesce(1).write.mode("append").parquet(f"{home}/arrived")
+            stream = spark.readStream.schema(events.schema).parquet(f"{home}/arrived")
+            counted = progress.counted(stream, F.col("event_type") == "error")
+            ingest.write_batches(counted, log, f"{home}/checkpoint", _DAY, ["event_id"], _as_writes).awaitTermination()
+            wait_for_listeners(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    found = progress.counters(spark, f"{home}/counters")
+    return found.select("batch", "total", "failed").join(log.batch_counts().groupBy("batch").agg(F.sum("writes").alias("in_log")), "batch")
+
+
 QUERIES: Registered = {
+    "saved_pages_batch": (_saved_pages_batch, _SAVED_PAGES_SQL),
+    "saved_pages_stream": (_saved_pages_stream, _SAVED_PAGES_SQL),
+    "seen_until": (
+        _seen_until,
+        f"""{SIGHTINGS}, a AS (SELECT platform, id, min((scraped_date, event_id)) AS place FROM writes
+          WHERE scraped_date < TIMESTAMP '{_SEEN_SPLIT}' GROUP BY platform, id),
+        b AS (SELECT w.platform, w.id, min((w.scraped_date, w.event_id)) AS place FROM writes w LEFT JOIN a USING (platform, id)
+          WHERE w.scraped_date >= TIMESTAMP '{_SEEN_SPLIT}' AND (a.place IS NULL OR w.scraped_date >= a.place[1] + INTERVAL {_SEEN_DAYS} DAY)
+          GROUP BY w.platform, w.id)
+        SELECT platform, id, place[1] AS scraped_date, place[2] AS event_id FROM (FROM a UNION ALL FROM b)""",
+    ),
+    "batch_counters": (
+        _batch_counters,
+        """SELECT CAST(event_id % 2 AS BIGINT) AS batch, count(*) AS total, count(*) FILTER (event_type = 'error') AS failed,
+        CAST(count(*) AS BIGINT) AS in_log FROM events GROUP BY 1""",
+    ),
     "stream_rejects": (
         _stream_rejects,
         """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 3 AS s, o_orderkey % 19 = 0 AS failed,

@@ -28,13 +28,14 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per column: position, name, type, nullable, and the table's row count."""
+    """One row per column: position, name, type, nullable, default, and the table's row count."""
     out = None
     for name, df in tables.items():
         fields = F.array(*[
             F.struct(
                 F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
                 F.lit(sql_type(f.dataType)).alias("data_type"), F.lit("YES" if f.nullable else "NO").alias("nullable"),
+                F.lit(f.metadata.get("CURRENT_DEFAULT")).cast("string").alias("column_default"),
             )
             for i, f in enumerate(df.schema.fields, 1)
         ])

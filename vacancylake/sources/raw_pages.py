@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vacancylake import fixed_values as fixed
 from vacancylake import schemas
 from vacancylake.functions.links import listing_url
 
@@ -47,6 +51,47 @@ def page_manifest(
     ))
 
 
+@dataclass(frozen=True)
+class CrawlConfig:
+    """What a crawl asks its sources for, and where it ends.
+
+    The filters are those that listing addresses carry; sources whose addresses carry none are asked without. ``page_limits``
+    is the last page by source (None: no limit); sources that are not named have no limit. A source ends before its first page
+    without a listing, and before its first page that failed.
+    """
+
+    category_id: str | None = None
+    location_id: str | None = None
+    query: str | None = None
+    has_salary: bool = False
+    locale: str | None = None
+    page_limits: Mapping[str, int | None] = field(default_factory=lambda: dict(fixed.MAX_PAGES))
+    stop_at_empty: bool = True
+    stop_at_failed: bool = True
+
+    @property
+    def filters(self) -> dict[str, str | bool]:
+        named = {"category_id": self.category_id, "location_id": self.location_id, "query": self.query, "locale": self.locale}
+        return {k: v for k, v in named.items() if v is not None} | ({"has_salary": True} if self.has_salary else {})
+
+
+def asked_pages(pages: DataFrame, config: CrawlConfig) -> DataFrame:
+    """The pages that a crawl under ``config`` asks for: those at its listing addresses, up to the page limits."""
+    address = listing_url(F.col("platform"), F.col("page_no"), **{k: F.lit(v) for k, v in config.filters.items()})
+    limits = {p: n for p, n in config.page_limits.items() if n is not None}
+    within = F.lit(True)
+    for platform, last in limits.items():
+        within &= (F.col("platform") != platform) | (F.col("page_no") <= last)
+    return pages.where((F.col("url") == address) & within)
+
+
+def crawl_ends(pages: DataFrame, config: CrawlConfig) -> DataFrame:
+    """(platform, stop): the first page that ends each source's crawl; ``pages`` has platform, page_no, status, n_rows."""
+    failed = F.coalesce(F.col("status"), F.lit(0)) != 200
+    ends = (failed & F.lit(config.stop_at_failed)) | (~failed & (F.col("n_rows") == 0) & F.lit(config.stop_at_empty))
+    return pages.where(ends).groupBy("platform").agg(F.min("page_no").alias("stop"))
+
+
 def page_frontier(
     pages: DataFrame, source: str = "platform", page: str = "page_no", rows: str = "n_rows",
     max_page: int | None = None,

@@ -45,8 +45,9 @@ def write_batches(
     as_of: str | dt.datetime,
     order: list[str],
     prepare: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]] = lambda batch: batch,
+    compact_every: int = 100,
 ) -> StreamingQuery:
-    """Read all that is there now, in batches, and append each to the log.
+    """Read all that is there now, in batches, and append each to the log, which is compacted every so many batches.
 
     A batch that is run again after a lost executor overwrites its own folder. The
     run is the streaming query's own id, which its checkpoint keeps: a new
@@ -61,6 +62,8 @@ def write_batches(
         log.append(writes, batch_id, as_of, order, run)
         if rejects is not None:
             log.append_rejects(rejects, batch_id, run)
+        if batch_id % compact_every == compact_every - 1:
+            log.compact_beyond(compact_every - 1)
 
     return (
         stream.writeStream.foreachBatch(save)

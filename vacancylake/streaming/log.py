@@ -5,7 +5,9 @@ written to its own folder, named by the run that writes and the batch's number
 in it: writing a batch twice gives the same folder, two runs never share one,
 and the cost of a batch depends on the batch, not on the table. Reading folds
 the batches once more, because the fold is associative; ``compact`` stores that
-result, and beside it which batches it covers, so that readers start from it.
+result, and beside it which batches it covers, as ranges of numbers by run, so
+that readers start from it. Lists on the driver are as long as there are batches
+since the last compaction, and runs; ``compact_every`` bounds the former.
 
 Runs are ordered by when they first wrote, batches by number within their run.
 """
@@ -68,11 +70,31 @@ class PostingLog:
         folders = [path.rsplit("/", 1)[0] for path in self._found("rejects/run=*/batch=*/_SUCCESS")]
         return reader.parquet(*folders) if folders else self.spark.createDataFrame([], f"{REJECT_DDL}, run string, batch bigint")
 
+    def batch_counts(self) -> DataFrame:
+        """Writes of every batch that is not removed: run, batch, writes; those before folding."""
+        reader = self.spark.read.schema(f"{self._schema}, run string, batch bigint").option("basePath", f"{self.path}/batches")
+        folders = [path.rsplit("/", 1)[0] for path in self._found("batches/run=*/batch=*/_SUCCESS")]
+        empty = self.spark.createDataFrame([], "run string, batch bigint, writes bigint")
+        return reader.parquet(*folders).groupBy("run", "batch").agg(F.sum("writes").alias("writes")) if folders else empty
+
     def _run(self, name: str) -> str:
-        """The run's folder: a rank among runs in front of its name, given when it first writes."""
+        """The run's folder: a rank among runs in front of its name, given when it first writes.
+
+        A rank is claimed by creating its file, which only one of several new runs can do.
+        """
         known = [path.split("=")[-1] for path in self._found("batches/run=*")]
         own = [r for r in known if r.split("-", 1)[1] == name]
-        return own[0] if own else f"{max((int(r.split('-', 1)[0]) for r in known), default=0) + 1:08d}-{name}"
+        if own:
+            return own[0]
+        claimed = [int(path.split("=")[-1]) for path in self._found("claims/rank=*")]
+        rank = max([*claimed, *(int(r.split("-", 1)[0]) for r in known)], default=0) + 1
+        while not self._created(f"claims/rank={rank:08d}"):
+            rank += 1
+        return f"{rank:08d}-{name}"
+
+    def _created(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).createNewFile(path)
 
     def current(self) -> DataFrame:
         """The table: first-write columns, last-write columns, both stamps."""
@@ -86,10 +108,18 @@ class PostingLog:
         if not batches:
             return
         number = 0 if base is None else base + 1
-        covers = self.spark.createDataFrame(sorted(covered | set(batches)), "run string, batch long")
+        for run, batch in batches:
+            covered.setdefault(run, []).append((batch, batch))
+        rows = [(run, low, high) for run, spans in sorted(covered.items()) for low, high in _joined(spans)]
+        covers = self.spark.createDataFrame(rows, "run string, low long, high long")
         covers.write.mode("overwrite").parquet(f"{self.path}/covers/base={number}")  # a base counts once its own files are complete
         self._folded(base, batches).write.mode("overwrite").parquet(f"{self.path}/bases/base={number}")
 
+    def compact_beyond(self, batches: int) -> None:
+        """``compact`` where more than so many batches wait for it."""
+        if len(self._parts()[2]) > batches:
+            self.compact()
+
     def _folded(self, base: int | None, batches: list[tuple[str, int]]) -> DataFrame:
         parts = []
         if base is not None:
@@ -107,16 +137,30 @@ class PostingLog:
             F.sum("writes").alias("writes"),
         )
 
-    def _parts(self) -> tuple[int | None, set[tuple[str, int]], list[tuple[str, int]]]:
-        """The newest complete base, the batches it covers, and the other complete batches."""
+    def _parts(self) -> tuple[int | None, dict[str, list[tuple[int, int]]], list[tuple[str, int]]]:
+        """The newest complete base, the ranges of batches it covers by run, and the other complete batches."""
         bases = [int(path.split("/")[-2].split("=")[1]) for path in self._found("bases/base=*/_SUCCESS")]
         base = max(bases, default=None)
-        covered = set() if base is None else {(r["run"], r["batch"]) for r in self.spark.read.parquet(f"{self.path}/covers/base={base}").collect()}
+        covered: dict[str, list[tuple[int, int]]] = {}
+        if base is not None:
+            for r in self.spark.read.parquet(f"{self.path}/covers/base={base}").collect():  # a row per run, more where numbers have gaps
+                covered.setdefault(r["run"], []).append((r["low"], r["high"]))
         folders = [path.split("/")[-3:-1] for path in self._found("batches/run=*/batch=*/_SUCCESS")]
-        batches = {(run.split("=")[1], int(batch.split("=")[1])) for run, batch in folders}
-        return base, covered, sorted(batches - covered)
+        found = sorted((run.split("=")[1], int(batch.split("=")[1])) for run, batch in folders)
+        return base, covered, [(r, b) for r, b in found if not any(low <= b <= high for low, high in covered.get(r, ()))]
 
     def _found(self, pattern: str) -> list[str]:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
         return [str(f.getPath().toString()) for f in files or []]
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of numbers, those that touch made one."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
