@@ -15,10 +15,10 @@ Registered = dict[str, tuple[Query, str | None]]
 
 
 def registered() -> Registered:
-    from vacancylake.plans.queries import analytics, extraction, sql_text, storage, streams, texts
+    from vacancylake.plans.queries import analytics, extraction, files, sql_text, storage, streams, texts
 
     out: Registered = {}
-    for module in (analytics, texts, extraction, storage, streams, sql_text):
+    for module in (analytics, texts, extraction, storage, streams, sql_text, files):
         for name, entry in module.QUERIES.items():
             if name in out:
                 raise ValueError(f"query {name} registered twice")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +13,17 @@ def export_path(folder: str, prefix: str, kind: str, as_of: dt.datetime) -> str:
     return f"{folder}/{prefix}_{as_of:%Y%m%d_%H%M%S}.{kind}"
 
 
+#: Quotes inside values are doubled, and values keep the blanks and line breaks at their ends.
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """What ``export_csv`` wrote, line breaks in values included."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(path)
 
 
 def export_json(df: DataFrame, path: str, epoch_ms: bool = False, mode: str = "errorifexists") -> None:

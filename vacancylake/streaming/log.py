@@ -9,7 +9,8 @@ result, and beside it which batches it covers, as ranges of numbers by run, so
 that readers start from it. Lists on the driver are as long as there are batches
 since the last compaction, and runs; ``compact_every`` bounds the former.
 
-Runs are ordered by when they first wrote, batches by number within their run.
+Runs are ordered by when they first wrote (those that start together by name),
+batches by number within their run.
 """
 
 from __future__ import annotations
@@ -80,21 +81,11 @@ class PostingLog:
     def _run(self, name: str) -> str:
         """The run's folder: a rank among runs in front of its name, given when it first writes.
 
-        A rank is claimed by creating its file, which only one of several new runs can do.
+        New runs that start together may take the same rank; the name behind it then orders them.
         """
         known = [path.split("=")[-1] for path in self._found("batches/run=*")]
         own = [r for r in known if r.split("-", 1)[1] == name]
-        if own:
-            return own[0]
-        claimed = [int(path.split("=")[-1]) for path in self._found("claims/rank=*")]
-        rank = max([*claimed, *(int(r.split("-", 1)[0]) for r in known)], default=0) + 1
-        while not self._created(f"claims/rank={rank:08d}"):
-            rank += 1
-        return f"{rank:08d}-{name}"
-
-    def _created(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).createNewFile(path)
+        return own[0] if own else f"{max((int(r.split('-', 1)[0]) for r in known), default=0) + 1:08d}-{name}"
 
     def current(self) -> DataFrame:
         """The table: first-write columns, last-write columns, both stamps."""
