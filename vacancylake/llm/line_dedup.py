@@ -20,19 +20,23 @@ from pyspark.sql import functions as F
 RATIO = 0.1
 #: A line that one page alone holds is no boilerplate; without this, a host of fewer than 1 / ratio pages would lose every line.
 LEAST_PAGES = 2
-#: A line without a word: spaces and the controls 9 to 13 only.
-BLANK = r"^[\x09-\x0D ]*$"
+#: A line of these alone, or of none, is blank.
+BLANKS = "\t\n\x0b\x0c\r "
 #: A host's pages are spread over so many join keys.
 SALTS = 32
 
 
+def _blank(line: Column) -> Column:
+    return F.trim(line, F.lit(BLANKS)) == ""
+
+
 def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``page`` (the whole input row as a struct, so no name can clash), host, lines, and kept (the lines that stay)."""
     marked = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"), F.coalesce(host, F.lit("")).alias("host"),
         F.coalesce(lines, F.array().cast("array<string>")).alias("lines"),
     )
-    said = F.array_distinct(F.transform(F.filter("lines", lambda x: ~x.rlike(BLANK)), lambda x: F.xxhash64(x)))
+    said = F.array_distinct(F.transform(F.filter("lines", lambda x: ~_blank(x)), lambda x: F.xxhash64(x)))
     counted = marked.select("host", F.explode(said).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
     totals = marked.groupBy("host").agg(F.count("*").alias("total"))
     common = counted.join(totals, "host").filter(F.col("n") > F.col("total") * ratio)
@@ -41,7 +45,7 @@ def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, ratio: float
     # A row's own number, not its content: equal pages of a host are spread as well.
     dealt = marked.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
     kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x: ~F.array_contains("common", F.xxhash64(x)) | x.rlike(BLANK))
+        F.filter("lines", lambda x: ~F.array_contains("common", F.xxhash64(x)) | _blank(x))
     )
     return dealt.join(salted, ["host", "salt"], "left").select("page", "host", "lines", kept.alias("kept"))
 
@@ -82,7 +86,7 @@ WITH seen AS (
            '{UNSEEN}', '', 'g'), '{BREAKS}', chr(10), 'g'), '{TAGS}', '', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines
   FROM pages
 ), often AS (
-  SELECT host, line FROM (SELECT DISTINCT host, page, unnest(list_filter(lines, lambda x: NOT regexp_matches(x, '{BLANK}'))) AS line FROM seen)
+  SELECT host, line FROM (SELECT DISTINCT host, page, unnest(list_filter(lines, lambda x: trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') <> '')) AS line FROM seen)
   JOIN (SELECT host, count(*) AS total FROM seen GROUP BY host) USING (host)
   GROUP BY host, line, total HAVING count(*) >= {LEAST_PAGES} AND count(*) > total * CAST({RATIO} AS DOUBLE)
 ), listed AS (SELECT host, list(line) AS lines FROM often GROUP BY host)
