@@ -20,7 +20,7 @@ from vacancylake.llm.texts import slices, text_bytes, words_of
 #: Letters that are their own NFC form, with whatever ends a word in plain marks.
 _LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;=?@\\[\\\\\\]^_`{|}~-]*)")
 #: Known words kept by a task; about 250 bytes each.
-KNOWN_WORDS = 900_000
+KNOWN_WORDS = 400_000
 #: Bytes of text whose distinct words are looked up together.
 ENCODE_BYTES = 12 << 20
 
