@@ -125,6 +125,15 @@ def upsert_bucketed(
 def change_key(table: DataFrame, new_key: list[str], order: list[str], seen: str = SEEN) -> DataFrame:
     """Re-fold a stored table under another key, earliest ``order`` first.
 
-    Widening a key changes nothing; narrowing it merges rows that now collide.
+    Widening a key changes nothing; narrowing it merges rows that now collide. Only these are folded: keys are counted, rows whose
+    key stands once go as they are.
     """
-    return fold_writes(table, new_key, order, seen).drop("writes")
+
+    def same_key(keys: DataFrame) -> Column:
+        return reduce(operator.and_, (table[k].eqNullSafe(keys[f"_k{i}"]) for i, k in enumerate(new_key)))
+
+    counted = table.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(new_key)]).agg(F.count("*").alias("_n"))
+    repeated = counted.where("_n > 1").drop("_n")
+    single = table.join(repeated, same_key(repeated), "left_anti")
+    folded = fold_writes(table.join(repeated, same_key(repeated), "left_semi"), new_key, order, seen).drop("writes")
+    return single.unionByName(folded)

@@ -123,7 +123,8 @@ def ingest_details(
     ).join(errors, ["platform", "id"], "left")
     # A page that failed says more than that there is none.
     missing = F.when(F.col("error") == joins.NO_DETAIL, F.coalesce("failure", "error")).otherwise(F.col("error"))
-    both = both.withColumn("error", F.coalesce("problem", missing)).drop("failure")
+    # Four tables, their children and the rejects are read from these rows.
+    both = stored(both.withColumn("error", F.coalesce("problem", missing)).drop("failure"), "detail-rows")
     good, bad = filters.split_rejects(both)
     details = extract.details_from_fields(good, as_of)
     child_tables = {
