@@ -55,9 +55,9 @@ def test_bpe_query_as_the_library_does(spark, library, tmp_path):
 
 def test_bpe_of_no_rows_and_of_null_ids(spark):
     docs = table(spark, [(1, "some text")])
-    assert byte_bpe.with_bytes(byte_bpe.with_ids(docs.limit(0), PATH, PATTERN), PATH, PATTERN).count() == 0
+    assert byte_bpe.with_bytes(byte_bpe.with_ids(docs.limit(0), PATH, PATTERN), PATH).count() == 0
     odd = spark.createDataFrame([(1, None), (2, bytearray())], "doc_id long, ids binary")
-    assert [tuple(r) for r in byte_bpe.with_bytes(odd, PATH, PATTERN).orderBy("doc_id").collect()] == [(1, None, None), (2, b"", b"")]
+    assert [tuple(r) for r in byte_bpe.with_bytes(odd, PATH).orderBy("doc_id").collect()] == [(1, None, None), (2, b"", b"")]
 
 
 def test_edits_and_appends_give_the_ids_of_the_new_text(spark, library):
@@ -115,7 +115,7 @@ def test_rank_files_that_the_method_cannot_take_are_refused():
     merges = byte_bpe.Merges(single | {b"ab": 256, b"bc": 257, b"xyz": 258, b"abcd": 259})
     assert merges.halves[258] is None and byte_bpe.last_tokens(merges, b"xyz") == [120, 121, 122]
     with pytest.raises(ValueError, match="outside"):
-        byte_bpe.text_encoder(PATH, PATTERN).decode(np.array([60_000], "<u4"))
+        byte_bpe.decoder(PATH).decode(np.array([60_000], "<u4"))
 
 
 def plain_runs(words, least=24, times=3):

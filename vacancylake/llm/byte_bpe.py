@@ -36,8 +36,8 @@ from vacancylake.llm.texts import read_documents, slices, text_bytes, words_of
 from vacancylake.session import ship_package
 
 #: Known stretches and pairs of tokens kept by a task.
-KNOWN_TEXTS = 600_000
-KNOWN_PAIRS = 600_000
+KNOWN_TEXTS = 400_000
+KNOWN_PAIRS = 400_000
 #: Bytes of text whose distinct stretches are looked up together.
 ENCODE_BYTES = 8 << 20
 _NEVER = 1 << 62
@@ -190,21 +190,34 @@ class PrefixTokens:
         return out[::-1]
 
 
+class Decoder:
+    """The bytes of every id; all that decoding needs to hold."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        words = [b""] * (max(ranks.values()) + 1)
+        for word, token in ranks.items():
+            words[token] = word
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.bytes = np.frombuffer(b"".join(words), np.uint8)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of ``ids`` one after another, and where each id's bytes start (one more entry than ids)."""
+        if len(ids) and (int(ids.max()) >= len(self.sizes) or not self.sizes[ids].all()):
+            raise ValueError("ids outside the rank file")
+        return _gather(self.bytes, self.begin, self.sizes, ids)
+
+
 class TextEncoder:
     """Ids of texts: cut by a pattern, each piece by its prefixes' last tokens, known stretches from memory."""
 
     def __init__(self, path: str, pattern: str, known_texts: int = KNOWN_TEXTS):
-        self.merges = Merges(read_ranks(path))
+        ranks = read_ranks(path)
+        self.merges = Merges(ranks)
         self.pieces = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.known_texts = known_texts
-        sizes = np.array(self.merges.size, np.int64)
-        self.sizes = sizes
-        words = [b""] * len(sizes)
-        for word, token in self.merges.ranks.items():
-            words[token] = word
-        self.bytes = np.frombuffer(b"".join(words), np.uint8)
-        self.begin = np.cumsum(sizes) - sizes
+        self.sizes = Decoder(ranks).sizes
 
     def _piece(self, piece: str) -> bytes:
         ids = self.known.get(piece)
@@ -252,12 +265,6 @@ class TextEncoder:
         flat, out_at = _gather(np.frombuffer(b"".join(ids), "<u4"), np.cumsum(count) - count, count, code)
         return flat, out_at[np.searchsorted(begin, at)]
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of ``ids`` one after another, and where each id's bytes start (one more entry than ids)."""
-        if len(ids) and (int(ids.max()) >= len(self.sizes) or not self.sizes[ids].all()):
-            raise ValueError("ids outside the rank file")
-        return _gather(self.bytes, self.begin, self.sizes, ids)
-
     def edit(self, text: str, ids: np.ndarray, start: int, stop: int, new: str) -> tuple[str, np.ndarray]:
         """``text`` with code points [start, stop) replaced, and its ids: only stretches that the edit touches are encoded."""
         left = max((m.start() for m in _CUT.finditer(text, max(0, start - 4096), start) if m.start() < start), default=0)
@@ -309,6 +316,11 @@ def text_encoder(path: str, pattern: str) -> TextEncoder:
     return TextEncoder(path, pattern)
 
 
+@cache
+def decoder(path: str) -> Decoder:
+    return Decoder(read_ranks(path))
+
+
 def _lists(flat: np.ndarray, at: np.ndarray) -> pa.Array:
     """Entries of ``flat`` from at[k] to at[k + 1] as one binary value each."""
     offsets = at * flat.itemsize
@@ -330,12 +342,11 @@ def with_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids binary")
 
 
-def with_bytes(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
+def with_bytes(tokens: DataFrame, path: str) -> DataFrame:
     """``tokens`` (doc_id, ids) with ``decoded``, the bytes that the ids stand for."""
     ship_package(tokens.sparkSession)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(path, pattern)
         for batch in batches:
             for part in slices(batch, "ids", ENCODE_BYTES):
                 ids = part.column(1)
@@ -343,7 +354,7 @@ def with_bytes(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
                 at = np.zeros(len(sizes) + 1, np.int64)
                 np.cumsum(sizes, out=at[1:])
                 flat = np.frombuffer(b"".join(x or b"" for x in ids.to_pylist()), "<u4")
-                data, begin = encoder.decode(flat)
+                data, begin = decoder(path).decode(flat)
                 out = pc.if_else(ids.is_null(), None, _lists(data, begin[at]))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, out], ["doc_id", "ids", "decoded"])
 
@@ -382,7 +393,7 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    found = with_bytes(with_ids(read_documents(spark, sf_dir), path, pattern), path, pattern)
+    found = with_bytes(with_ids(read_documents(spark, sf_dir), path, pattern), path)
     return found.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
