@@ -220,7 +220,7 @@ def tokens(text):
     return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + ["\n"]
 
 
-def plain_model(texts):
+def plain_model(texts, least=2):
     """Interpolated absolute discounting with dictionaries; gives (counts, N, log10 probability of a text)."""
     words, pairs, triples = Counter(), Counter(), Counter()
     for t in texts:
@@ -238,7 +238,7 @@ def plain_model(texts):
     inside = defaultdict(lambda: [0, 0])
     for c in (pairs, triples):
         for k, x in c.items():
-            if x > 1:
+            if x >= least:
                 inside[k[:-1]][0] += x
                 inside[k[:-1]][1] += 1
 
@@ -248,13 +248,13 @@ def plain_model(texts):
     def p2(b, x):
         total = len(texts) if b == "\t" else words[b]
         rest = 1 - (inside[b,][0] - d2 * inside[b,][1]) / total if (b,) in inside else 1
-        return (pairs[b, x] - d2) / total * (pairs[b, x] > 1) + rest * p1(x) if total else p1(x)
+        return (pairs[b, x] - d2) / total * (pairs[b, x] >= least) + rest * p1(x) if total else p1(x)
 
     def p3(a, b, x):
-        if pairs[a, b] < 2:
+        if pairs[a, b] < least:
             return p2(b, x)
         rest = 1 - (inside[a, b][0] - d3 * inside[a, b][1]) / pairs[a, b] if (a, b) in inside else 1
-        return (triples[a, b, x] - d3) / pairs[a, b] * (triples[a, b, x] > 1) + rest * p2(b, x)
+        return (triples[a, b, x] - d3) / pairs[a, b] * (triples[a, b, x] >= least) + rest * p2(b, x)
 
     def log(t):
         w = ["\t", *tokens(t)]
@@ -263,13 +263,14 @@ def plain_model(texts):
     return words, n, log
 
 
-def test_language_model_equals_dictionaries(spark):
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_language_model_equals_dictionaries(spark, least):
     # Sentences of one pool in ever new orders: what a model of word sequences can learn.
     pool = [babble(k, 8) for k in range(30)]
     mixed = lambda k: " ".join(pool[(k * k + 7 * j * j + j) % 30] for j in range(12))
     train = [(k, mixed(k)) for k in range(40)] + AWKWARD[1:]
-    model = language_model.train(clashing(table(spark, train)))
-    words, n, log = plain_model([t for _, t in train])
+    model = language_model.train(clashing(table(spark, train)), least)
+    words, n, log = plain_model([t for _, t in train], least)
     held = [(100 + k, mixed(50 + k)) for k in range(15)] + AWKWARD + [(200, "Never SEEN these words")]
     found = language_model.score(clashing(table(spark, held)), model, "lang").collect()
     assert model[1] == n and len(found) == len(held)
@@ -283,6 +284,16 @@ def test_language_model_equals_dictionaries(spark):
     assert sum(r["score"] for r in fresh) > 0.6 * sum(r["base_score"] for r in fresh)
 
 
+def test_long_words_that_sums_cannot_tell_apart_are_words_of_their_own(spark):
+    one = "a"
+    while len(one) < 4096:  # the Thue-Morse word and its complement agree in every sum modulo 2^64 by powers of an odd number
+        one += one.translate(str.maketrans("ab", "ba"))
+    two = one.translate(str.maketrans("ab", "ba"))
+    model = language_model.train(table(spark, [(1, f"{one} x"), (2, one)]))
+    rows = language_model.score(table(spark, [(3, one), (4, two)]), model).orderBy("doc_id").collect()
+    assert [r["n_known"] for r in rows] == [2, 1]
+
+
 def test_language_model_without_training_rows(spark):
     docs = table(spark, AWKWARD)
     model = language_model.train(docs.limit(0))

@@ -2,7 +2,7 @@
 
 *Counts.* Words are 64-bit hashes; their counts, sorted by hash, are level 1, and a word's place is its id. Pairs and triples of
 ids are counted inside each slice of text, packed into blocks by the pair's bucket, and summed per bucket. Pairs and triples
-that occur once enter the discounts and the back-off mass but not the trie.
+that occur fewer than ``least`` times enter the discounts and the back-off mass but not the trie; at 1 all are stored.
 
 *Trie.* Level 2 holds the pairs (v, w) as the ascending numbers v * V + w. A pair's children are level 3: not by the child's id
 but *relative to its context*: x after (v, w) is stored as the rank of x among the successors of w in level 2, a far smaller
@@ -34,9 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancylake.llm.elias_fano import Sequence, encode
-from vacancylake.llm.texts import mix, prefix_hashes, read_documents, slices, span_hash, text_bytes, words_of
+from vacancylake.llm.texts import mix, read_documents, slices, text_bytes, word_hashes, words_of
 from vacancylake.session import new_shared_path, ship_package, stored
 
+#: Pairs and triples that occur so often are stored. Most occur once, and at 1 the levels grow several times over.
+LEAST = 2
 #: Pairs and triples in one counting bucket, about.
 BUCKET_TOKENS = 2_000_000
 #: Distinct words a task holds before it passes their counts on.
@@ -59,8 +61,7 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens (lower-case words, then the end token) and where each text's begin, one entry more than texts."""
     data, at = text_bytes(texts, lower=True)
     start, end = words_of(data)
-    sums, inverse = prefix_hashes(data)
-    words = span_hash(sums, inverse, start, end) if len(start) else np.zeros(0, np.uint64)
+    words = word_hashes(data, start, end)
     first = np.searchsorted(start, at)
     return np.insert(words, first[1:], END), first + np.arange(len(first))
 
@@ -318,9 +319,9 @@ def _write_words(counts: DataFrame, folder: str) -> DataFrame:
 COUNTED = "v long, w long, x long, n long, children long, in_children long, n_one long, n_two long, n_one3 long, n_two3 long"
 
 
-def _count_pairs(docs: DataFrame, model_of: tuple, buckets: int) -> DataFrame:
+def _count_pairs(docs: DataFrame, model_of: tuple, buckets: int, least: int) -> DataFrame:
     """Rows of COUNTED: pairs (x is null; children: how many triples go on from it, in_children: their occurrences) and triples,
-    each at least twice in the corpus; and a row per bucket of how many occur once and twice (v is null)."""
+    each at least ``least`` times in the corpus; and a row per bucket of how many occur once and twice (v is null)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _opened(*model_of)
@@ -380,9 +381,9 @@ def _count_pairs(docs: DataFrame, model_of: tuple, buckets: int) -> DataFrame:
         at2 = np.flatnonzero(np.append(True, pair3[1:] != pair3[:-1]))
         n2, pair2 = np.add.reduceat(n3, at2), pair3[at2]
         real = x3 != _NONE
-        often = real & (n3 >= 2)
+        often = real & (n3 >= least)
         children, inside = (np.add.reduceat(y, at2) for y in (often.astype(np.int64), np.where(often, n3, 0)))
-        keep = n2 >= 2
+        keep = n2 >= least
         v, w = (pair2 >> np.uint64(32)).astype(np.int64)[keep], (pair2 & np.uint64(_NONE)).astype(np.int64)[keep]
         yield _counted(len(v), v=v, w=w, n=n2[keep], children=children[keep], in_children=inside[keep])
         v, w = (pair3 >> np.uint64(32)).astype(np.int64)[often], (pair3 & np.uint64(_NONE)).astype(np.int64)[often]
@@ -397,8 +398,13 @@ def _count_pairs(docs: DataFrame, model_of: tuple, buckets: int) -> DataFrame:
     return blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(add_up, COUNTED)
 
 
-def train(docs: DataFrame) -> tuple:
-    """The trie of ``docs`` (text), as the arguments of ``Model``; its files are in the shared folder."""
+def train(docs: DataFrame, least: int = LEAST) -> tuple:
+    """The trie of ``docs`` (text), as the arguments of ``Model``; its files are in the shared folder.
+
+    Pairs and triples that occur ``least`` times or more are stored.
+    """
+    if least < 1:
+        raise ValueError("what never occurs cannot be stored")
     spark = docs.sparkSession
     ship_package(spark)
     folder = new_shared_path(spark, "language-model")
@@ -411,7 +417,7 @@ def train(docs: DataFrame) -> tuple:
     if not tokens:
         return model
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = stored(_count_pairs(docs, model, max(tasks, -(-tokens // BUCKET_TOKENS))), "pairs")
+    counted = stored(_count_pairs(docs, model, max(tasks, -(-tokens // BUCKET_TOKENS)), least), "pairs")
     ones = counted.filter("v is null").agg(*[F.sum(c).alias(c) for c in ("n_one", "n_two", "n_one3", "n_two3")]).first()
     discount = tuple(min(0.95, max(0.05, a / max(a + 2 * b, 1))) for a, b in ((ones["n_one"], ones["n_two"]), (ones["n_one3"], ones["n_two3"])))
     pairs = counted.filter("v is not null and x is null")

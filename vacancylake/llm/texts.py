@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,6 +109,21 @@ def span_hash(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, end: np.
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
+#: Sums modulo 2^64 tell short byte strings apart; longer ones can be built to agree, so they get another hash.
+LONG_WORD = 256
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word [start, end), equal for equal words."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    sums, inverse = prefix_hashes(data)
+    out = span_hash(sums, inverse, start, end)
+    for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[k] = xxhash.xxh64_intdigest(data[start[k] : end[k]].tobytes(), 7)
+    return out
+
+
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word in ``data``, which ends with a break."""
     space = _IS_SPACE[data]
