@@ -40,6 +40,7 @@ def ingest_listings(
     layouts: dict[str, extract.Reader] = LISTING_LAYOUTS,
     crawl: CrawlConfig | None = None,
     category: str | None = None,
+    bucketed: bool = False,
 ) -> IngestResult:
     """Pages (schema ``RAW_PAGE_DDL``) written over ``current``.
 
@@ -48,7 +49,8 @@ def ingest_listings(
     part of the run). The other conditions are on the listings themselves.
 
     Within this run the first listing of a key, in page order, is the one that
-    counts; against the stored table the upsert rule applies.
+    counts; against the stored table the upsert rule applies. ``bucketed`` says that ``current`` is a table in buckets of the key
+    (``sinks.bucketed``): it is then read bucket by bucket, and the result lies in the same buckets.
     """
     pages = pages if crawl is None else asked_pages(pages, crawl)
     good, failed = split_by_status(pages)
@@ -63,7 +65,8 @@ def ingest_listings(
     if quota is not None:
         wanted = ranking.quota_per_source(wanted, "platform", order, quota)
     valid, broken = quality.split_by_rules(wanted, quality.row_rules("job_listings"))
-    table = upsert.upsert(current, valid, as_of, order, key)
+    write = upsert.upsert_bucketed if bucketed else upsert.upsert
+    table = write(current, valid, as_of, order, key)
     rejects = (
         extract.rejects(rows)
         .unionByName(failed.select("page_id", "platform", F.lit(None).cast("int").alias("row_no"),
@@ -92,7 +95,7 @@ REPEATED_PAGE = "another page of this posting was taken"
 
 def ingest_details(
     listings: DataFrame, detail_pages: DataFrame, current: DataFrame, as_of: str | dt.datetime, mode: str = "last",
-    current_children: dict[str, DataFrame] | None = None,
+    current_children: dict[str, DataFrame] | None = None, bucketed: bool = False,
 ) -> IngestResult:
     """Detail pages of the given listings: parent rows and child tables.
 
@@ -102,7 +105,7 @@ def ingest_details(
     detail is saved with all its children or not at all: one that breaks a rule
     itself, or has a child that does, goes to the rejects, as do pages that failed,
     pages without content, pages not taken and listings without a page. Given the
-    stored children, the result's children are the tables after the save.
+    stored children, the result's children are the tables after the save. ``bucketed`` as for listings.
     """
     time = F.col("fetched_at") if "fetched_at" in detail_pages.columns else F.lit(None).cast("timestamp_ntz")
     status = F.col("status") if "status" in detail_pages.columns else F.lit(200)
@@ -142,7 +145,8 @@ def ingest_details(
     ]
     whole, unsound = (df.withColumnsRenamed({new: old for old, new in children.PARENT_KEY.items()})
                       for df in children.accept_whole(named, checked, key))
-    table = upsert.upsert(current, whole.withColumn("_order", F.lit(0)), as_of, ["_order"], last_wins=upsert.DETAIL_LAST_WINS)
+    write = upsert.upsert_bucketed if bucketed else upsert.upsert
+    table = write(current, whole.withColumn("_order", F.lit(0)), as_of, ["_order"], last_wins=upsert.DETAIL_LAST_WINS)
     saved = whole.select(*[F.col(old).alias(new) for old, new in children.PARENT_KEY.items()])
     child_tables = {name: rows.join(saved, key, "left_semi") for name, rows in child_tables.items()}
     for name, before in (current_children or {}).items():

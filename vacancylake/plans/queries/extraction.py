@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from vacancylake import fixed_values as fixed
@@ -9,7 +11,8 @@ from vacancylake.functions.links import listing_url
 from vacancylake.operators import extract, sets
 from vacancylake.plans import ingest
 from vacancylake.plans.queries import Registered
-from vacancylake.session import stored
+from vacancylake.session import new_shared_path, stored
+from vacancylake.sinks.bucketed import forget, write_bucketed
 from vacancylake.sources.driver_tables import AS_OF, postings, table
 from vacancylake.sources.raw_pages import CrawlConfig
 
@@ -234,6 +237,20 @@ def _crawled_sql(asked, stops="(failed OR empty)"):
     SELECT platform, id, arg_min(title, (page_no, page_id)) AS title, arg_min(company, (page_no, page_id)) AS company_name FROM r GROUP BY platform, id"""
 
 
+def _bucketed_runs(spark, sf):
+    """Two runs over a table in buckets: the second reads the first one's table where it lies and writes the next version there."""
+    pages = listing_pages(spark, sf).withColumn("status", F.when(F.col("page_id") % 19 == 0, 500).otherwise(200))
+    key, names, current = ["platform", "id"], [], ingest.empty_table(spark, "job_listings")
+    for chosen, as_of in (("page_id % 2 = 0", _EARLIER), ("page_id % 4 <> 0", AS_OF)):
+        found = ingest.ingest_listings(pages.where(chosen), current, as_of, bucketed=bool(names))
+        name, path = f"listings_{uuid4().hex}", new_shared_path(spark, "listings")
+        current = write_bucketed(found.table, name, path, key, 16, dealt=bool(names))
+        names.append(name)
+    for name in names:
+        forget(spark, name)
+    return current
+
+
 QUERIES: Registered = {
     "ingest_category": (_crawled(CrawlConfig(category_id="3", locale="en")), _crawled_sql("page_id % 5 = 3 AND page_id % 2 = 1")),
     "ingest_locale": (_crawled(CrawlConfig(category_id="2", locale="ge", stop_at_failed=False)), _crawled_sql("page_id % 5 = 2 AND page_id % 2 = 0", "empty")),
@@ -249,6 +266,15 @@ QUERIES: Registered = {
         CASE WHEN bool_or(late) THEN TIMESTAMP '{AS_OF}' ELSE TIMESTAMP '{_EARLIER}' END AS updated_at
         FROM p GROUP BY platform, id""",
     ),
+    "ingest_bucketed": (
+        lambda spark, sf: _bucketed_runs(spark, sf).select("platform", "id", "title", "scraped_date", "created_at", "updated_at"),
+        f"""WITH l AS ({_LISTINGS_SQL}), p AS (SELECT *, page_id % 2 = 0 AS early, page_id % 4 <> 0 AS late FROM l WHERE page_id % 19 <> 0)
+        SELECT platform, id, arg_min(title, (NOT early, page_id)) AS title,
+        CASE WHEN bool_or(late) THEN TIMESTAMP '{AS_OF}' ELSE TIMESTAMP '{_EARLIER}' END AS scraped_date,
+        CASE WHEN bool_or(early) THEN TIMESTAMP '{_EARLIER}' ELSE TIMESTAMP '{AS_OF}' END AS created_at,
+        CASE WHEN bool_or(late) THEN TIMESTAMP '{AS_OF}' ELSE TIMESTAMP '{_EARLIER}' END AS updated_at
+        FROM p GROUP BY platform, id""",
+    ),
     "extract_listings": (
         lambda spark, sf: _flat(extract.accepted(extract.extract_listings(listing_pages(spark, sf), AS_OF))),
         _LISTINGS_SQL,
