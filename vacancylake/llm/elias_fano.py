@@ -2,6 +2,9 @@
 
 Of n numbers below a universe U each keeps its low log2(U / n) bits in a packed array; the high parts are written in unary as
 one bit string, about two bits per number. ``successor`` finds, for many targets at once, the first number at or above each.
+
+Cases: no numbers give arrays in which nothing is found; targets beyond the last number have no successor; numbers that do not ascend
+strictly are the caller's error.
 """
 
 from __future__ import annotations
