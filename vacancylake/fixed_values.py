@@ -40,8 +40,8 @@ SECTION_KEYWORDS = {
 
 # Salary words and signs.
 LARI_SIGN = "₾"
-LARI_WORD = "ლარი"
-SALARY_WORD = "ხელფასი"
+# Shapes of a salary in running text, tried in order; N stands for the number.
+SALARY_SHAPES = [r"ხელფასი[:\s]+(N)\s*ლარი", r"(N)\s*ლარი", r"ხელფასი[:\s]+(N)"]
 PER_MONTH_WORD = "თვეში"
 CURRENCY = "GEL"
 PERIOD = "monthly"

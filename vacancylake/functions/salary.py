@@ -45,14 +45,9 @@ def salary_from_prose(text: Column, grouped_digits: bool = True) -> Column:
     only, so ``1,200`` counts as ``200``.
     """
     number = _GROUPED if grouped_digits else _PLAIN
-    word, unit = fixed.SALARY_WORD, fixed.LARI_WORD
-    patterns = [
-        rf"(?iu){word}[:\s]+({number})\s*{unit}",
-        rf"(?iu)({number})\s*{unit}",
-        rf"(?iu){word}[:\s]+({number})",
-    ]
     found = None
-    for pattern in patterns:
+    for shape in fixed.SALARY_SHAPES:
+        pattern = "(?iu)" + shape.replace("N", number)
         hit = F.struct(
             F.regexp_replace(F.regexp_extract(text, pattern, 1), r"[,\s]", "").alias("amount"),
             F.lit(fixed.CURRENCY).alias("currency"),

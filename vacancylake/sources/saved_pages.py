@@ -35,7 +35,7 @@ from vacancylake.schemas import RAW_PAGE_DDL
 from vacancylake.session import ship_package
 
 NAME = "saved_pages"
-_FILE = re.compile(r"page-(\d+)\.html$")
+_FILE = re.compile(r"page-(\d{1,9})\.html")
 
 
 class _Folder:
