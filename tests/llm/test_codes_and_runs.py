@@ -51,6 +51,8 @@ def test_bpe_query_as_the_library_does(spark, library, tmp_path):
     found = byte_bpe.op11_byte_bpe(spark, str(tmp_path))
     assert found.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert by_id(map(tuple, found.collect())) == by_id(want)
+    apart = byte_bpe.with_bytes(byte_bpe.with_ids(table(spark, BPE_ROWS), PATH, PATTERN), PATH)
+    assert by_id((r["doc_id"], bytes(r["decoded"])) for r in apart.collect()) == by_id((i, (t or "").encode()) for i, t in BPE_ROWS)
 
 
 def test_bpe_of_no_rows_and_of_null_ids(spark):

@@ -36,10 +36,10 @@ from vacancylake.llm.texts import read_documents, slices, text_bytes, words_of
 from vacancylake.session import ship_package
 
 #: Known stretches and pairs of tokens kept by a task.
-KNOWN_TEXTS = 400_000
-KNOWN_PAIRS = 400_000
+KNOWN_TEXTS = 300_000
+KNOWN_PAIRS = 300_000
 #: Bytes of text whose distinct stretches are looked up together.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 _NEVER = 1 << 62
 #: Whether the machine's own unsigned integers are the ones written.
 _NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
@@ -217,7 +217,8 @@ class TextEncoder:
         self.pieces = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.known_texts = known_texts
-        self.sizes = Decoder(ranks).sizes
+        self.decoder = Decoder(ranks)
+        self.sizes = self.decoder.sizes
 
     def _piece(self, piece: str) -> bytes:
         ids = self.known.get(piece)
@@ -329,17 +330,26 @@ def _lists(flat: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
 
 
-def with_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``docs`` (doc_id, text) reduced to doc_id and ``ids``: little-endian unsigned 32-bit integers as one binary value."""
+def with_ids(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """``docs`` (doc_id, text) reduced to doc_id and ``ids``: little-endian unsigned 32-bit integers as one binary value.
+
+    ``decoded`` adds the bytes that the ids stand for, without another pass through Python workers.
+    """
     ship_package(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path, pattern)
         for batch in batches:
             for part in slices(batch, most=ENCODE_BYTES):
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(*encoder.encode(part.column(1)))], ["doc_id", "ids"])
+                ids, at = encoder.encode(part.column(1))
+                columns = {"doc_id": part.column(0), "ids": _lists(ids, at)}
+                if decoded:
+                    data, begin = encoder.decoder.decode(ids)
+                    columns["decoded"] = _lists(data, begin[at])
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids binary")
+    kinds = "doc_id long, ids binary" + (", decoded binary" if decoded else "")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, kinds)
 
 
 def with_bytes(tokens: DataFrame, path: str) -> DataFrame:
@@ -393,7 +403,7 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    found = with_bytes(with_ids(read_documents(spark, sf_dir), path, pattern), path)
+    found = with_ids(read_documents(spark, sf_dir), path, pattern, decoded=True)
     return found.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
