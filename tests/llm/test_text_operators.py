@@ -109,6 +109,18 @@ def test_decontamination_finds_all_and_nothing_else(spark, shard_bytes):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 3, 4, 7]
 
 
+def test_the_words_of_an_item_in_another_order_do_not_hide_the_item(spark):
+    words = ITEMS[2][1].split()
+    noise = " ".join(f"zz{j}" for j in range(400))
+    shuffled, less = " ".join(reversed(words)), " ".join(w for k, w in enumerate(words) if k not in (4, 40))
+    rows = [(1, f"{shuffled} {noise} {less} {noise}"), (2, f"{shuffled} {noise}"), (3, f"{less} {noise} {shuffled}"), (4, f"{less} {noise} {ITEMS[2][1]}"), (5, shuffled), (6, less)]
+    found = decontamination.contaminated(table(spark, rows), spark.createDataFrame(ITEMS, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(1, 2), (3, 2), (4, 2), (6, 2)]
+    by_doc = {r["doc_id"]: r for r in found}  # the passing passage with the highest score
+    assert by_doc[1]["first_word"] >= 384 and by_doc[4]["first_word"] >= 384 and by_doc[3]["first_word"] == 0
+    assert by_doc[4]["question_overlap"] == 1 and by_doc[1]["score"] < by_doc[4]["score"]
+
+
 def test_wand_returns_the_scores_of_an_exhaustive_search():
     import numpy as np
 

@@ -11,7 +11,8 @@ only items whose terms' highest impacts reach the threshold. All items above it
 
 *Check.* A retrieved item counts if the document has, in order and close to the passage, enough of the words of its question
 and of its answer (the longest common subsequence). An item's text is split into both at its last question mark if words
-follow, else at its middle word.
+follow, else at its middle word. Every retrieved passage is checked; of those that pass, the one with the highest score is
+reported.
 
 Test items are indexed in shards of bounded size, each broadcast and searched by itself, so any number of them works.
 
@@ -184,24 +185,26 @@ def _matches(index: Index, batch: pa.RecordBatch, threshold: float, overlap: flo
         ids.append(code[known])
         strides.append(first[-1] + known // SEGMENT)
         first.append(first[-1] + -(-len(code) // SEGMENT) + 1)  # an empty stride keeps texts apart
-    best: dict[tuple[int, int], tuple[float, int]] = {}
+    # Every passage that scores above the match found so far is checked: the best score alone may be words in another order.
+    best: dict[tuple[int, int], tuple] = {}
     owner_of = np.repeat(np.arange(len(texts)), np.diff(first))
+    last, words = -1, []
     if any(len(x) for x in ids):
         for p, s, score in index.search(np.concatenate(ids), np.concatenate(strides), first[-1], threshold):
-            key = (int(owner_of[p]), index.owner[s])
-            if score > best.get(key, (0.0, 0))[0]:
-                best[key] = (score, p - first[key[0]])
-    rows = []
-    for (d, k), (score, p) in best.items():
-        item_id, question, answer = index.items[k]
-        words = words_of_text(texts[d])
-        size = len(question) + len(answer)
-        # The longest item reaches its own length to either side of the passage that holds one of its segments.
-        from_, to = max(0, p * SEGMENT - size), (p + 2) * SEGMENT + size
-        near = words[from_:to]
-        q, a = in_order(question, near), in_order(answer, near)
-        if q >= overlap and a >= overlap:
-            rows.append((keys[d], item_id, score, q, a, p * SEGMENT))
+            d, k = int(owner_of[p]), index.owner[s]
+            if (d, k) in best and score <= best[d, k][2]:
+                continue
+            if d != last:  # passages come in order, so texts do
+                last, words = d, words_of_text(texts[d])
+            item_id, question, answer = index.items[k]
+            at = (p - first[d]) * SEGMENT
+            size = len(question) + len(answer)
+            # The longest item reaches its own length to either side of the passage that holds one of its segments.
+            near = words[max(0, at - size) : at + 2 * SEGMENT + size]
+            q, a = in_order(question, near), in_order(answer, near)
+            if q >= overlap and a >= overlap:
+                best[d, k] = (keys[d], item_id, score, q, a, at)
+    rows = list(best.values())
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
     columns = zip(*rows) if rows else [[]] * 6
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], [x.split()[0] for x in MATCHES.split(", ")])
