@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vacancylake import schemas
 from vacancylake.functions.markup import Page, Step
 from vacancylake.operators import extract
+from vacancylake.operators.layouts import LISTING_LAYOUTS
 from vacancylake.plans import ingest
 
 NOW = "2025-09-01 06:00:00"
@@ -174,3 +175,20 @@ def test_reader_of_markup():
     assert page.follow((Step("p", at=2),), box) is None
     assert page.follow((Step("p"), Step("div", around=True))) is box
     assert page.text(page.root).endswith("z 1 < 2 qw") and page.hidden == ["var x='<p>$';if(a<b)", " c "]
+
+
+def test_ways_that_begin_alike_are_walked_once(monkeypatch):
+    html = ("<table id=job_list_table><tr></tr><tr><td></td><td><a href='/?id=1'>t</a><i>p</i></td><td><a><img src=l></a></td>"
+            "<td><a href=/c>c</a></td><td>a</td><td>b</td></tr></table>")
+    walked, nth = [], Page.nth
+    monkeypatch.setattr(Page, "nth", lambda page, step, inside: walked.append((step, inside.start)) or nth(page, step, inside))
+    record, = extract.records_of(LISTING_LAYOUTS["jobs_ge"], html)
+    assert (record["title"], record["href"], record["place"], record["icons"], record["logo"], record["company"]) == ("t", "/?id=1", "p", [], "l", "c")
+    assert (record["published"], record["deadline"]) == ("a", "b")
+    assert len(walked) == len(set(walked)) == 11
+
+
+def test_odd_attributes_end_tags_where_they_did():
+    page = Page("<a x=\"p>q\" y='>' z=1>one</a><b v=\"open>two</b><i = ' k>' t/>three<u a=='='>four")
+    assert [(e.tag, page.text(e)) for e in page.select(Step("*"))] == [("a", "one"), ("b", "two"), ("i", ""), ("u", "four")]
+    assert page.follow((Step("a"),)).attrs == {"x": "p>q", "y": ">", "z": "1"}

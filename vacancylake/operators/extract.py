@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from vacancylake import fixed_values as fixed
 from vacancylake import schemas
 from vacancylake.functions import dates, flags, links, salary
-from vacancylake.functions.markup import Page
+from vacancylake.functions.markup import Page, Step
 from vacancylake.functions.sections import section_items, split_sections
 from vacancylake.functions.text import matched, preview
-from vacancylake.operators.layouts import DETAIL_LAYOUTS, LISTING_LAYOUTS, Field, Layout
+from vacancylake.operators.layouts import DETAIL_LAYOUTS, LISTING_LAYOUTS, Layout
 from vacancylake.session import ship_package
 
 _LISTING_TEXTS = [
@@ -35,6 +35,7 @@ _DETAIL_LISTS = ["links"]
 _ROWS_PER_BATCH = 5000
 _BYTES_PER_BATCH = 16 << 20  # of page text behind the rows held
 NO_LAYOUT = "layout not found"
+_MONEY = re.compile(fixed.CURRENCY_MARKS)
 
 
 def _raw_schema(texts: list[str], lists: list[str], keep: list[str]) -> pa.Schema:
@@ -64,16 +65,33 @@ def _take(page: Page, element, take: str) -> str | None:
     return element.attrs.get(take, "")
 
 
-def _read(page: Page, row, field: Field):
-    for way in field.ways:
-        if field.every:
-            inside = page.follow(way[:-1], row)
-            if inside is not None:
-                return [_take(page, e, field.take) for e in page.select(way[-1], inside)]
-        else:
-            element = page.follow(way, row)
-            if element is not None:
-                return _take(page, element, field.take)
+_UNKNOWN = object()
+
+
+class _Ways:
+    """The elements at the ends of ways below ``row``; ways that begin alike are walked once."""
+
+    __slots__ = ("page", "row", "steps", "found")
+
+    def __init__(self, page: Page, row, steps: list[tuple[int, Step]]):
+        self.page, self.row, self.steps, self.found = page, row, steps, [_UNKNOWN] * len(steps)
+
+    def end(self, node: int):
+        if node < 0:
+            return self.row
+        element = self.found[node]
+        if element is _UNKNOWN:
+            before, step = self.steps[node]
+            inside = self.row if before < 0 else self.end(before)
+            element = self.found[node] = None if inside is None else self.page.nth(step, inside)
+        return element
+
+
+def _read(page: Page, below: _Ways, ways: list[tuple[int, Step | None]], take: str):
+    for node, every in ways:
+        element = below.end(node)
+        if element is not None:
+            return _take(page, element, take) if every is None else [_take(page, e, take) for e in page.select(every, element)]
     return None
 
 
@@ -83,16 +101,19 @@ def _records(html: str, layout: Layout) -> Iterator[dict]:
     if root is None:  # not an empty list, but a page of another shape
         yield {"row_no": 0, "problem": NO_LAYOUT}
         return
+    steps, needs, fields = layout.plan
     rows = [root] if layout.rows is None else page.select(layout.rows, root)[layout.skip:]
     for row_no, row in enumerate(rows):
-        missing = next((why for step, why in layout.needs if page.follow((step,), row) is None), None)
+        below = _Ways(page, row, steps)
+        missing = next((why for node, why in needs if below.end(node) is None), None)
         record = {"row_no": row_no, "problem": missing}
         if missing is None:
-            record |= {name: _read(page, row, f) for name, f in layout.fields.items()}
+            for name, ways, take in fields:
+                record[name] = _read(page, below, ways, take)
             if layout.some and not any((record[name] or "").strip() for name in layout.some):
                 record["problem"] = "no content"
             if layout.rows is None:
-                record["mentions_money"] = any(re.search(fixed.CURRENCY_MARKS, t) for t in page.every_text())
+                record["mentions_money"] = any(map(_MONEY.search, page.every_text()))
         yield record
 
 
@@ -112,7 +133,7 @@ def _extractor(layouts: dict[str, Reader], schema: pa.Schema, keep: list[str]) -
             yield head | {"problem": "no layout for this source"}
             return
         try:
-            yield from [{"row_no": i} | head | record for i, record in enumerate(records_of(layout, html or ""))]
+            yield from [{"row_no": i, **head, **record} for i, record in enumerate(records_of(layout, html or ""))]
         except Exception as error:  # noqa: BLE001 - one bad page must not end the job
             yield head | {"problem": f"{type(error).__name__}: {error}"}
 

@@ -7,6 +7,7 @@ is a further entry. All tags and class names are fixed values.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from vacancylake.functions.markup import Step
 
@@ -29,6 +30,28 @@ class Layout:
     some: tuple[str, ...] = ()  # fields of which a row must have one, else it has no content
     fields: dict[str, Field] = field(default_factory=dict)
 
+    @cached_property
+    def plan(self) -> tuple[list, list, list]:
+        """The steps below a row as a tree, each with the number of the one before it (-1: the row), and needs and fields by its numbers."""
+        steps: list[tuple[int, Step]] = []
+        number: dict[tuple[int, Step], int] = {}
+
+        def node(way: tuple[Step, ...]) -> int:
+            at = -1
+            for step in way:
+                if (at, step) not in number:
+                    number[at, step] = len(steps)
+                    steps.append((at, step))
+                at = number[at, step]
+            return at
+
+        needs = [(node((step,)), why) for step, why in self.needs]
+        fields = [
+            (name, [(node(way[:-1]), way[-1]) if f.every else (node(way), None) for way in f.ways], f.take)
+            for name, f in self.fields.items()
+        ]
+        return steps, needs, fields
+
 
 def _at(*steps: Step, take: str = "text", every: bool = False) -> Field:
     return Field((steps,), take, every)
