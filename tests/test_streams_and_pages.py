@@ -210,3 +210,21 @@ def test_profile_names_column_defaults(spark, tmp_path):
     finally:
         spark.sql("DROP TABLE with_defaults")
     assert [(r["column_name"], r["column_default"]) for r in rows] == [("a", "7"), ("b", None)]
+
+
+def test_pages_of_a_batch_of_few_files_are_parsed_by_all_cores(spark, tmp_path, monkeypatch):
+    html = "<div class='item-listing'><div class='list-item'><p class='list-item-title'><a class='announcement-list-item' href='/announcement/%d/x'>t</a></p></div></div>"
+    rows = [(i, "cv_ge", None, 1, None, 200 if i % 10 else 500, html % i) for i in range(200)]
+    spark.createDataFrame(rows, RAW_PAGE_DDL).coalesce(1).write.parquet(str(tmp_path / "pages"))
+    tasks = []
+    kept = ingest.stored
+
+    def counted(df, label):
+        tasks.append(df.rdd.getNumPartitions())
+        return kept(df, label)
+
+    monkeypatch.setattr(ingest, "stored", counted)
+    ingest.ingest_pages(spark, str(tmp_path / "pages"), str(tmp_path / "log"), str(tmp_path / "c"), "2025-09-01 06:00:00", 1).awaitTermination()
+    log = ingest.listing_log(spark, str(tmp_path / "log"))
+    assert tasks and min(tasks) >= spark.sparkContext.defaultParallelism > 1
+    assert log.current().count() == 180 and log.rejects().where("problem = 'HTTP 500'").count() == 20

@@ -73,9 +73,14 @@ def write_batches(
     )
 
 
-def sorted_out(pages: DataFrame, as_of: str | dt.datetime) -> tuple[DataFrame, DataFrame]:
-    """Valid flat listings with their page order, and everything left out with the reason; pages are parsed once."""
+def sorted_out(pages: DataFrame, as_of: str | dt.datetime, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Valid flat listings with their page order, and everything left out with the reason; pages are parsed once.
+
+    ``tasks`` deals the pages to so many tasks before they are parsed, for batches of fewer files than there are cores.
+    """
     good, failed = split_by_status(pages)
+    if tasks is not None:
+        good = good.repartition(tasks)
     rows = stored(extract.extract_listings(good, as_of), "stream-rows")
     flat = flatten_listing(extract.accepted(rows), as_of, keep=["page_id", "row_no"])
     valid, broken = split_by_rules(flat, row_rules("job_listings"))
@@ -96,8 +101,13 @@ def ingest_pages(
     spark: SparkSession, pages_path: str, log_path: str, checkpoint: str, as_of: str | dt.datetime,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Page files to the listing log; what is left out goes to the log's rejects."""
+    """Page files to the listing log; what is left out goes to the log's rejects.
+
+    Where a batch has fewer files than the cluster has cores, its pages are dealt to all of them: parsing is the heavy part.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    tasks = 2 * cores if files_per_batch < cores else None
     return write_batches(
         page_stream(spark, pages_path, files_per_batch), listing_log(spark, log_path), checkpoint, as_of,
-        ["page_id", "row_no"], lambda batch: sorted_out(batch, as_of),
+        ["page_id", "row_no"], lambda batch: sorted_out(batch, as_of, tasks),
     )
