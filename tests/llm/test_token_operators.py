@@ -216,6 +216,16 @@ def test_elias_fano_successors(universe, seed, n):
     assert (place == np.searchsorted(values, targets)).all() and (equal == np.isin(targets, values)).all()
 
 
+@pytest.mark.parametrize("run", [1, 63, 64, 65, 500])
+def test_elias_fano_successors_among_long_runs(run):
+    # Numbers that stand together share their high part: many ones before the next zero.
+    values = np.concatenate([np.arange(run) + k * 10**9 for k in range(1, 40)] + [np.arange(5) + 39 * 10**9 + 10**6])
+    sequence = elias_fano.Sequence(elias_fano.encode(values, 41 * 10**9))
+    targets = np.concatenate([values - 1, values, values + 1, [0, 41 * 10**9]])
+    place, equal = sequence.successor(targets)
+    assert (place == np.searchsorted(values, targets)).all() and (equal == np.isin(targets, values)).all()
+
+
 def tokens(text):
     return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + ["\n"]
 
@@ -294,6 +304,42 @@ def test_long_words_that_sums_cannot_tell_apart_are_words_of_their_own(spark):
     assert [r["n_known"] for r in rows] == [2, 1]
 
 
+def test_every_word_pair_and_triple_is_looked_up_once_and_in_order(spark, monkeypatch):
+    pool = [babble(k, 8) for k in range(20)]
+    texts = [" ".join(pool[(k * k + 7 * j * j + j) % 20] for j in range(12)) for k in range(40)]
+    m = language_model.Model(*language_model.train(table(spark, list(enumerate(texts)))))
+    search, take, seen = language_model.Level.search, language_model.Level.take, Counter()
+
+    def searched(self, targets, exact=True):
+        assert (targets[1:] > targets[:-1]).all()
+        seen["search"] += 1
+        return search(self, targets, exact)
+
+    def taken(self, name, places):
+        assert (places[1:] > places[:-1]).all()
+        seen["take"] += 1
+        return take(self, name, places)
+
+    monkeypatch.setattr(language_model.Level, "search", searched)
+    monkeypatch.setattr(language_model.Level, "take", taken)
+    found = m.score(pa.array([*texts, None, "words never seen", *texts]))
+    assert (found[0] > 0).all() and (found[3][:40] == found[3][42:]).all() and seen["search"] >= 5 and seen["take"] >= 5
+
+
+def test_no_python_step_stands_before_the_ranges_of_pairs_and_triples(spark, monkeypatch):
+    # Spark finds the bounds of ranges by running what stands before them, and then runs it again.
+    ranged, before = type(spark.range(0)).repartitionByRange, {}
+
+    def recorded(df, *columns):
+        before[columns] = df._jdf.queryExecution().optimizedPlan().toString()
+        return ranged(df, *columns)
+
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", recorded)
+    language_model.train(table(spark, [(k, babble(k % 5, 30)) for k in range(20)]))
+    plans = [plan for columns, plan in before.items() if columns != ("key",)]
+    assert len(plans) == 3 and not any("MapInArrow" in plan for plan in plans)
+
+
 def test_language_model_without_training_rows(spark):
     docs = table(spark, AWKWARD)
     model = language_model.train(docs.limit(0))

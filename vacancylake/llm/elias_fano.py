@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import numpy as np
 
-_BLOCK_WORDS = 8
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: 1 and 128 in every byte of a word.
+_EACH, _TOP = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: _SELECT[256 * r + b]: the place of the bit r (from 0) among those set in the byte b.
+_SELECT = np.array([[([k for k in range(8) if b >> k & 1] + [8] * 8)[r] for b in range(256)] for r in range(8)], np.uint8).ravel()
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -30,13 +33,12 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
         np.bitwise_or.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
     top = (values >> np.uint64(low_bits)).astype(np.int64)
     n_bits = n + (universe >> low_bits) + 2
-    words = -(-n_bits // (64 * _BLOCK_WORDS)) * _BLOCK_WORDS
+    words = -(-n_bits // 64)
     bits = np.zeros(words * 64, np.uint8)
     bits[top + np.arange(n)] = 1
     high = np.packbits(bits, bitorder="little").view("<u8").astype(np.uint64)
-    zeros = 64 - np.bitwise_count(high).astype(np.int64)
-    before = np.concatenate([[0], np.cumsum(zeros.reshape(-1, _BLOCK_WORDS).sum(axis=1))])
-    return {"head": np.array([n, universe, low_bits], np.int64), "low": low, "high": high, "zeros": before.astype(np.int64)}
+    before = np.concatenate([[0], np.cumsum(64 - np.bitwise_count(high).astype(np.int64))])
+    return {"head": np.array([n, universe, low_bits], np.int64), "low": low, "high": high, "zeros": before.astype(np.uint32 if before[-1] < 1 << 32 else np.int64)}
 
 
 class Sequence:
@@ -56,24 +58,28 @@ class Sequence:
     def _first_with(self, top: np.ndarray) -> np.ndarray:
         """How many numbers have a high part below ``top``: the place of the zero that ends them, less the zeros before it."""
         k = np.maximum(top - 1, 0)
-        block = np.searchsorted(self.zeros, k, side="right") - 1
-        left = k - self.zeros[block]
-        word = block * _BLOCK_WORDS
-        for _ in range(_BLOCK_WORDS - 1):
-            own = 64 - np.bitwise_count(self.high[word]).astype(np.int64)
-            on = left >= own
-            left = np.where(on, left - own, left)
-            word = word + on
-            # Once a word holds the zero, its count exceeds what is left, so it is not passed again.
+        word = np.searchsorted(self.zeros, k.astype(self.zeros.dtype), side="right") - 1
+        left = (k - self.zeros[word]).astype(np.uint64)
         bits = self.high[word] ^ _ONES
-        place = np.zeros(len(k), np.int64)
-        for step in (32, 16, 8, 4, 2, 1):
-            below = np.bitwise_count(bits & np.uint64((1 << step) - 1)).astype(np.int64)
-            on = left >= below
-            left = np.where(on, left - below, left)
-            place += np.where(on, step, 0)
-            bits = np.where(on, bits >> np.uint64(step), bits)
-        return np.where(top > 0, word * 64 + place + 1 - top, 0)
+        # How many bits are set up to each byte's end, in that byte; bytes that end too early to hold the wanted one are passed.
+        sums = bits - (bits >> np.uint64(1) & np.uint64(0x5555555555555555))
+        sums = (sums & np.uint64(0x3333333333333333)) + (sums >> np.uint64(2) & np.uint64(0x3333333333333333))
+        sums = (sums + (sums >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH
+        passed = np.bitwise_count((left * _EACH | _TOP) - sums & _TOP).astype(np.uint64) << np.uint64(3)
+        left -= sums << np.uint64(8) >> passed & np.uint64(255)
+        place = passed + _SELECT[left << np.uint64(8) | bits >> passed & np.uint64(255)]
+        return np.where(top > 0, word * 64 + place.astype(np.int64) + 1 - top, 0)
+
+    def _end_of(self, lo: np.ndarray, top: np.ndarray) -> np.ndarray:
+        """Where the numbers end that have the high part ``top`` and begin at ``lo``: as many as there are ones before the next zero."""
+        at = lo + top
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        rest = (self.high[word] >> shift) | (self.high[np.minimum(word + 1, len(self.high) - 1)] << np.uint64(1) << (np.uint64(63) - shift))
+        ones = np.bitwise_count(rest & ~(rest + np.uint64(1)))
+        end = lo + ones
+        many = np.flatnonzero(ones == 64)
+        end[many] = self._first_with(top[many] + 1)
+        return end
 
     def successor(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each target the place of the first number at or above it (n if none), and whether it is equal."""
@@ -82,7 +88,8 @@ class Sequence:
         t = np.where(inside, targets, np.uint64(0))
         top = (t >> np.uint64(self.low_bits)).astype(np.int64)
         want = t & np.uint64((1 << self.low_bits) - 1)
-        lo, end = self._first_with(top), self._first_with(top + 1)
+        lo = self._first_with(top)
+        end = self._end_of(lo, top)
         hi = end.copy()
         while True:  # bisection among the numbers that share the high part, a handful on average
             open_ = np.flatnonzero(lo < hi)

@@ -66,6 +66,22 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words, first[1:], END), first + np.arange(len(first))
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in ascending order and where each of ``x`` is among them; what ascends already is not sorted."""
+    if len(x) and (x[1:] >= x[:-1]).all():
+        new = np.append(True, x[1:] != x[:-1])
+        return x[new], np.cumsum(new) - 1
+    return np.unique(x, return_inverse=True)
+
+
+def _preceding(x: np.ndarray, at: np.ndarray, first: int) -> np.ndarray:
+    """For each token the one before it in its text; ``first`` where a text begins."""
+    out = np.empty_like(x)
+    out[1:] = x[:-1]
+    out[at[:-1]] = first
+    return out
+
+
 def _write(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     """One file with all arrays, each at a multiple of 8 bytes; the directory stands at the end."""
     store, path = fs.FileSystem.from_uri(folder)
@@ -117,12 +133,15 @@ class Level:
             self.parts[k] = _mapped(self.folder, self.files[k][0])
         return self.parts[k]
 
-    def _by_file(self, which: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(which, kind="stable")
-        cuts = np.flatnonzero(np.diff(which[order])) + 1
-        for some in np.split(order, cuts):
-            if len(some):
-                yield int(which[some[0]]), some
+    def _by_file(self, which: np.ndarray) -> Iterator[tuple[int, np.ndarray | slice]]:
+        """Each file with the places in ``which`` that name it: a slice if the files ascend, as for sorted targets."""
+        if not len(which):
+            return
+        order = None if (which[1:] >= which[:-1]).all() else np.argsort(which, kind="stable")
+        sorted_ = which if order is None else which[order]
+        cuts = [0, *(np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1).tolist(), len(which)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield int(sorted_[a]), slice(a, b) if order is None else order[a:b]
 
     def search(self, targets: np.ndarray, exact: bool = True) -> np.ndarray:
         """Places of ``targets`` (-1: not there), or with ``exact`` off, of the first number at or above each."""
@@ -167,11 +186,11 @@ class Model:
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of the tokens, -1 for unknown ones; equal tokens are looked up once."""
-        some, code = np.unique(hashes, return_inverse=True)
+        some, code = _distinct(hashes)
         return self.words.search(some)[code]
 
     def word_counts(self, ids: np.ndarray) -> np.ndarray:
-        some, code = np.unique(ids, return_inverse=True)
+        some, code = _distinct(ids)
         known = some >= 0
         out = np.zeros(len(some), np.int64)
         out[known] = self.words.take("count", some[known])
@@ -186,7 +205,7 @@ class Model:
 
     def weights_of(self, ids: np.ndarray) -> np.ndarray:
         """Back-off weights (log10) of single-word contexts; those without kept pairs leave everything."""
-        some, code = np.unique(ids, return_inverse=True)
+        some, code = _distinct(ids)
         out = np.zeros(len(some))
         place = np.full(len(some), -1, np.int64)
         known = some >= 0
@@ -198,44 +217,58 @@ class Model:
     def find_pairs(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         out = np.full(len(v), -1, np.int64)
         known = np.flatnonzero((v >= 0) & (w >= 0))
-        some, code = np.unique(self.pair_keys(v[known], w[known]), return_inverse=True)
+        some, code = _distinct(self.pair_keys(v[known], w[known]))
         out[known] = self.pairs.search(some)[code]
         return out
 
     def relative(self, w: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Rank of the pairs at ``place`` among those that begin with ``w``."""
-        some, code = np.unique(w, return_inverse=True)
+        some, code = _distinct(w)
         return place - self.pairs.search(self.pair_keys(some, np.zeros(len(some), np.int64)), exact=False)[code]
 
     def triple_keys(self, context: np.ndarray, rank: np.ndarray) -> np.ndarray:
         return context.astype(np.uint64) * np.uint64(self.v + 1) + rank.astype(np.uint64)
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
-        """For each text: tokens, known tokens, base score, score (log10)."""
+        """For each text: tokens, known tokens, base score, score (log10).
+
+        Distinct words, pairs and triples are numbered in the order of their keys, so each is looked up once, in ascending order.
+        """
         hashes, at = token_hashes(texts)
-        ids = self.ids(hashes)
-        counts = self.word_counts(ids)
-        base = self.word_log(counts)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[at[:-1]] = self.v  # the beginning, which every text has
-        pair = self.find_pairs(before, ids)
-        log = base.copy()
-        log += self.weights_of(before)
+        words, word = np.unique(hashes, return_inverse=True)
+        n = len(words)
+        ids = np.append(self.words.search(words), self.v)  # number n is the beginning, which every text has
+        counts = self.word_counts(ids[:n])
+        base = self.word_log(counts)[word]
+        counts = counts[word]
+        before = _preceding(word, at, n)
+        log = base + self.weights_of(ids)[before]
+
+        on = np.flatnonzero((ids[before] >= 0) & (ids[word] >= 0))
+        pairs, code = np.unique(before[on] * n + word[on], return_inverse=True)
+        first = ids[pairs // max(n, 1)]
+        place = self.pairs.search(self.pair_keys(first, ids[pairs % max(n, 1)]))
+        stored_ = place >= 0
+        first, place = first[stored_], place[stored_]
+        pair = np.full(len(word), -1, np.int64)
+        pair[on] = np.where(stored_, np.cumsum(stored_) - 1, -1)[code]
         has = np.flatnonzero(pair >= 0)
-        log[has] = _value(self.pairs.take("log", pair[has]))
-        # The context of a triple is the pair one token earlier, which is at hand.
-        context = np.full(len(ids), -1, np.int64)
-        context[1:] = pair[:-1]
-        context[at[:-1]] = -1
-        on = np.flatnonzero(context >= 0)
-        if len(on):
-            log[on] += _value(self.pairs.take("weight", context[on]))
+        if len(has):
+            log[has] = _value(self.pairs.take("log", place))[pair[has]]
+            # The context of a triple is the pair one token earlier, which is at hand.
+            context = _preceding(pair, at, -1)
+            on = np.flatnonzero(context >= 0)
+            log[on] += _value(self.pairs.take("weight", place))[context[on]]
             both = on[pair[on] >= 0]
             if len(both) and self.triples.files:
-                place = self.triples.search(self.triple_keys(context[both], self.relative(before[both], pair[both])))
-                hit = both[place >= 0]
-                log[hit] = _value(self.triples.take("log", place[place >= 0]))
+                triples, code = np.unique(context[both] * len(place) + pair[both], return_inverse=True)
+                rank = self.relative(first, place)
+                found = self.triples.search(self.triple_keys(place[triples // len(place)], rank[triples % len(place)]))
+                hit = found >= 0
+                value = np.zeros(len(found))
+                value[hit] = _value(self.triples.take("log", found[hit]))
+                hit = np.flatnonzero(hit[code])
+                log[both[hit]] = value[code[hit]]
         tokens = np.diff(at)
         sums = [np.add.reduceat(x, at[:-1]) if len(tokens) else np.zeros(0) for x in ((counts > 0).astype(np.int64), base, log)]
         return (tokens, *sums)
@@ -329,20 +362,25 @@ def _count_pairs(docs: DataFrame, model_of: tuple, buckets: int, least: int) ->
         for batch in batches:
             for part in slices(batch):
                 hashes, at = token_hashes(part.column(0))
-                w = model.ids(hashes)
-                v = np.empty_like(w)
-                v[1:] = w[:-1]
-                v[at[:-1]] = model.v
-                x = np.full(len(w), _NONE, np.int64)
-                x[:-1] = w[1:]
-                x[at[1:] - 1] = _NONE
-                pair = v.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64)
-                whole = mix(mix(pair) + x.astype(np.uint64))
-                _, first, n = np.unique(whole, return_index=True, return_counts=True)
-                pair, x = pair[first], x[first].astype(np.uint32)
-                bucket = (mix(pair) % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((pair, bucket))
-                bucket, pair, x, n = bucket[order], pair[order], x[order], n[order].astype(np.uint32)
+                words, word = np.unique(hashes, return_inverse=True)
+                own = len(words)
+                ids = np.append(model.words.search(words), model.v).astype(np.uint64)
+                pairs, code = np.unique(_preceding(word, at, own) * own + word, return_inverse=True)
+                pair = ids[pairs // own] << np.uint64(32) | ids[pairs % own]
+                bucket = (mix(pair) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bucket, pair = bucket[order], pair[order]
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                following = np.full(len(word), own, np.int64)
+                following[:-1] = word[1:]
+                following[at[1:] - 1] = own
+                # Numbers that ascend by bucket, pair and following word, of which no word is the last.
+                whole = np.sort(rank[code] * (own + 1) + following)
+                first = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
+                n = np.diff(first, append=len(whole)).astype(np.uint32)
+                code, following = np.divmod(whole[first], own + 1)
+                bucket, pair, x = bucket[code], pair[code], np.append(ids[:own], np.uint64(_NONE)).astype(np.uint32)[following]
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1))
                 rows = []
                 for b in np.flatnonzero(np.diff(cuts)).tolist():
@@ -372,11 +410,14 @@ def _count_pairs(docs: DataFrame, model_of: tuple, buckets: int, least: int) ->
             xs.append(np.ascontiguousarray(raw[8 * size : 12 * size].reshape(4, size).T).view(np.uint32).ravel())
             ns.append(np.ascontiguousarray(raw[12 * size :].reshape(4, size).T).view(np.uint32).ravel())
         pair, x, n = np.concatenate(pairs), np.concatenate(xs), np.concatenate(ns).astype(np.int64)
-        order = np.lexsort((x, pair))
-        pair, x, n = pair[order], x[order], n[order]
-        new_pair = np.append(True, pair[1:] != pair[:-1])
-        new = new_pair | np.append(True, x[1:] != x[:-1])
-        at3 = np.flatnonzero(new)
+        # Every block ascends by pair and following word, which stable sorting makes use of: first by pair, then by both as one number.
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        both = np.cumsum(np.append(True, pair[1:] != pair[:-1])).astype(np.uint64) << np.uint64(32) | x[order]
+        again = np.argsort(both, kind="stable")
+        order, both = order[again], both[again]
+        x, n = x[order], n[order]
+        at3 = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
         n3, pair3, x3 = np.add.reduceat(n, at3), pair[at3], x[at3]
         at2 = np.flatnonzero(np.append(True, pair3[1:] != pair3[:-1]))
         n2, pair2 = np.add.reduceat(n3, at2), pair3[at2]
@@ -453,25 +494,19 @@ def train(docs: DataFrame, least: int = LEAST) -> tuple:
     level2, _ = _files(pairs.select("v", "w", "n", "children", "in_children").repartitionByRange("v", "w").sortWithinPartitions("v", "w").mapInArrow(write_pairs, FILES))
     model = (folder, tokens, texts, (tuple(words), tuple(level2)), tuple(weights), discount)
 
-    def relate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _opened(*model)
-        for batch in batches:
-            a, b, x, n = (c.to_numpy() for c in batch.columns)
-            context, pair = m.find_pairs(a, b), m.find_pairs(b, x)
-            p = (n - discount[1]) / m.pairs.take("count", context) + 10 ** (_value(m.pairs.take("weight", context)) + _value(m.pairs.take("log", pair)))
-            yield pa.RecordBatch.from_arrays([pa.array(context), pa.array(m.relative(b, pair)), pa.array(np.log10(p))], ["context", "rank", "log"])
-
     def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if columns := _columns(batches):
-            context, rank, log = columns
+            a, b, x, n = columns
             m = _opened(*model)
-            keys = m.triple_keys(context, rank)
+            context, pair = m.find_pairs(a, b), m.find_pairs(b, x)
+            p = (n - discount[1]) / m.pairs.take("count", context) + 10 ** (_value(m.pairs.take("weight", context)) + _value(m.pairs.take("log", pair)))
+            keys = m.triple_keys(context, m.relative(b, pair))
             name = _name("triples")
-            _write(folder, name, encode(keys - keys[0], int(keys[-1] - keys[0]) + 1) | {"log": _quantised(log)})
+            _write(folder, name, encode(keys - keys[0], int(keys[-1] - keys[0]) + 1) | {"log": _quantised(np.log10(p))})
             yield _file_row(name, int(keys[0]), len(keys), 0)
 
-    related = triples.select("v", "w", "x", "n").mapInArrow(relate, "context long, rank long, log double")
-    level3, _ = _files(related.repartitionByRange("context", "rank").sortWithinPartitions("context", "rank").mapInArrow(write_triples, FILES))
+    # Places of contexts and ranks in them ascend with the ids, so rows are dealt by ids: Spark runs what stands before a range twice.
+    level3, _ = _files(triples.select("v", "w", "x", "n").repartitionByRange("v", "w", "x").sortWithinPartitions("v", "w", "x").mapInArrow(write_triples, FILES))
     return (folder, tokens, texts, (tuple(words), tuple(level2), tuple(level3)), tuple(weights), discount)
 
 
